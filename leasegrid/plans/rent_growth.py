@@ -16,6 +16,7 @@ from leasegrid.operators.ordering import dense_ids
 from leasegrid.operators.panel import time_lags
 from leasegrid.operators.reshape import levels_of, one_hot
 from leasegrid.operators.spatial import combo_weights, neighbour_weights, row_stochastic
+from leasegrid.session import cut_lineage
 
 INDICATORS = list(C.INDICATOR_NAMES.values())
 
@@ -70,7 +71,7 @@ def fit_log_model(
 ) -> tuple[model.LinearFit, DataFrame]:
     """Weighted log-linear fit on rows before ``split``, and metrics on both sides in rent units."""
     lags = [f"rent_lag_{k}" for k in range(1, 5)]
-    logged = model.log_features(features, "median_rent", lags)
+    logged = cut_lineage(model.log_features(features, "median_rent", lags))
     levels = levels_of(logged, "property_type")
     logged = one_hot(logged, "property_type", levels, "property")
     names = [*[f"log_{c}" for c in lags], "log_spatial_lag", *indicators, income, *[f"property_{v}" for v in levels]]
