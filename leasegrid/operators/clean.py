@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -160,9 +160,9 @@ def impute_overall_mode(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def coalesce_imputed(df: DataFrame, base: str, suffix: str = "_imputed") -> Column | None:
-    """Raw column first, imputed column second; None when neither exists."""
-    have = [F.col(f"`{c}`") for c in (base, base + suffix) if c in df.columns]
+def coalesce_imputed(columns: Collection[str], base: str, suffix: str = "_imputed") -> Column | None:
+    """Raw column first, imputed column second; None when the table has neither."""
+    have = [F.col(f"`{c}`") for c in (base, base + suffix) if c in columns]
     return F.coalesce(*have) if have else None
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from leasegrid import constants as C
-from leasegrid.operators.clean import coalesce_imputed
 from leasegrid.operators.joins import merge_on_combo
 from leasegrid.operators.quantiles import exact_median
 
@@ -75,71 +74,74 @@ def suburb_rollup(df: DataFrame, key: str = "suburb") -> DataFrame:
 
 
 # --- features and pillars ---------------------------------------------------------
+# A score table has over a hundred features, so these expressions are SQL text:
+# one parsed expression each instead of a dozen driver round trips.
 
 
-def feature(df: DataFrame, kind: str, base: str) -> Column | None:
-    """Raw feature before scaling; None when the column is absent."""
-    raw = F.col(f"`{base}`").cast("double") if base in df.columns else None
+def feature(columns: Collection[str], kind: str, base: str) -> str | None:
+    """SQL of a raw feature before scaling; None when the table's ``columns`` lack it."""
+    raw = f"CAST(`{base}` AS DOUBLE)" if base in columns else None
+    both = [f"CAST(`{c}` AS DOUBLE)" for c in (base, base + "_imputed") if c in columns]
+    filled = f"coalesce({', '.join(both)})" if both else None
     if kind == "count":
-        c = coalesce_imputed(df, base)
-        return None if c is None else F.coalesce(c.cast("double"), F.lit(0.0))
+        return filled and f"coalesce({filled}, 0D)"
     if kind == "distance":
-        c = coalesce_imputed(df, base)
-        return None if c is None else 1 / (1 + F.when(c.isNotNull(), F.greatest(c.cast("double"), F.lit(0.0))))
+        return filled and f"IF({filled} IS NULL, NULL, 1D / (1D + greatest({filled}, 0D)))"
     if kind == "inverse":
-        return None if raw is None else 1 / F.nullif(raw, F.lit(0.0))
+        return raw and f"1D / nullif({raw}, 0D)"
     if kind == "direct":
         return raw
     raise ValueError(f"unknown feature kind {kind!r}")
 
 
-def scaled(x: Column, low: Column, high: Column) -> Column:
-    """Min-max to [0, 1]; a (nearly) constant feature is 0.5 everywhere, an empty one NULL."""
-    flat = F.abs(low - high) <= F.lit(1e-8) + F.lit(1e-5) * F.abs(high)
-    return F.when(flat, F.lit(0.5)).otherwise((x - low) / (high - low))
+def minmax(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add min-max scaled columns (name -> SQL); all ranges come from one aggregate.
 
+    A (nearly) constant feature is 0.5 everywhere, an empty one NULL.
+    """
+    if not columns:
+        return df
+    staged = df.selectExpr("*", *[f"{sql} AS __x{i}" for i, sql in enumerate(columns.values())])
+    ranges = ", ".join(f"'l{i}', min(__x{i}), 'h{i}', max(__x{i})" for i in range(len(columns)))
+    bounds = staged.selectExpr(f"named_struct({ranges}) AS b").scalar()
 
-def minmax(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add min-max scaled columns; all ranges come from one aggregate."""
-    named = list(columns.items())
-    staged = df.withColumns({f"__x{i}": c for i, (_, c) in enumerate(named)})
-    ranges = [F.struct(F.min(f"__x{i}").alias("lo"), F.max(f"__x{i}").alias("hi")).alias(f"r{i}") for i in range(len(named))]
-    bounds = staged.agg(F.struct(*ranges).alias("b")).scalar()
-    staged = staged.withColumn("__b", bounds)
-    out = staged.withColumns(
-        {n: scaled(F.col(f"__x{i}"), F.col(f"__b.r{i}.lo"), F.col(f"__b.r{i}.hi")) for i, (n, _) in enumerate(named)}
-    )
-    return out.drop("__b", *[f"__x{i}" for i in range(len(named))])
+    def unit(i: int) -> str:
+        x, lo, hi = f"__x{i}", f"__b.l{i}", f"__b.h{i}"
+        flat = f"abs({lo} - {hi}) <= 1e-8D + 1e-5D * abs({hi})"
+        return f"CASE WHEN {flat} THEN 0.5D ELSE ({x} - {lo}) / ({hi} - {lo}) END"
+
+    kept = [f"`{c}`" for c in df.columns]
+    scaled = [f"{unit(i)} AS `{n}`" for i, n in enumerate(columns)]
+    return staged.withColumn("__b", bounds).selectExpr(*kept, *scaled)
 
 
-def mean_present(columns: Sequence[Column]) -> Column:
-    """Mean of the non-null values; NULL when there are none."""
-    cells = F.array_compact(F.array(*columns))
-    total = F.aggregate(cells, F.lit(0.0), lambda a, x: a + x)
-    return F.when(F.size(cells) > 0, total / F.size(cells))
+def mean_present(names: Sequence[str]) -> str:
+    """SQL of the mean of the non-null columns; NULL when there are none."""
+    cells = f"array_compact(array({', '.join(f'`{n}`' for n in names)}))"
+    return f"IF(size({cells}) > 0, aggregate({cells}, 0D, (a, x) -> a + x) / size({cells}), NULL)"
 
 
 def pillar_scores(
     df: DataFrame, pillars: Mapping[str, Mapping[str, Sequence[str]]] = C.PILLARS
 ) -> DataFrame:
     """Add pillar_<name>: the mean of its available scaled features."""
-    feats: dict[str, Column] = {}
+    have = set(df.columns)
+    feats: dict[str, str] = {}
     members: dict[str, list[str]] = {}
     for pillar, config in pillars.items():
         members[pillar] = []
         for kind in ("count", "distance", "inverse", "direct"):
             for base in config.get(kind, ()):
-                c = feature(df, kind, base)
-                if c is not None:
+                sql = feature(have, kind, base)
+                if sql is not None:
                     name = f"__f{len(feats)}"
-                    feats[name] = c
+                    feats[name] = sql
                     members[pillar].append(name)
-    out = minmax(df, feats)
-    none = F.lit(None).cast("double")
-    out = out.withColumns(
-        {f"pillar_{p.lower()}": mean_present([F.col(n) for n in ns]) if ns else none for p, ns in members.items()}
-    )
-    return out.drop(*feats)
+    means = [
+        f"{mean_present(ns) if ns else 'CAST(NULL AS DOUBLE)'} AS `pillar_{p.lower()}`" for p, ns in members.items()
+    ]
+    kept = [f"`{c}`" for c in df.columns]
+    return minmax(df, feats).selectExpr(*kept, *means)
 
 
 def livability(df: DataFrame, weights: Mapping[str, float] = C.PILLAR_WEIGHTS, name: str = "livability_score") -> DataFrame:

@@ -282,10 +282,9 @@ def _suburb_features(spark, sf):
 
     names = sorted({b for cfg in PILLARS.values() for bases in cfg.values() for b in bases})
     e = table(spark, sf, "events")
-    aggs = []
-    for i, n in enumerate(names):
-        hit = F.when(F.col("event_type") == EVENT_TYPES[i % 5], F.col("value") + i)
-        aggs.append((F.count(hit) if n.startswith(("count_", "n_")) else F.avg(hit)).alias(n))
+    hit = lambda i: f"IF(event_type = '{EVENT_TYPES[i % 5]}', value + {i}, NULL)"
+    fn = lambda n: "count" if n.startswith(("count_", "n_")) else "avg"
+    aggs = [F.expr(f"{fn(n)}({hit(i)}) AS `{n}`") for i, n in enumerate(names)]
     return e.groupBy(F.col("user_id").alias("suburb")).agg(*aggs)
 
 

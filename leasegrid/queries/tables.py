@@ -150,7 +150,7 @@ def overall_mode(spark, sf):
 def coalesce_imputed(spark, sf):
     p = _part_gaps(spark, sf).withColumns({"size_imputed": F.lit(7), "count_size": F.col("size")})
     p = clean.fill_counts(p)
-    return p.select("p_partkey", clean.coalesce_imputed(p, "size").alias("size"), "count_size_imputed")
+    return p.select("p_partkey", clean.coalesce_imputed(p.columns, "size").alias("size"), "count_size_imputed")
 
 
 @query(
@@ -399,7 +399,8 @@ def _quarter_grid(spark, sf):
     heads = agg.select("sheet", "q").distinct().select("sheet", F.lit(1).alias("row"), (F.col("q") * 2 + 2).alias("col"), F.concat_ws(" ", month, year).alias("value"))
     n = table(spark, sf, "nation")
     label = F.when(F.col("n_nationkey") == 7, F.lit("Group Total")).otherwise(F.col("n_name"))
-    names = sheets.join(n).select("sheet", (F.col("n_nationkey") + 3).alias("row"), F.lit(1).alias("col"), label.alias("value"))
+    every = F.explode(F.array(*[F.lit(s) for s in C.RENT_SHEETS[:5]])).alias("sheet")
+    names = n.select(every, (F.col("n_nationkey") + 3).alias("row"), F.lit(1).alias("col"), label.alias("value"))
     groups = sheets.select("sheet", F.lit(3).alias("row"), F.lit(0).alias("col"), F.lit("Region").alias("value"))
     title = sheets.select("sheet", F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit("Moving annual median rent by suburb").alias("value"))
     grid = cells.unionByName(heads).unionByName(names).unionByName(groups).unionByName(title)
