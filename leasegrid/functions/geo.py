@@ -131,23 +131,29 @@ def distance_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column, method:
     raise ValueError(f"unknown distance method {method!r}")
 
 
-def ring_covers(ring: Column, x: Column, y: Column) -> Column:
-    """True when the point is inside the ring or on its boundary (JVM expression)."""
-    edges = F.arrays_zip(
-        F.slice(ring, F.lit(1), F.size(ring) - 1).alias("a"),
-        F.slice(ring, F.lit(2), F.size(ring) - 1).alias("b"),
+def ring_edges(ring: Column) -> Column:
+    """ARRAY<STRUCT<ax, ay, bx, by>> of a ring's edges."""
+    return F.zip_with(
+        F.slice(ring, F.lit(1), F.size(ring) - 1),
+        F.slice(ring, F.lit(2), F.size(ring) - 1),
+        lambda a, b: F.struct(a.x.alias("ax"), a.y.alias("ay"), b.x.alias("bx"), b.y.alias("by")),
     )
 
+
+def edges_cover(edges: Column, x: Column, y: Column) -> Column:
+    """True when the point is inside the ring of these edges or on its boundary."""
+
     def on_edge(e: Column) -> Column:
-        cross = (e.b.x - e.a.x) * (y - e.a.y) - (e.b.y - e.a.y) * (x - e.a.x)
-        within_x = x.between(F.least(e.a.x, e.b.x), F.greatest(e.a.x, e.b.x))
-        within_y = y.between(F.least(e.a.y, e.b.y), F.greatest(e.a.y, e.b.y))
-        return (cross == 0) & within_x & within_y
+        cross = (e.bx - e.ax) * (y - e.ay) - (e.by - e.ay) * (x - e.ax)
+        within_x = x.between(F.least(e.ax, e.bx), F.greatest(e.ax, e.bx))
+        return (cross == 0) & within_x & y.between(F.least(e.ay, e.by), F.greatest(e.ay, e.by))
 
     def crosses(e: Column) -> Column:
-        straddles = (e.a.y > y) != (e.b.y > y)
-        at_x = (e.b.x - e.a.x) * (y - e.a.y) / F.nullif(e.b.y - e.a.y, F.lit(0.0)) + e.a.x
-        return straddles & (x < at_x)
+        at_x = (e.bx - e.ax) * (y - e.ay) / F.nullif(e.by - e.ay, F.lit(0.0)) + e.ax
+        return ((e.ay > y) != (e.by > y)) & (x < at_x)
 
-    crossings = F.size(F.filter(edges, crosses))
-    return F.exists(edges, on_edge) | (crossings % 2 == 1)
+    return (F.size(F.filter(edges, crosses)) % 2 == 1) | F.exists(edges, on_edge)
+
+
+def ring_covers(ring: Column, x: Column, y: Column) -> Column:
+    return edges_cover(ring_edges(ring), x, y)

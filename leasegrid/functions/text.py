@@ -35,24 +35,27 @@ def _compact_price(c: Column) -> Column:
     return F.replace(F.lower(F.regexp_replace(c, r"[$,]", "")), F.lit(" "), F.lit(""))
 
 
+# Each keyword's weeks-per-payment divisor key; one lookup per extracted keyword.
+_UNITS = {w: "weekly" for w in C.WEEKLY_WORDS} | {w: "monthly" for w in C.MONTHLY_WORDS}
+
+
+def _known_frequency(text: Column) -> Column:
+    words = "|".join(re.escape(w) for w in _UNITS)
+    by_word = lookup(extract(text, rf"\d({words})"), _UNITS)
+    return F.coalesce(by_word, F.when(text.rlike(r"^[\d.]+$"), F.lit("weekly")))
+
+
 def rent_frequency(c: Column) -> Column:
     """'weekly' | 'monthly' | 'unknown' from the keyword that follows a number."""
-    text = _compact_price(c)
-    words = "|".join(re.escape(w) for w in C.WEEKLY_WORDS + C.MONTHLY_WORDS)
-    word = extract(text, rf"\d({words})")
-    return (
-        F.when(word.isin(C.WEEKLY_WORDS), "weekly")
-        .when(word.isin(C.MONTHLY_WORDS), "monthly")
-        .when(text.rlike(r"^[\d.]+$"), "weekly")
-        .otherwise("unknown")
-    )
+    return F.coalesce(_known_frequency(_compact_price(c)), F.lit("unknown"))
 
 
 def weekly_rent(c: Column, weeks_per_month: float = 4.0) -> Column:
     """Weekly rent of an advertised price text; NULL when the period is unknown."""
-    value = extract(_compact_price(c), r"(\d+(?:\.\d+)?)").try_cast("double")
-    freq = rent_frequency(c)
-    return F.when(freq == "weekly", value).when(freq == "monthly", value / F.lit(weeks_per_month))
+    text = _compact_price(c)
+    value = extract(text, r"(\d+(?:\.\d+)?)").try_cast("double")
+    weeks = F.create_map(F.lit("weekly"), F.lit(1.0), F.lit("monthly"), F.lit(float(weeks_per_month)))
+    return value / F.try_element_at(weeks, _known_frequency(text))
 
 
 def _feature_part(parts: Column, i: int) -> Column:

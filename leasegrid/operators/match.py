@@ -1,18 +1,19 @@
 """Fuzzy name matching without comparing all pairs.
 
-Two texts within edit distance D share at least one of D+1 disjoint segments of
-either text (pigeonhole), at nearly the same position. Each text on the indexed
-side is cut into segments; the probing side lists the substrings that could
-equal one of them; an equi-join on (lengths, segment number, segment text)
-yields the candidates, and only those are compared. Distinct texts are matched,
-so copies collapse first.
+Two texts within edit distance D keep all but D of any disjoint segments of one
+of them intact, at nearly the same position. Each text on the indexed side is
+cut into more than D+1 segments and indexed under its D+1 rarest ones only, so
+a segment that most texts share ("https://", " primary school") does not pair
+them all up. The probing side lists the substrings that could equal a segment;
+an equi-join on (length, segment number, segment text) yields the candidates,
+and only those are compared. Distinct texts are matched, so copies collapse first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leasegrid import constants as C
@@ -28,12 +29,17 @@ def _allowed(a: Column, b: Column, threshold: float, metric: str) -> Column:
     return F.floor(scale * F.lit(1 - threshold) + F.lit(_SLACK)).cast("int")
 
 
-def _segments(length: Column, threshold: float, metric: str) -> Column:
-    """Segment count of an indexed text: one more than the most edits any partner allows."""
+def _needed(length: Column, threshold: float, metric: str) -> Column:
+    """Segments an indexed text needs: one more than the most edits any partner allows."""
     longest = length / threshold if metric == "edit" else length * (2 - threshold) / threshold
     return _allowed(F.floor(longest + F.lit(_SLACK)).cast("int"), length, threshold, metric) + 1
 
 
+def _segments(length: Column, needed: Column) -> Column:
+    """Segments to cut: up to twice the needed number while they stay four characters long."""
+    return F.least(needed * 2, F.greatest(needed, F.floor(length / 4))).cast("int")
+
+
 def _start(j: Column, length: Column, parts: Column) -> Column:
     return F.floor(j * length / parts).cast("int")
 
@@ -55,36 +61,46 @@ def similar_pairs(
     a = left.select(*by, F.col(text)).where(F.length(text) > 0).distinct()
     b = right.select(*by, F.col(text).alias("match")).where(F.length("match") > 0).distinct()
 
-    lb = F.length("match")
-    cut = b.withColumn("__n", lb).withColumn("__s", _segments(F.col("__n"), threshold, metric))
+    n, j = F.col("__n"), F.col("__j")
+    needed = _needed(n, threshold, metric)
     # Texts too short to cut are met by length alone.
-    short = F.col("__s") > F.col("__n")
-    cut = cut.withColumn("__j", F.explode(F.when(short, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("__s") - 1))))
-    p = _start(F.col("__j"), F.col("__n"), F.col("__s"))
-    q = _start(F.col("__j") + 1, F.col("__n"), F.col("__s")) - p
-    seg = F.when(F.col("__j") < 0, F.lit("")).otherwise(F.substring("match", p + 1, q))
-    index = cut.select(*by, "match", "__n", "__j", seg.alias("__seg"))
+    numbers = F.when(needed > n, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("__s") - 1))
+    p = _start(j, n, F.col("__s"))
+    q = _start(j + 1, n, F.col("__s")) - p
+
+    cut = b.withColumn("__n", F.length("match")).withColumn("__s", _segments(n, needed))
+    cut = cut.withColumn("__j", F.explode(numbers))
+    seg = F.when(j < 0, F.lit("")).otherwise(F.substring("match", p + 1, q))
+    cut = cut.select(*by, "match", "__n", "__j", seg.alias("__seg"))
+    key = [*by, "__n", "__j", "__seg"]
+    common = cut.groupBy(*key).agg(F.count("*").alias("__f"))
+    rarest = Window.partitionBy(*by, "match").orderBy("__f", "__j")  # a text's own segments
+    index = (
+        cut.join(common, key)
+        .withColumn("__r", F.row_number().over(rarest))
+        .where(F.col("__r") <= needed)
+        .select(*key, "match")
+    )
 
     la = F.col("__m")
-    low = F.floor(la * threshold - F.lit(_SLACK)).cast("int") if metric == "edit" else F.floor(
-        la * threshold / (2 - threshold) - F.lit(_SLACK)
-    ).cast("int")
-    high = (F.ceil(la / threshold) if metric == "edit" else F.ceil(la * (2 - threshold) / threshold)).cast("int")
-    probe = a.withColumn("__m", F.length(text))
-    probe = probe.withColumn("__n", F.explode(F.sequence(F.greatest(low, F.lit(1)), high)))
-    probe = probe.where(F.abs(la - F.col("__n")) <= _allowed(la, F.col("__n"), threshold, metric))
-    probe = probe.withColumn("__s", _segments(F.col("__n"), threshold, metric))
-    probe = probe.withColumn("__j", F.explode(F.when(short, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("__s") - 1))))
-    j, slack, shift = F.col("__j"), F.col("__s") - 1 - F.col("__j"), la - F.col("__n")
+    span = (threshold, 1 / threshold) if metric == "edit" else (threshold / (2 - threshold), (2 - threshold) / threshold)
+    low = F.greatest(F.floor(la * span[0] - F.lit(_SLACK)).cast("int"), F.lit(1))
+    high = F.ceil(la * span[1]).cast("int")
+    edits = _allowed(la, n, threshold, metric)
+    shift = la - n
+    probe = a.withColumn("__m", F.length(text)).withColumn("__n", F.explode(F.sequence(low, high)))
+    probe = probe.where(F.abs(shift) <= edits).withColumn("__d", edits)
+    probe = probe.withColumn("__s", _segments(n, needed)).withColumn("__j", F.explode(numbers))
     probe = probe.withColumn("__p", p).withColumn("__q", q)
-    lo = F.greatest(F.col("__p") - j, F.col("__p") + shift - slack, F.lit(0))
-    hi = F.least(F.col("__p") + j, F.col("__p") + shift + slack, la - F.col("__q"))
-    spots = F.when(j < 0, F.array(F.lit(0))).when(lo <= hi, F.sequence(lo, hi))
+    # A segment moved by s costs |s| edits before it and |shift - s| after it.
+    first = F.greatest(F.col("__p") + F.ceil((shift - F.col("__d")) / 2).cast("int"), F.lit(0))
+    last = F.least(F.col("__p") + F.floor((shift + F.col("__d")) / 2).cast("int"), la - F.col("__q"))
+    spots = F.when(j < 0, F.array(F.lit(0))).when(first <= last, F.sequence(first, last))
     probe = probe.withColumn("__a", F.explode(spots))
     seg = F.when(j < 0, F.lit("")).otherwise(F.substring(F.col(text), F.col("__a") + 1, F.col("__q")))
     probe = probe.select(*by, text, "__n", "__j", seg.alias("__seg")).distinct()
 
-    pairs = probe.join(index, [*by, "__n", "__j", "__seg"]).select(*by, text, "match")
+    pairs = probe.join(index, key).select(*by, text, "match")
     if metric == "edit":
         # Compared inside the join stage; only true matches are deduplicated.
         scored = pairs.withColumn("similarity", edit_similarity(F.col(text), F.col("match")))

@@ -22,7 +22,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with the exact quantiles of ``value``.
 
-    1. A quantile sketch brackets every requested rank (rank error <= n/accuracy).
+    1. A quantile sketch brackets every requested rank (rank error <= n/accuracy);
+       groups of at most ``accuracy`` rows keep all their values instead.
     2. Values outside the brackets collapse to one counted row per gap; values
        inside collapse to one counted row per distinct value (map-side).
     3. Running counts over that small table place the two neighbouring order
@@ -40,29 +41,38 @@ def exact_quantiles(
     margin = 3.0 / accuracy
     lows = [max(p - margin, 0.0) for p in probabilities]
     highs = [min(p + margin, 1.0) for p in probabilities]
-    grid = F.percentile_approx("__v", [*lows, *highs], accuracy)
-    if by:
-        marked = base.join(base.groupBy(*by).agg(grid.alias("__g")), by)
+    sketch = F.struct(
+        F.percentile_approx("__v", [*lows, *highs], accuracy).alias("g"), F.count("*").alias("n")
+    )
+    if not by:
+        marked = base.withColumn("__s", base.agg(sketch.alias("s")).scalar())
     else:
-        marked = base.withColumn("__g", base.agg(grid.alias("__g")).scalar())
+        # With no group above ``accuracy`` rows there is nothing to bracket.
+        sizes = base.groupBy(*by).agg(F.count("*").alias("n"))
+        largest = sizes.agg(F.max("n")).first()[0] or 0
+        if largest > accuracy:
+            marked = base.join(base.groupBy(*by).agg(sketch.alias("__s")), by)
+        else:
+            marked = None
 
-    m = len(names)
-    lo = [F.lit(-_INF) if p == 0.0 else F.col("__g")[i] for i, p in enumerate(lows)]
-    hi = [F.lit(_INF) if p == 1.0 else F.col("__g")[m + i] for i, p in enumerate(highs)]
-    inside = F.lit(False)
-    gap = F.lit(-_INF)
-    for a, b in zip(lo, hi):
-        inside = inside | v.between(a, b)
-        gap = F.greatest(gap, F.when(b < v, b).otherwise(F.lit(-_INF)))
-    reduced = (
-        marked.select(
+    if marked is None:
+        exact = base.select(*by, v.alias("__k"), F.lit(0).alias("__c"))
+    else:
+        m = len(names)
+        lo = [F.lit(-_INF) if p == 0.0 else F.col("__s.g")[i] for i, p in enumerate(lows)]
+        hi = [F.lit(_INF) if p == 1.0 else F.col("__s.g")[m + i] for i, p in enumerate(highs)]
+        # A bracket spans at least a few ranks only once a group is that large.
+        inside = F.col("__s.n") <= accuracy
+        gap = F.lit(-_INF)
+        for a, b in zip(lo, hi):
+            inside = inside | v.between(a, b)
+            gap = F.greatest(gap, F.when(b < v, b).otherwise(F.lit(-_INF)))
+        exact = marked.select(
             *by,
             F.when(inside, v).otherwise(gap).alias("__k"),
             F.when(inside, 0).otherwise(1).alias("__c"),
         )
-        .groupBy(*by, "__k", "__c")
-        .agg(F.count("*").alias("__n"))
-    )
+    reduced = exact.groupBy(*by, "__k", "__c").agg(F.count("*").alias("__n"))
 
     ranked = running_totals(reduced, ["__k", "__c"], "__n", by, "__cum", total="__total")
     first, after = F.col("__cum") - F.col("__n"), F.col("__cum")

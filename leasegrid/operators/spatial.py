@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leasegrid.functions.geo import distance_km, projected_km, ring_covers
+from leasegrid.functions.geo import distance_km, edges_cover, projected_km, ring_edges
 from leasegrid.functions.numbers import distance_decay
 
 _KM_PER_DEGREE = 111.19492664455873
@@ -277,7 +277,7 @@ def points_in_polygons(
     """
     xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
     boxed = polygons.where(F.col(ring).isNotNull()).withColumns(
-        {"__x0": F.array_min(xs), "__x1": F.array_max(xs), "__y0": F.array_min(ys), "__y1": F.array_max(ys)}
+        {"__x0": F.array_min(xs), "__x1": F.array_max(xs), "__y0": F.array_min(ys), "__y1": F.array_max(ys), "__e": ring_edges(F.col(ring))}
     )
     points = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     grid = tiling([(points, lat, lon)], "planar")
@@ -303,8 +303,8 @@ def points_in_polygons(
     return (
         covered.join(offered, ["__l", "__tx", "__ty"])
         .where(in_box)
-        .where(ring_covers(F.col(ring), x, y))
-        .drop("__l", "__tx", "__ty", "__x0", "__x1", "__y0", "__y1")
+        .where(edges_cover(F.col("__e"), x, y))
+        .drop("__l", "__tx", "__ty", "__x0", "__x1", "__y0", "__y1", "__e")
     )
 
 

@@ -252,7 +252,7 @@ def school_ranks(spark, sf):
 # --- scores ----------------------------------------------------------------------------
 
 SHAPES = "SELECT n_nationkey AS suburb, count(*) AS count_cafe, avg(s_acctbal) AS min_dist_cafe, min(s_acctbal) AS income_rent_ratio FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1"
-_UNIT = "(({x}) - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ())"
+_UNIT = "CASE WHEN max({x}) OVER () - min({x}) OVER () <= 1e-8 + 1e-5 * abs(max({x}) OVER ()) THEN 0.5e0 ELSE (({x}) - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) END"
 
 
 def _suburb_shapes(spark, sf):
