@@ -40,6 +40,33 @@ def _segments(length: Column, needed: Column) -> Column:
     return F.least(needed * 2, F.greatest(needed, F.floor(length / 4))).cast("int")
 
 
+def _pair_bits(text: Column) -> Column:
+    """256-bit set of the text's character pairs, as four longs.
+
+    One edit removes at most two pairs, so texts within D edits miss at most
+    2 D of each other's bits: a cheap test before the exact comparison.
+    """
+    pairs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1))),
+        lambda i: F.pmod(F.hash(F.substring(text, i, F.lit(2))), F.lit(256)),
+    )
+
+    def word(k: int) -> Column:
+        mine = F.filter(pairs, lambda x: F.shiftright(x, 6) == k)
+        return F.aggregate(
+            mine, F.lit(0).cast("bigint"), lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x % 64))
+        )
+
+    return F.struct(*[word(k).alias(f"b{k}") for k in range(4)])
+
+
+def _missing(a: str, b: str) -> Column:
+    out = F.lit(0)
+    for k in range(4):
+        out = out + F.bit_count(F.col(f"{a}.b{k}").bitwiseAND(F.bitwise_not(F.col(f"{b}.b{k}"))))
+    return out
+
+
 def _start(j: Column, length: Column, parts: Column) -> Column:
     return F.floor(j * length / parts).cast("int")
 
@@ -61,6 +88,9 @@ def similar_pairs(
     a = left.select(*by, F.col(text)).where(F.length(text) > 0).distinct()
     b = right.select(*by, F.col(text).alias("match")).where(F.length("match") > 0).distinct()
 
+    # Cutting multiplies rows, so small inputs are spread over all tasks first.
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a, b = a.repartition(spread), b.repartition(spread)
     n, j = F.col("__n"), F.col("__j")
     needed = _needed(n, threshold, metric)
     # Texts too short to cut are met by length alone.
@@ -68,10 +98,10 @@ def similar_pairs(
     p = _start(j, n, F.col("__s"))
     q = _start(j + 1, n, F.col("__s")) - p
 
-    cut = b.withColumn("__n", F.length("match")).withColumn("__s", _segments(n, needed))
+    cut = b.withColumn("__bm", _pair_bits(F.col("match"))).withColumn("__n", F.length("match")).withColumn("__s", _segments(n, needed))
     cut = cut.withColumn("__j", F.explode(numbers))
     seg = F.when(j < 0, F.lit("")).otherwise(F.substring("match", p + 1, q))
-    cut = cut.select(*by, "match", "__n", "__j", seg.alias("__seg"))
+    cut = cut.select(*by, "match", "__bm", "__n", "__j", seg.alias("__seg"))
     key = [*by, "__n", "__j", "__seg"]
     common = cut.groupBy(*key).agg(F.count("*").alias("__f"))
     rarest = Window.partitionBy(*by, "match").orderBy("__f", "__j")  # a text's own segments
@@ -79,7 +109,7 @@ def similar_pairs(
         cut.join(common, key)
         .withColumn("__r", F.row_number().over(rarest))
         .where(F.col("__r") <= needed)
-        .select(*key, "match")
+        .select(*key, "match", "__bm")
     )
 
     la = F.col("__m")
@@ -88,7 +118,7 @@ def similar_pairs(
     high = F.ceil(la * span[1]).cast("int")
     edits = _allowed(la, n, threshold, metric)
     shift = la - n
-    probe = a.withColumn("__m", F.length(text)).withColumn("__n", F.explode(F.sequence(low, high)))
+    probe = a.withColumn("__bt", _pair_bits(F.col(text))).withColumn("__m", F.length(text)).withColumn("__n", F.explode(F.sequence(low, high)))
     probe = probe.where(F.abs(shift) <= edits).withColumn("__d", edits)
     probe = probe.withColumn("__s", _segments(n, needed)).withColumn("__j", F.explode(numbers))
     probe = probe.withColumn("__p", p).withColumn("__q", q)
@@ -98,13 +128,19 @@ def similar_pairs(
     spots = F.when(j < 0, F.array(F.lit(0))).when(first <= last, F.sequence(first, last))
     probe = probe.withColumn("__a", F.explode(spots))
     seg = F.when(j < 0, F.lit("")).otherwise(F.substring(F.col(text), F.col("__a") + 1, F.col("__q")))
-    probe = probe.select(*by, text, "__n", "__j", seg.alias("__seg")).distinct()
+    probe = probe.select(*by, text, "__bt", "__n", "__j", seg.alias("__seg"))
 
-    pairs = probe.join(index, key).select(*by, text, "match")
+    within = _allowed(F.length(text), F.length("match"), threshold, metric)
+    pairs = probe.join(index, key).where(
+        (_missing("__bt", "__bm") <= within * 2) & (_missing("__bm", "__bt") <= within * 2)
+    )
+    pairs = pairs.select(*by, text, "match")
     if metric == "edit":
-        # Compared inside the join stage; only true matches are deduplicated.
-        scored = pairs.withColumn("similarity", edit_similarity(F.col(text), F.col("match")))
-        return scored.where(F.col("similarity") >= threshold).distinct()
+        # Compared inside the join stage, giving up at the allowed distance; only
+        # true matches are deduplicated.
+        near = pairs.where(F.call_function("levenshtein", F.col(text), F.col("match"), within) >= 0)
+        scored = near.distinct().withColumn("similarity", edit_similarity(F.col(text), F.col("match")))
+        return scored.where(F.col("similarity") >= threshold)
     return pairs.distinct().withColumn(
         "similarity", matching_blocks_ratio(F.col(text), F.col("match"))
     ).where(F.col("similarity") >= threshold)
