@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from leasegrid import constants as C
 
@@ -88,7 +89,7 @@ def projected_km(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     return F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) / 1000
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def geodesic_m(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     """WGS84 geodesic length in metres (Vincenty's inverse formula, vectorised)."""
     a, f = C.WGS84_A, C.WGS84_F

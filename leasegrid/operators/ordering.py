@@ -113,6 +113,29 @@ def running_totals(
     )
 
 
+def forward_fill(
+    df: DataFrame, unit: Sequence[str], order: Sequence[Column | str], value: str, name: str | None = None
+) -> DataFrame:
+    """Last non-null ``value`` so far per unit, in ``order`` (unique per unit).
+
+    Rows are range-partitioned by (unit, order). Each range fills itself; what
+    an earlier range of the same unit ended with is carried in by a join on
+    (unit, range), so even one unit with most of the rows is split.
+    """
+    order = [_as_col(c) for c in order]
+    v = F.col(value)
+    frozen = cut_lineage(
+        df.repartitionByRange(*[F.col(u) for u in unit], *order).withColumn(_PART, F.spark_partition_id())
+    )
+    ends = frozen.groupBy(*unit, _PART).agg(F.max_by(value, F.when(v.isNotNull(), F.struct(*order))).alias("__e"))
+    earlier = Window.partitionBy(*unit).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*unit, _PART, F.last("__e", ignorenulls=True).over(earlier).alias("__in"))
+    local = Window.partitionBy(*unit, _PART).orderBy(*order)
+    filled = F.coalesce(F.last(value, ignorenulls=True).over(local), F.col("__in"))
+    out = frozen.join(carried, [*unit, _PART]).withColumn(name or value, filled)
+    return out.drop(_PART, "__in")
+
+
 def dense_ids(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     """0-based id of each distinct key in key order, joined back to every row."""
     distinct = df.select(*keys).where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)).distinct()

@@ -70,10 +70,6 @@ def first_difference(df: DataFrame, unit: Sequence[str], order: str, value: str,
     return df.withColumn(name, F.col(value) - F.lag(value).over(_series(unit, order)))
 
 
-def forward_fill(df: DataFrame, unit: Sequence[str], order: str, value: str, name: str | None = None) -> DataFrame:
-    return df.withColumn(name or value, F.last(value, ignorenulls=True).over(_series(unit, order)))
-
-
 def tail_values(
     df: DataFrame, unit: Sequence[str], order: str, value: str, n: int = 4, name: str = "tail", complete: bool = True
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from leasegrid.functions.numbers import normal_quantile
 from leasegrid.operators.ordering import row_numbers, running_totals
@@ -196,7 +197,7 @@ def _f_tail(f: float, d1: float, d2: float) -> float:
     return 1.0 - front * _beta_fraction(b, a, 1 - x) / b
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_survival(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([_f_tail(*v) for v in zip(f, d1, d2)], dtype=float)
 

@@ -879,8 +879,10 @@ def recent_trend(spark, sf):
     "SELECT user_id, event_id, last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_purchase FROM events",
 )
 def forward_fill(spark, sf):
-    e = table(spark, sf, "events").withColumns({"at": F.struct("ts", "event_id"), "bought": F.when(F.col("event_type") == "purchase", F.col("value"))})
-    return panel.forward_fill(e, ["user_id"], "at", "bought", "last_purchase").select("user_id", "event_id", "last_purchase")
+    e = table(spark, sf, "events").withColumn("bought", F.when(F.col("event_type") == "purchase", F.col("value")))
+    e = e.select("user_id", "event_id", "ts", "bought")
+    out = ordering.forward_fill(e, ["user_id"], ["ts", "event_id"], "bought", "last_purchase")
+    return out.select("user_id", "event_id", "last_purchase")
 
 
 @query(
