@@ -154,6 +154,25 @@ def impute_mode(
     return df.join(modes, by, "left").withColumn(name or column, filled).drop("__mode")
 
 
+def impute_modes(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+    """``impute_mode`` of several like-typed columns at once: one long-form count serves
+    every column, per group and overall."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns]))
+    long = df.select(by, pairs.alias("p")).select(by, "p.c", "p.v").where(F.col("v").isNotNull())
+    counts = long.groupBy(by, "c", "v").agg(F.count("*").alias("n"))
+    best = F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"]
+
+    def wide(modes: DataFrame, *keys: str) -> DataFrame:
+        return modes.groupBy(*keys).agg(*[F.max(F.when(F.col("c") == c, F.col("m"))).alias(f"__{c}") for c in columns])
+
+    own = wide(counts.groupBy(by, "c").agg(best.alias("m")), by)
+    whole = counts.groupBy("c", "v").agg(F.sum("n").alias("n")).groupBy("c").agg(best.alias("m"))
+    any_type = wide(whole).select(F.struct(*[f"__{c}" for c in columns]).alias("s")).scalar()
+    joined = df.join(own, by, "left").withColumn("__any", any_type)
+    filled = {c: F.coalesce(c, f"__{c}", f"__any.__{c}") for c in columns}
+    return joined.withColumns(filled).select(*df.columns)
+
+
 def impute_overall_mode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(
         column, F.coalesce(F.col(column), group_mode(df, column, name="__m").scalar())

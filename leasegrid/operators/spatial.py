@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from leasegrid.functions.geo import distance_km, edges_cover, projected_km, ring_edges
 from leasegrid.functions.numbers import distance_decay
+from leasegrid.session import cut_lineage
 
 _KM_PER_DEGREE = 111.19492664455873
 _DEEPEST = 18
@@ -351,6 +352,29 @@ def best_schools(
 # --- imputation from neighbours -----------------------------------------------------
 
 
+def nearest_gifts(
+    df: DataFrame, columns: Sequence[str], key: str, group: str = "suburb", lat: str = "lat", lon: str = "lon"
+) -> DataFrame:
+    """(key, __g_<column>...): what each row with a NULL among ``columns`` receives.
+
+    The narrow input is frozen first, because donors, receivers and their
+    groups are all read from it.
+    """
+    columns = list(columns)
+    df = cut_lineage(df.select(*dict.fromkeys([key, group, lat, lon, *columns])))
+    null_any = F.lit(False)
+    for c in columns:
+        null_any = null_any | F.col(c).isNull()
+    needy = df.where(null_any).select(key, group, lat, lon)
+    donors = df.where(~null_any).withColumnRenamed(key, "__donor")
+    kw = {"k": 1, "point_id": key, "site_id": "__donor", "method": "planar", "lat": lat, "lon": lon}
+    served = donors.where(F.col(group).isNotNull()).select(group).distinct()
+    local = nearest(needy.join(served, group, "left_semi"), donors, by=[group], **kw)
+    far = nearest(needy.join(served, group, "left_anti"), donors, **kw)
+    gifts = donors.select("__donor", *[F.col(c).alias(f"__g_{c}") for c in columns])
+    return local.unionByName(far).select(key, "__donor").join(gifts, "__donor").drop("__donor")
+
+
 def impute_nearest(
     df: DataFrame,
     columns: Sequence[str],
@@ -365,23 +389,7 @@ def impute_nearest(
 
     Donors are always original rows, so the result does not depend on row order.
     """
-    columns = list(columns)
-    null_any = F.lit(False)
-    for c in columns:
-        null_any = null_any | F.col(c).isNull()
-    base = [key, group, lat, lon]
-    needy = df.where(null_any).select(*base)
-    donors = df.where(~null_any).select(F.col(key).alias("__donor"), group, lat, lon)
-    kw = {"k": 1, "point_id": key, "site_id": "__donor", "method": "planar", "lat": lat, "lon": lon}
-    local = nearest(needy, donors, by=[group], **kw)
-    served = donors.where(F.col(group).isNotNull()).select(group).distinct()
-    orphans = needy.join(served, group, "left_anti")
-    far = nearest(orphans, donors, **kw)
-    chosen = local.unionByName(far).select(key, "__donor")
-    gifts = df.where(~null_any).select(
-        F.col(key).alias("__donor"), *[F.col(c).alias(f"__g_{c}") for c in columns]
-    )
-    given = chosen.join(gifts, "__donor").drop("__donor")
+    given = nearest_gifts(df, columns, key, group, lat, lon)
     out = df.join(given, key, "left").withColumns(
         {c + suffix: F.coalesce(F.col(c), F.col(f"__g_{c}")) for c in columns}
     )

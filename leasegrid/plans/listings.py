@@ -11,7 +11,8 @@ from leasegrid import constants as C
 from leasegrid.functions.dates import mixed_timestamp
 from leasegrid.functions.text import property_category, property_features, slug_address, weekly_rent
 from leasegrid.operators import clean, joins
-from leasegrid.operators.spatial import impute_nearest
+from leasegrid.operators.spatial import nearest_gifts
+from leasegrid.session import cut_lineage
 
 ROOMS = ["bedrooms", "bathrooms", "car_spaces"]
 LIVE_COLUMNS = [
@@ -23,12 +24,6 @@ LIVE_COLUMNS = [
 ]
 
 
-def _impute_rooms(df: DataFrame) -> DataFrame:
-    for c in ROOMS:
-        df = clean.impute_mode(df, c, "property_type")
-    return df
-
-
 def clean_live(df: DataFrame, aliases: DataFrame | None = None, more_than: int = 10, strict_keys: bool = False) -> DataFrame:
     """Live listing rows to typed, standardised, imputed rows with a weekly rent."""
     df = clean.snake_names(df)
@@ -41,7 +36,7 @@ def clean_live(df: DataFrame, aliases: DataFrame | None = None, more_than: int =
     df = clean.keep_large_groups(df, "suburb", more_than)
     parsed = df.withColumn("__f", property_features(F.col("property_features")))
     df = parsed.select(*df.columns, *[F.col(f"__f.{c}").alias(c) for c in ROOMS])
-    df = _impute_rooms(df)
+    df = clean.impute_modes(cut_lineage(df), ROOMS, "property_type")
     if "appointment_only" in df.columns:
         df = clean.impute_overall_mode(df, "appointment_only")
     dates = {c: mixed_timestamp(F.col(c).cast("string")) for c in ("updated_date", "first_listed_date", "last_sold_date") if c in df.columns}
@@ -62,7 +57,7 @@ def clean_archive(
     df = joins.map_aliases(df, "suburb", aliases) if aliases is not None else df.withColumn("suburb", F.lower("suburb"))
     df = clean.keep_large_groups(df, "suburb", more_than).drop("land_area")
     df = df.withColumns({c: F.col(c).cast("string").try_cast("double").cast("int") for c in ROOMS})
-    df = _impute_rooms(df)
+    df = clean.impute_modes(cut_lineage(df), ROOMS, "property_type")
     df = df.withColumn("rental_price", weekly_rent(F.col("rental_price"))).where(F.col("rental_price").isNotNull())
     df = df.withColumn("address", slug_address(F.col("url")))
     df = clean.keep_latest(df, "property_id", ["year", "quarter", *tie])
@@ -78,7 +73,7 @@ def combine(live: DataFrame, archive: DataFrame, geocodes: DataFrame | None = No
         live.withColumn("source", F.lit("live")), archive.withColumn("source", F.lit("wayback"))
     )
     latest = clean.keep_latest(both, "property_id", ["year", "quarter", "source", "rental_price"])
-    return clean.clip_quantiles_in_turn(latest, "rental_price")
+    return clean.clip_quantiles_in_turn(cut_lineage(latest), "rental_price")
 
 
 def sample(df: DataFrame, fraction: float = 0.5) -> DataFrame:
@@ -91,16 +86,18 @@ def enrich(listings: DataFrame, pois: DataFrame, routes: DataFrame, isochrones:
     ``listings`` carries lat/lon. Columns with gaps get an ``_imputed`` twin;
     POI counts with gaps are 0-filled and renamed instead.
     """
-    out = joins.attach_features(listings, "property_id", clean.drop_sparse_columns(pois))
-    out = clean.fill_counts(out)
-    distances = [c for c in pois.columns if c.startswith("min_dist_") and c in out.columns]
-    for c in distances:
-        out = impute_nearest(out, [c], "property_id", suffix="_imputed")
-    out = joins.attach_features(out, "property_id", routes.withColumnRenamed("stationid", "closest_ptv_station_id"))
-    for c in ("closest_ptv_station_id", "min_route_dist_m", "min_route_dur_s"):
-        out = impute_nearest(out, [c], "property_id", suffix="_imputed")
+    dense = clean.drop_sparse_columns(pois)
+    full = clean.fill_counts(joins.attach_features(listings, "property_id", dense))
+    groups = [[c] for c in dense.columns if c.startswith("min_dist_")]
+    full = joins.attach_features(full, "property_id", routes.withColumnRenamed("stationid", "closest_ptv_station_id"))
+    groups += [["closest_ptv_station_id"], ["min_route_dist_m"], ["min_route_dur_s"]]
     for iso in isochrones:
-        bands = [c for c in iso.columns if c != "property_id"]
-        out = joins.attach_features(out, "property_id", iso)
-        out = impute_nearest(out, bands, "property_id", suffix="_imputed")
-    return out
+        full = joins.attach_features(full, "property_id", iso)
+        groups.append([c for c in iso.columns if c != "property_id"])
+    # Every group of columns is filled from the same frozen rows, so the work
+    # grows with the number of groups, not with its square.
+    full = cut_lineage(full)
+    out = joins.attach_features(full, "property_id", *[nearest_gifts(full, g, "property_id") for g in groups])
+    names = [c for g in groups for c in g]
+    filled = {f"{c}_imputed": F.coalesce(F.col(c), F.col(f"__g_{c}")) for c in names}
+    return out.withColumns(filled).drop(*[f"__g_{c}" for c in names])
