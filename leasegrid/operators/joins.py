@@ -61,16 +61,21 @@ def combo_aliases(panel: DataFrame, localities: DataFrame, key: str = "suburb",
 
 
 def merge_on_combo(
-    destination: DataFrame, data: DataFrame, column: str, key: str = "suburb", repair: bool = True
+    destination: DataFrame, data: DataFrame, column: str, key: str = "suburb", repair: bool = True, units: DataFrame | None = None
 ) -> DataFrame:
     """Inner join on suburb, where a hyphenated destination key whose parts all exist
-    in ``data`` receives the mean of all its parts' rows as an extra row."""
+    in ``data`` receives the mean of all its parts' rows as an extra row.
+
+    ``units`` may supply the destination's keys, so that chained merges do not
+    read the growing destination twice each.
+    """
     values = data.select(key, column)
     if repair:
         values = values.withColumn(key, repair_suburb(F.col(key)))
     values = values.where(F.col(key).isNotNull())
     parts = (
-        destination.select(F.col(key).alias("__combo"))
+        (destination if units is None else units)
+        .select(F.col(key).alias("__combo"))
         .where(F.contains(F.col("__combo"), F.lit("-")))
         .distinct()
         .select("__combo", F.array_distinct(F.split("__combo", "-")).alias("__parts"))

@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leasegrid.operators import clean, joins, score
+from leasegrid.session import cut_lineage
 
 
 def census_ratio(listings: DataFrame, medians: DataFrame) -> DataFrame:
     """Attach census household income, rent and their ratio to each listing's suburb."""
-    out = listings
+    out, units = listings, listings.select("suburb").distinct()
     for text, name in (
         ("Median total household income ($/weekly)", "median_household_income"),
         ("Median rent ($/weekly)(a)", "median_rent_census"),
     ):
         values = medians.where(F.col("Statistic") == text).select(F.col("Suburb").alias("suburb"), F.col("Value").alias(name))
-        out = joins.merge_on_combo(out, values, name)
+        out = joins.merge_on_combo(out, values, name, units=units)
     return out.withColumn("income_rent_ratio", F.try_divide("median_rent_census", "median_household_income"))
 
 
@@ -27,7 +28,8 @@ def suburb_scores(
 ) -> DataFrame:
     """Suburb table with pillar scores and livability_score (unsorted)."""
     df = clean.select_present(listings, wanted) if wanted else listings
-    df = joins.map_aliases(df, "suburb", aliases)
+    # The roll-up reads these rows once per kind of rule.
+    df = cut_lineage(joins.map_aliases(df, "suburb", aliases))
     suburbs = score.suburb_rollup(df)
     if valid is not None:
         suburbs = joins.semi(suburbs, valid, "suburb")

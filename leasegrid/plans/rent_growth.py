@@ -32,22 +32,23 @@ def economic_series(frames: Sequence[DataFrame]) -> DataFrame:
 def panel(rents: DataFrame, economy: DataFrame, population: DataFrame, medians: DataFrame) -> DataFrame:
     """Rent x economics, then population, income and age by combo-key averages."""
     out = joins.outer_chain(["year", "quarter"], rents, economy)
-    out = out.where(F.col("suburb").isNotNull())
+    out = cut_lineage(out.where(F.col("suburb").isNotNull()))
+    units = out.select("suburb").distinct()
     people = population.where(is_age_summary(F.col("Age group")) & (F.col("Age group") == "Total"))
     people = people.select(F.lower("Suburb").alias("suburb"), F.col("Persons").alias("population_size"))
-    out = joins.merge_on_combo(out, people, "population_size")
+    out = joins.merge_on_combo(out, people, "population_size", units=units)
     for text, name in (
         ("Median total personal income ($/weekly)", "median_personal_income"),
         ("Median age of persons", "median_age"),
     ):
         values = medians.where(F.col("Statistic") == text).select(F.col("Suburb").alias("suburb"), F.col("Value").alias(name))
-        out = joins.merge_on_combo(out, values, name)
+        out = joins.merge_on_combo(out, values, name, units=units)
     return out
 
 
 def indexed(panel: DataFrame) -> DataFrame:
     """Rows with a gsp value, plus spatial_unit, time_index and spatial_index."""
-    out = clean.spatial_unit(panel.where(F.col("gsp").isNotNull()))
+    out = cut_lineage(clean.spatial_unit(panel.where(F.col("gsp").isNotNull())))
     out = dense_ids(out, ["date"], "time_index")
     return dense_ids(out, ["spatial_unit"], "spatial_index")
 
@@ -60,7 +61,7 @@ def spatial_edges(places: DataFrame, panel: DataFrame, k: int = 15) -> DataFrame
 
 def featured(panel: DataFrame, edges: DataFrame) -> DataFrame:
     """Lags 1-4, spatial lag, reliability weights; rows without a full history dropped."""
-    out = time_lags(panel, ["spatial_unit"], "date", "median_rent")
+    out = time_lags(cut_lineage(panel), ["spatial_unit"], "date", "median_rent")
     out = joins.spatial_lag(out, edges, "date", "median_rent")
     out = clean.reliability_weights(out)
     return out.na.drop(subset=["median_rent", *[f"rent_lag_{k}" for k in range(1, 5)], "spatial_lag"])
@@ -86,6 +87,7 @@ def forecast_growth(
     features: DataFrame, edges: DataFrame, coefficients: Mapping[str, float], indicators: Sequence[str], quarters: int = 20
 ) -> tuple[DataFrame, DataFrame]:
     """(forecast, growth): indicators by VAR, rents by the recursive spatial model."""
+    features = cut_lineage(features)
     economy = var_forecast(features, list(indicators), steps=quarters)
     out = spatial_forecast(features, edges, coefficients, economy, indicators, quarters)
     return out, rent_growth(out, features, quarters, quarters / 4)

@@ -13,6 +13,7 @@ from leasegrid.functions.numbers import school_goodness
 from leasegrid.operators import clean
 from leasegrid.operators.match import fuzzy_dedup, rank_schools
 from leasegrid.operators.spatial import best_schools
+from leasegrid.session import cut_lineage
 
 
 def process_schools(schools: DataFrame, order: Sequence[str] = ("establishment_year", "School_No"), threshold: float = 0.99, metric: str = "edit") -> DataFrame:
@@ -22,7 +23,7 @@ def process_schools(schools: DataFrame, order: Sequence[str] = ("establishment_y
     df = df.withColumns({c: F.col(c).cast("string").try_cast("double") for c in ("X", "Y")})
     df = df.withColumns({"lon": F.col("X"), "lat": F.col("Y"), "X": F.round("X", 1), "Y": F.round("Y", 1)})
     ords = [f"__ord{i}" for i in range(len(order))]
-    df = fuzzy_dedup(df, "School_Name", ["X", "Y"], ords, threshold, metric)
+    df = cut_lineage(fuzzy_dedup(cut_lineage(df), "School_Name", ["X", "Y"], ords, threshold, metric))
     df = clean.drop_listed(df, "School_Type", ["Language", "Camp"])
     df = df.where(~F.col("School_Status").eqNullSafe("C")).drop("School_Status")
     df = clean.snake_names(df)
@@ -112,5 +113,6 @@ def finalise(df: DataFrame) -> DataFrame:
 
 def school_features(listings: DataFrame, schools: DataFrame, ranks: DataFrame, bands: Sequence[str]) -> DataFrame:
     """Complete workflow from raw school rows to finished listing features."""
-    good = ranked(process_schools(schools), ranks)
-    return finalise(fill_from_fallback(attach_best_schools(listings, good, bands)))
+    good = cut_lineage(ranked(process_schools(schools), ranks))
+    best = cut_lineage(attach_best_schools(listings, good, bands))
+    return finalise(fill_from_fallback(best))
