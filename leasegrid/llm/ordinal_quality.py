@@ -24,6 +24,7 @@ from leasegrid.session import cut_lineage
 
 DIM = 1 << 18
 STYLE = 64  # the last places hold surface features, no hashed word
+STEMS = (4, 5)  # beginnings of longer words that are features too, for languages that inflect and compound
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -36,8 +37,8 @@ def _place(word: str, known: dict[str, int]) -> int:
     return at
 
 
-def features(text: str | None, known: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values of one whole text: presence of each word, plus surface features.
+def features(text: str | None, known: dict[str, int]) -> np.ndarray:
+    """Places of one whole text: presence of each word and stem, plus surface features.
 
     Word presence has weight 1 whatever the length, so one telling word shows in
     a long text. Surface features are buckets of: repeated words, upper-case
@@ -49,7 +50,7 @@ def features(text: str | None, known: dict[str, int]) -> tuple[np.ndarray, np.nd
     n = len(words)
     base = DIM - STYLE
     if not n:
-        return np.array([base]), np.ones(1)
+        return np.array([base], np.int32)
     lower = [w.lower() for w in words]
     kinds: dict[str, int] = {}
     for w in lower:
@@ -68,9 +69,14 @@ def features(text: str | None, known: dict[str, int]) -> tuple[np.ndarray, np.nd
         base + 1 + bucket(spread), base + 9 + bucket(upper / n), base + 17 + bucket(signs / n),
         base + 25 + bucket(letters / n / 16), base + 33 + min(7, n.bit_length() // 2), base + 41 + bucket(top / n * 2),
     ]
-    at = np.fromiter((_place(w, known) for w in kinds), np.int64, len(kinds))
-    at = np.unique(np.concatenate([at, style]))
-    return at, np.where(at >= base, 2.0, 1.0)
+    stems = {"^" + w[:k] for w in kinds for k in STEMS if len(w) > k}
+    at = np.fromiter((_place(w, known) for named in (kinds, stems) for w in named), np.int64, len(kinds) + len(stems))
+    return np.unique(np.concatenate([at, style])).astype(np.int32)
+
+
+def _values(at: np.ndarray) -> np.ndarray:
+    """A surface feature counts double."""
+    return np.where(at >= DIM - STYLE, np.float32(2), np.float32(1))
 
 
 @dataclass(frozen=True)
@@ -86,9 +92,13 @@ class OrdinalModel:
 
 
 def fit_ordinal(
-    rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int, l2: float = 2e-4, rounds: int = 300, rate: float = 0.1
+    rows: list[np.ndarray], grades: np.ndarray, n_grades: int, l2: float = 2e-4, rounds: int = 200, rate: float = 0.1,
+    min_rows: int = 20,
 ) -> OrdinalModel:
-    """Maximum likelihood of the cumulative logit model, by Adam over the whole sample.
+    """Maximum likelihood of the cumulative logit model, by Adam with a falling rate over the whole sample.
+
+    Places that occur in fewer than ``min_rows`` rows keep the weight zero: they
+    would only learn those rows by heart.
 
     The gaps between thresholds are kept positive by fitting their logarithms.
     Grades without a row leave their threshold where the prior gap puts it. No
@@ -98,9 +108,11 @@ def fit_ordinal(
     w, first = np.zeros(DIM), np.array([-1.0])
     if not rows:
         return OrdinalModel(w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
-    at = np.concatenate([r[0] for r in rows])
-    value = np.concatenate([r[1] for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    at = np.concatenate(rows)
+    row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    held = (np.bincount(at, minlength=DIM) >= min(min_rows, len(rows)))[at]
+    at, row = at[held], row[held]
+    value = _values(at)
     used, at = np.unique(at, return_inverse=True)
     v = np.zeros(len(used))
     params = [v, first, gaps]
@@ -123,10 +135,11 @@ def fit_ordinal(
             np.array([g_cut.sum()]),
             np.array([g_cut[k + 1:].sum() for k in range(len(gaps))]) * np.exp(gaps) + 1e-3 * gaps,
         ]
+        pace = rate * (1 - (step - 1) / rounds)
         for p_, g, a, b in zip(params, grads, m1, m2):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
-            p_ -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
+            p_ -= pace * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
     w[used] = v
     return OrdinalModel(w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
@@ -139,7 +152,7 @@ def fit_quality(
     grade_col: str = "grade",
     n_grades: int = 3,
     max_rows: int = 12_000,
-    max_features: int = 4_000_000,
+    max_features: int = 8_000_000,
 ) -> OrdinalModel:
     """Fit on at most ``max_rows`` rated documents, chosen by a hash of the id.
 
@@ -158,10 +171,9 @@ def fit_quality(
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, int] = {}
         for b in batches:
-            got = [features(t, known) for t in b["text"]]
             yield pd.DataFrame({
                 "id": b["id"], "grade": b["grade"], "tie": [zlib.crc32((t or "").encode("utf-8", "surrogatepass")) for t in b["text"]],
-                "at": [a.astype(np.int32) for a, _ in got],
+                "at": [features(t, known) for t in b["text"]],
             })
 
     found = texts.mapInPandas(hashed, "id long, grade int, tie long, at array<int>")
@@ -172,11 +184,11 @@ def fit_quality(
     for i in range(len(ids)):
         if ids[i] == last:
             continue
-        at = lists[i].values.to_numpy().astype(np.int64)
+        at = lists[i].values.to_numpy()
         last, total = ids[i], total + len(at)
         if total > max_features and rows:
             break
-        rows.append((at, np.where(at >= DIM - STYLE, 2.0, 1.0)))
+        rows.append(at)
         grades.append(min(max(int(ranks[i]), 0), n_grades - 1))
     return fit_ordinal(rows, np.array(grades), n_grades)
 
@@ -198,8 +210,8 @@ def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text",
         for texts in batches:
             score = np.empty(len(texts))
             for i, t in enumerate(texts):
-                at, value = features(t, known)
-                score[i] = (weights[at] * value).sum()
+                at = features(t, known)
+                score[i] = (weights[at] * _values(at)).sum()
             tails = own.tails(score)
             yield pd.DataFrame({"expected": tails.sum(1), "tail": tails[:, k]})
 

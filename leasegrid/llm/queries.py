@@ -13,7 +13,7 @@ from leasegrid.queries.registry import table
 
 #: The rules of the URL query: host, path, verdict.
 URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-MIN_TAIL = 0.5
+MIN_TAIL = 0.6
 MAX_BAD = 0.5
 ENTROPY_RATIO = 0.95
 

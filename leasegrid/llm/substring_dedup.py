@@ -85,10 +85,11 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _pack(**columns) -> bytes:
+def _pack(small: bool = False, **columns) -> bytes:
     batch = pa.RecordBatch.from_pydict(columns)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
+    options = pa.ipc.IpcWriteOptions(compression="zstd" if small else None)
+    with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -121,7 +122,7 @@ def _dealt(kind: int, keys: np.ndarray, n: int, columns: dict[str, np.ndarray |
     ends = np.searchsorted(bucket[order], np.arange(n + 1))
     held = {k: v[order] if isinstance(v, np.ndarray) else v.take(pa.array(order)) for k, v in columns.items()}
     return [
-        (b, kind, _pack(**{k: v[ends[b]:ends[b + 1]] for k, v in held.items()}))
+        (b, kind, _pack(kind == CONTEXTS, **{k: v[ends[b]:ends[b + 1]] for k, v in held.items()}))
         for b in range(n) if ends[b] < ends[b + 1]
     ]
 
@@ -157,11 +158,13 @@ def _repeated(blocks: dict[int, list[bytes]], n: int) -> list[tuple[int, int, by
     if table is None:
         return []
     h, count, doc, place = (table[c].to_numpy() for c in ("h", "n", "doc", "place"))
-    order = np.argsort(h, kind="stable")
+    order = np.lexsort((place, doc, h))
+    same = (h[order][1:] == h[order][:-1]) & (doc[order][1:] == doc[order][:-1]) & (place[order][1:] == place[order][:-1])
+    order = order[np.concatenate([[True], ~same])]  # equal texts are one
     starts, sizes = _runs(h[order])
     totals = np.add.reduceat(count[order].astype(np.int64), starts)
-    # places of those already repeated within a flush went out with it
-    out = order[np.repeat((totals > 1) & (sizes > 1), sizes)]
+    # places of those repeated within a flush went out with it
+    out = order[np.repeat(sizes > 1, sizes)]
     out = out[count[out] == 1]
     made = _dealt(PLACES, doc[out], n, {"doc": doc[out], "place": place[out]})
     hot = totals >= HOT_LEAST
@@ -207,7 +210,7 @@ class _Stretches:
 
 def _spans(spans: list[tuple[int, int, int, int]] | np.ndarray, n: int) -> list[tuple[int, int, bytes]]:
     got = np.array(spans, np.int64).reshape(-1, 4)
-    return _dealt(SPANS, got[:, 1], n, {"id": got[:, 0], "doc": got[:, 1], "start": got[:, 2], "end": got[:, 3]})
+    return _dealt(SPANS, got[:, 1], n, {"id": got[:, 0], "doc": got[:, 1], "start": got[:, 2].astype(np.uint32), "end": got[:, 3].astype(np.uint32)})
 
 
 def repeats_of(stretches: list[tuple[tuple[int, int, int], int, bytes]], length: int) -> np.ndarray:
@@ -354,34 +357,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are UTF-8 bytes, null counts as empty; matches never cross documents.
     A byte goes if a ``length``-byte string that covers it also starts earlier:
     in a smaller id, or earlier in the same text. A null id is the smallest. Rows
-    that repeat an id are documents of their own, ordered by a hash of their
-    text; of fully equal rows the first stays as it is. Further columns are
-    ignored; an empty table gives no rows.
+    of one id with different texts are documents ordered by a hash of the text;
+    equal rows of one id are one document and get the same result. Further
+    columns are ignored; an empty table gives no rows.
     """
     if length < PIECE + STEP:
         raise ValueError(f"length must be at least {PIECE + STEP}")
     spark = docs.sparkSession
-    n = 2 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))  # buckets
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), text.alias("text"))
-    rows = rows.withColumn("doc", F.xxhash64("id", "text"))
-    long_enough = rows.where(F.octet_length("text") >= length)
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))  # buckets
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("md", F.md5("text"))
+    doc = F.xxhash64("md")
+    # equal texts are one document, that of the smallest id; the others are removed whole
+    firsts = cut_lineage(rows.groupBy("md").agg(F.min("id").alias("first_id")).withColumn("doc", doc))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
+        parts, held, known = [], 0, set()
         for batch in batches:
             texts = batch.column(1)
             for i, doc in enumerate(batch.column(0).to_pylist()):
+                if doc in known:
+                    continue
+                known.add(doc)
                 h, place, _, _ = anchors(np.frombuffer(texts[i].as_py().encode("utf-8", "surrogatepass"), np.uint8), length)
                 parts.append((h, place, doc))
                 held += len(h)
                 if held >= FLUSH_ANCHORS:
                     yield from _seen_anchors(parts, n)
-                    parts, held = [], 0
+                    parts, held, known = [], 0, set()
         if parts:
             yield from _seen_anchors(parts, n)
 
-    first = long_enough.select("doc", "text").mapInArrow(seen, BLOCKS)
+    first = rows.where(F.octet_length("text") >= length).select(doc.alias("doc"), "text").mapInArrow(seen, BLOCKS)
     places = cut_lineage(_regrouped(first, n, lambda by: _repeated(by, n), (PLACES,)))
     frequent: dict[int, int] = {}
 
@@ -434,8 +441,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if held.first or held.spans:
             yield _rows(held.blocks())
 
-    met = long_enough.join(marked, F.col("doc") == F.col("of")).select("id", "doc", "text", "places")
-    met = met.mapInArrow(stretched, BLOCKS)
+    # the texts are shuffled once: both joins below exchange the same rows by the same key
+    asked = firsts.join(marked, F.col("doc") == F.col("of")).select(F.col("md").alias("of_md"), "first_id", "doc", "places")
+    met = rows.join(asked, (F.col("md") == F.col("of_md")) & (F.col("id") - F.col("first_id") == 0))
+    met = met.select("id", "doc", "text", "places").mapInArrow(stretched, BLOCKS)
     spans = _regrouped(met, n, lambda by: _met(by, length, n), (SPANS,))
 
     def unioned(table: pa.Table) -> pa.Table:
@@ -448,17 +457,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         cut = [np.stack(_merged(start[a:b], end[a:b]), 1).astype("<i8").tobytes() for a, b in zip(first, stop)]
         return pa.table({"of_id": pa.array(own[first], pa.int64()), "of": pa.array(doc[first], pa.int64()), "spans": pa.array(cut, pa.binary())})
 
-    cuts = cut_lineage(spans.groupBy("bucket").applyInArrow(unioned, "of_id long, of long, spans binary"))
-    final = rows.join(cuts, (F.col("doc") == F.col("of")) & (F.col("id") == F.col("of_id")), "left")
-    final = final.select("id", "text", "spans", F.expr("row_number() over (partition by doc, id order by doc)").alias("copy"))
+    cuts = spans.groupBy("bucket").applyInArrow(unioned, "of_id long, of long, spans binary")
+    cuts = firsts.join(cuts, (F.col("doc") == F.col("of")) & (F.col("first_id") == F.col("of_id")), "left")
+    final = rows.join(cuts.select(F.col("md").alias("of_md"), "first_id", "spans"), F.col("md") == F.col("of_md"))
+    final = final.select("id", "text", "spans", (F.col("id") == F.col("first_id")).alias("first"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts, lists, copies = (batch.column(i) for i in range(4))
+            ids, texts, lists, first = (batch.column(i) for i in range(4))
             out = []
             for i in range(len(batch)):
                 body, cut = texts[i].as_py().encode("utf-8", "surrogatepass"), lists[i].as_py()
-                if copies[i].as_py() > 1 and len(body) >= length:
+                if not first[i].as_py() and len(body) >= length:
                     runs = np.array([[0, len(body)]])
                 else:
                     runs = np.frombuffer(cut or b"", "<i8").reshape(-1, 2)
