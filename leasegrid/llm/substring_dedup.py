@@ -33,6 +33,7 @@ FLUSH_ANCHORS, FLUSH_BYTES = 1_500_000, 48 << 20
 SORT_SIGNS = 40_000
 PLACE_BITS = 24
 CHUNK = 1 << 22
+BUCKET_BYTES = 8 << 20  # bytes of text
 FIRST = -(1 << 63)  # place of a null id in the order
 _BASE = 0x9E3779B97F4A7C15
 
@@ -328,7 +329,7 @@ def _met(blocks: dict[int, list[bytes]], length: int, n: int) -> list[tuple[int,
 
 
 def _regrouped(blocks: DataFrame, n: int, work, passed: tuple[int, ...]) -> DataFrame:
-    """Run ``work`` on the blocks of every bucket; blocks of the kinds ``passed`` go through unchanged."""
+    """Run ``work`` on the blocks of every bucket; blocks of the kinds ``passed`` go through as one."""
 
     def of_bucket(table: pa.Table) -> pa.Table:
         kinds, data = table["kind"].to_pylist(), table["data"].to_pylist()
@@ -336,7 +337,8 @@ def _regrouped(blocks: DataFrame, n: int, work, passed: tuple[int, ...]) -> Data
         for k, d in zip(kinds, data):
             by.setdefault(k, []).append(d)
         bucket = table["bucket"][0].as_py()
-        made = [(bucket, k, d) for k, d in zip(kinds, data) if k in passed]
+        held = {k: _unpack(by[k]).to_batches()[0] for k in passed if k in by}
+        made = [(bucket, k, _pack(**dict(zip(t.schema.names, t.columns)))) for k, t in held.items()]
         return pa.Table.from_batches([_rows(made + work(by))])
 
     return blocks.groupBy("bucket").applyInArrow(of_bucket, BLOCKS)
@@ -364,12 +366,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if length < PIECE + STEP:
         raise ValueError(f"length must be at least {PIECE + STEP}")
     spark = docs.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))  # buckets
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("md", F.md5("text"))
     doc = F.xxhash64("md")
     # equal texts are one document, that of the smallest id; the others are removed whole
-    firsts = cut_lineage(rows.groupBy("md").agg(F.min("id").alias("first_id")).withColumn("doc", doc))
+    firsts = cut_lineage(rows.groupBy("md").agg(F.min("id").alias("first_id"), F.max(F.octet_length("text")).alias("size")).withColumn("doc", doc))
+    # buckets of a useful size, as many as there are shuffle partitions at most: a task writes a block for each
+    total = firsts.agg(F.sum("size")).first()[0] or 0
+    n = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES)))
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held, known = [], 0, set()
