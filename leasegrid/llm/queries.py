@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leasegrid.llm import (
-    bitplane_store, cross_polytope, license_dice, ordinal_quality, secret_confirm, simhash_tiles, substring_dedup,
-    temperature_mix, template_decon, url_reputation,
+    bitplane_store, cross_polytope, license_dice, order_minhash, ordinal_quality, secret_confirm, simhash_tiles, substring_dedup,
+    temperature_mix, template_decon, url_reputation, vector_codes, whitening,
 )
 from leasegrid.queries.registry import table
 
@@ -16,6 +16,7 @@ URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.
 MIN_TAIL = 0.6
 MAX_BAD = 0.5
 ENTROPY_RATIO = 0.95
+CODE_PARTS, CODE_ENTRIES, CODE_ROUNDS = 16, 64, 2
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -77,11 +78,27 @@ def op10_secret_confirm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_confirm.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of 16 parts and 64 entries after two rounds, with the error of the row and of its label."""
+    coded, books = vector_codes.compress_vectors(table(spark, sf_dir, "embeddings"), parts=CODE_PARTS, entries=CODE_ENTRIES, rounds=CODE_ROUNDS)
+    shown = vector_codes.with_label_error(coded).select("vec_id", "code", "error", "label_error")
+    return shown.withColumn("codebooks_sha256", F.lit(vector_codes.books_digest(books)))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.as_text(order_minhash.fingerprints(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_reputation, op2_license_dice, op3_ordinal_quality, op4_temperature_mix, op5_simhash_tiles, op6_suffix_array,
         op7_template_decon, op8_cross_polytope, op9_bitplane_store, op10_secret_confirm,
+        op11_vector_codes, op12_whitening, op13_order_minhash,
     )
 }
 
@@ -165,4 +182,36 @@ n AS (SELECT source, doc_id, unnest(range(epochs + CASE WHEN rest > 0 AND upto <
 SELECT doc_id, source, epoch, md5('17:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS order_key FROM n
 """
 
-SQL: dict[str, str] = {"op1_url_reputation": _URL_SQL, "op2_license_dice": _LICENSE_SQL, "op4_temperature_mix": _MIX_SQL}
+
+
+def _codes_sql() -> str:
+    """Rounds of assignment and floor of means as common tables; parts of 1-based positions."""
+    n = CODE_PARTS
+
+    def assign(book: str) -> str:
+        gap = "list_sum(list_transform(list_zip(k.x, c.x), lambda q: (q[1] - q[2]) * (q[1] - q[2])))::BIGINT"
+        return (
+            f"SELECT vec_id, label, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM "
+            f"(SELECT k.vec_id, k.label, k.p, c.e, {gap} AS d FROM k JOIN {book} c USING (p)) GROUP BY vec_id, label, p"
+        )
+
+    steps = [
+        "f AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256e0 * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+        "WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"k AS (SELECT vec_id, label, p, v[p * len(v) // {n} + 1:(p + 1) * len(v) // {n}] AS x FROM f, range({n}) r(p))",
+        f"c0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM k QUALIFY e < {CODE_ENTRIES})",
+    ]
+    for i in range(CODE_ROUNDS + 1):
+        steps.append(f"a{i} AS ({assign(f'c{i}')})")
+        if i < CODE_ROUNDS:
+            steps.append(
+                f"m{i} AS (SELECT p, e, list(mean ORDER BY j) AS x FROM (SELECT p, e, j, floor(sum(y) / count(*))::BIGINT AS mean FROM "
+                f"(SELECT a.p, a.e, unnest(k.x) AS y, generate_subscripts(k.x, 1) AS j FROM a{i} a JOIN k ON a.vec_id = k.vec_id AND a.p = k.p) GROUP BY p, e, j) GROUP BY p, e)")
+            steps.append(f"c{i + 1} AS (SELECT p, e, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN m{i} m USING (p, e))")
+    last = CODE_ROUNDS
+    steps.append(f"o AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{last} GROUP BY vec_id, label)")
+    steps.append(f"s AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{last})")
+    return "WITH " + ", ".join(steps) + " SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o, s"
+
+
+SQL: dict[str, str] = {"op1_url_reputation": _URL_SQL, "op2_license_dice": _LICENSE_SQL, "op4_temperature_mix": _MIX_SQL, "op11_vector_codes": _codes_sql()}
