@@ -1,15 +1,15 @@
 """Document fingerprints by Order MinHash.
 
 The k-mers of a text (runs of k code points) are numbered by occurrence, so a
-k-mer that repeats counts once per place. Every numbered k-mer has a 64-bit
-hash; the i-th hash function is its distance, modulo 2^64, from a fixed point p_i.
+k-mer that repeats counts once per place. Every numbered k-mer has a 40-bit
+rank; the i-th hash function is its distance, modulo 2^40, from a fixed point p_i.
 For each function the l k-mers of least value are selected, put back into text
 order, and their k-mers hashed as a tuple to one entry of the signature. Two
 texts agree in an entry when they share the selected k-mers in the same order,
 so moves and edits lower the likeness where a plain set of k-mers sees none.
 
 All functions read one sorted array: the least values of function i are the
-hashes that follow p_i on the ring of 64-bit numbers.
+ranks that follow p_i on the ring of 40-bit numbers.
 """
 
 from __future__ import annotations
@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from leasegrid.session import shared_path
 
 _M1, _M2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: A rank is the upper 40 bits of a hash; the lower 24 leave room for a place in the text.
+_PLACE, _PLACES, _RANKS = np.uint64(24), np.uint64(2**24 - 1), np.uint64(2**40 - 1)
 #: Odd multiplier of the rolling hash of code points.
 _BASE = 0xD6E8FEB86659FD93
 
@@ -47,13 +49,13 @@ def points_of(text: str) -> np.ndarray:
 class OrderMinHash:
     """``entries`` tuples of ``chosen`` k-mers of ``k`` code points each."""
 
-    k: int = 8
+    k: int = 5
     entries: int = 64
     chosen: int = 2
 
     def ring(self) -> np.ndarray:
         """The fixed points of the hash functions."""
-        return mix(np.arange(1, self.entries + 1, dtype=np.uint64) * _STEP)
+        return mix(np.arange(1, self.entries + 1, dtype=np.uint64) * _STEP) >> _PLACE
 
     def kmers(self, points: np.ndarray) -> np.ndarray:
         """Hash of every k-mer in text order; a text shorter than k is one k-mer, an empty text none."""
@@ -73,26 +75,34 @@ class OrderMinHash:
         n = len(kmers)
         if not n:
             return np.zeros(self.entries, "<u4")
-        order = np.argsort(kmers, kind="stable")
-        ranked = kmers[order]
+        rank = kmers >> _PLACE
+        if n < 2**24:  # rank and place in one number: one plain sort
+            key = np.sort((rank << _PLACE) | np.arange(n, dtype=np.uint64))
+            rank, place = key >> _PLACE, (key & _PLACES).astype(np.int64)
+        else:
+            place = np.argsort(rank, kind="stable")
+            rank = rank[place]
         first = np.empty(n, bool)
         first[0] = True
-        np.not_equal(ranked[1:], ranked[:-1], out=first[1:])
+        np.not_equal(rank[1:], rank[:-1], out=first[1:])
+        pools = [(rank, place)]
         if not first.all():
             again = np.flatnonzero(~first)
             start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-            fresh = mix(ranked[again] + (again - start[again]).astype(np.uint64) * _STEP)
+            fresh = mix((rank[again] << _PLACE) + (again - start[again]).astype(np.uint64) * _STEP) >> _PLACE
             by = np.argsort(fresh, kind="stable")
-            once = ranked[first]
-            at = np.searchsorted(once, fresh[by])
-            order = np.insert(order[first], at, order[again][by])
-            ranked = np.insert(once, at, fresh[by])
+            pools = [(rank[first], place[first]), (fresh[by], place[again][by])]
+        gaps, places = [], []
+        for values, where in pools:
+            at = (np.searchsorted(values, ring)[:, None] + np.arange(min(self.chosen, len(values)))) % len(values)
+            gaps.append((values[at] - ring[:, None]) & _RANKS)
+            places.append(where[at])
         take = min(self.chosen, n)
-        least = (np.searchsorted(ranked, ring)[:, None] + np.arange(take)) % n
-        places = np.sort(order[least], axis=1)
+        least = np.argsort(np.concatenate(gaps, 1), axis=1, kind="stable")[:, :take]
+        chosen = np.sort(np.take_along_axis(np.concatenate(places, 1), least, 1), axis=1)
         out = np.full(self.entries, take, np.uint64)
         for j in range(take):
-            out = mix(out * _STEP + kmers[places[:, j]])
+            out = mix(out * _STEP + kmers[chosen[:, j]])
         return (out >> np.uint64(32)).astype("<u4")
 
 
@@ -118,7 +128,7 @@ def _finish(doc_id, text: str, own: bytes, following: str, after: bytes, make: O
     return doc_id, len(text), sha, own, other, likeness(own, other), likeness(own, after)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 8, entries: int = 64, chosen: int = 2) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, entries: int = 64, chosen: int = 2) -> DataFrame:
     """Fingerprint of every text and of its edited text, frozen as a table of the shared folder.
 
     One row per row of ``docs``: ``doc_id, n_chars, sha`` (of the edited text),
