@@ -15,7 +15,7 @@ ranks that follow p_i on the ring of 40-bit numbers.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,11 +45,25 @@ def points_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
 
 
+def _in_order(hashes: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+    """Ranks in ascending order, equal ones by place, and the places of chosen positions of that order."""
+    if len(places) and int(places.max()) < 2**24:  # rank and place share one number, so one plain sort does
+        key = np.sort((hashes & ~_PLACES) | places)
+        return key >> _PLACE, lambda at: key[at] & _PLACES
+    order = np.lexsort((places, hashes >> _PLACE))
+    return hashes[order] >> _PLACE, lambda at: places[order[at]]
+
+
+def _following(at: np.ndarray, n: int, most: int) -> np.ndarray:
+    """The positions from each ``at`` on, at most ``most`` of ``n``, from the start again after the end."""
+    return (at[:, None] + np.arange(min(most, n))) % n
+
+
 @dataclass(frozen=True)
 class OrderMinHash:
     """``entries`` tuples of ``chosen`` k-mers of ``k`` code points each."""
 
-    k: int = 5
+    k: int = 6
     entries: int = 64
     chosen: int = 2
 
@@ -75,31 +89,24 @@ class OrderMinHash:
         n = len(kmers)
         if not n:
             return np.zeros(self.entries, "<u4")
-        rank = kmers >> _PLACE
-        if n < 2**24:  # rank and place in one number: one plain sort
-            key = np.sort((rank << _PLACE) | np.arange(n, dtype=np.uint64))
-            rank, place = key >> _PLACE, (key & _PLACES).astype(np.int64)
-        else:
-            place = np.argsort(rank, kind="stable")
-            rank = rank[place]
+        rank, place = _in_order(kmers, np.arange(n, dtype=np.uint64))
         first = np.empty(n, bool)
         first[0] = True
         np.not_equal(rank[1:], rank[:-1], out=first[1:])
-        pools = [(rank, place)]
-        if not first.all():
-            again = np.flatnonzero(~first)
-            start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
-            fresh = mix((rank[again] << _PLACE) + (again - start[again]).astype(np.uint64) * _STEP) >> _PLACE
-            by = np.argsort(fresh, kind="stable")
-            pools = [(rank[first], place[first]), (fresh[by], place[again][by])]
-        gaps, places = [], []
-        for values, where in pools:
-            at = (np.searchsorted(values, ring)[:, None] + np.arange(min(self.chosen, len(values)))) % len(values)
-            gaps.append((values[at] - ring[:, None]) & _RANKS)
-            places.append(where[at])
+        heads, again = np.flatnonzero(first), np.flatnonzero(~first)
+        at = np.searchsorted(heads, np.searchsorted(rank, ring))
+        pools = [(rank, place, heads[_following(at, len(heads), self.chosen)])]
+        if len(again):
+            # the j-th repeat has again[j] - j heads before it, the last of which begins its run
+            run = heads[again - np.arange(len(again)) - 1]
+            fresh = mix((rank[again] << _PLACE) + (again - run).astype(np.uint64) * _STEP)
+            values, where = _in_order(fresh, place(again))
+            pools.append((values, where, _following(np.searchsorted(values, ring), len(again), self.chosen)))
+        gaps = [(values[near] - ring[:, None]) & _RANKS for values, _, near in pools]
+        places = [where(near) for _, where, near in pools]
         take = min(self.chosen, n)
         least = np.argsort(np.concatenate(gaps, 1), axis=1, kind="stable")[:, :take]
-        chosen = np.sort(np.take_along_axis(np.concatenate(places, 1), least, 1), axis=1)
+        chosen = np.sort(np.take_along_axis(np.concatenate(places, 1), least, 1), axis=1).astype(np.int64)
         out = np.full(self.entries, take, np.uint64)
         for j in range(take):
             out = mix(out * _STEP + kmers[chosen[:, j]])
@@ -128,7 +135,7 @@ def _finish(doc_id, text: str, own: bytes, following: str, after: bytes, make: O
     return doc_id, len(text), sha, own, other, likeness(own, other), likeness(own, after)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, entries: int = 64, chosen: int = 2) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 6, entries: int = 64, chosen: int = 2) -> DataFrame:
     """Fingerprint of every text and of its edited text, frozen as a table of the shared folder.
 
     One row per row of ``docs``: ``doc_id, n_chars, sha`` (of the edited text),
