@@ -14,6 +14,8 @@ every document's id and number of ids. A document may cross blocks.
 from __future__ import annotations
 
 import json
+import os
+import re
 import struct
 import uuid
 import zlib
@@ -21,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
@@ -31,8 +34,10 @@ from leasegrid.session import cut_lineage, shared_path
 
 MAGIC = b"LGPL"
 BLOCK_IDS = 65_536
-#: Words whose ids are remembered per task, and their greatest length in bytes.
-CACHE_WORDS, CACHE_BYTES = 250_000, 64
+#: Words and pieces whose ids are remembered per task, and their greatest length.
+CACHE_WORDS, CACHE_LETTERS = 500_000, 64
+#: New words of one call of the tokenizer, and bytes of the texts that are encoded together.
+JOINED, GROUP = 512, 8 * 2**20
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -56,62 +61,144 @@ def from_planes(planes: list[bytes], n: int, bits: bool) -> np.ndarray:
     return np.ascontiguousarray(flat).view("<u4").reshape(-1)
 
 
+#: Latin letters whose lower case is one of them, and which normalisation leaves alone.
+_LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
+#: What the splitter of the word tokenizer makes of lower-case words of ASCII and those letters; lines keep the words apart.
+_PIECES = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z{_LATIN}0-9\n]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else the next one from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in prints]
+    return {b: b for b in prints} | {b: 256 + i for i, b in enumerate(rest)}
+
+
+_BYTES = _byte_letters()
+
+
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Positions of runs: ``sizes[i]`` numbers from ``starts[i]`` on, one run after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
+
+
+def _runs(items: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all items end to end, and where each item starts and how many it has."""
+    sizes = np.array([len(i) // 4 for i in items], np.int64)
+    return np.frombuffer(b"".join(items), "<u4"), np.cumsum(sizes) - sizes, sizes
+
+
 class WordEncoder:
-    """Ids of whole texts, encoding each distinct blank-separated word once.
+    """Ids of texts, encoding each distinct piece of a word once.
 
     ``cuts_at_blanks`` is for tokenizers whose normaliser and splitter never
     join text across ASCII blanks, so that the ids of a text are the ids of its
-    words in order; others get whole texts.
+    words in order; others get whole texts. The distinct words of a group of
+    texts are found by dictionary encoding. With ``latin_pieces`` a word of
+    ASCII and Latin letters is put together from the pieces that the splitter
+    cuts (runs of letters, single digits, runs of signs), and a piece not met
+    before goes straight to the library's merge model. Other new words go to the
+    whole tokenizer, many in one call that is cut apart by offsets.
     """
 
-    def __init__(self, path: str, cuts_at_blanks: bool) -> None:
+    def __init__(self, path: str, cuts_at_blanks: bool, latin_pieces: bool = True) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cuts = Tokenizer.from_file(path), cuts_at_blanks
-        self._reset()
-
-    def _reset(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.flat, self.used = np.zeros(4096, np.uint32), 0
-
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[bytes]) -> None:
-        for word, ids in zip(words, self._encode([w.decode("utf-8", "surrogatepass") for w in words])):
-            k, n = len(self.at), len(ids)
-            if k >= len(self.start):
-                self.start, self.size = np.resize(self.start, 2 * k), np.resize(self.size, 2 * k)
-            while self.used + n > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used:self.used + n] = ids
-            self.start[k], self.size[k] = self.used, n
-            self.at[word], self.used = k, self.used + n
-
-    def ids(self, text: str | None) -> np.ndarray:
-        text = text or ""
+        self.tokenizer, self.cuts, self.latin = Tokenizer.from_file(path), cuts_at_blanks, latin_pieces
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([f"[^\\x00-\\x7f{_LATIN}]", *special])
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _encode(self, text: str):
+        return self.tokenizer.encode(text, add_special_tokens=False)
+
+    def _look_up(self, items: list[str], known: dict[str, bytes], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of words or pieces, from memory or newly learnt."""
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = list({w for w in items if w not in known})
+        fresh = dict(zip(new, learn(new)))
+        known.update((w, i) for w, i in fresh.items() if len(w) <= CACHE_LETTERS)
+        return [known[w] if w in known else fresh[w] for w in items]
+
+    def _learn_pieces(self, pieces: list[str]) -> list[bytes]:
+        tokenize, ids, ends = self.tokenizer.model.tokenize, [], [0]
+        for p in pieces:
+            for t in tokenize(p.encode().decode("latin-1").translate(_BYTES)):
+                ids.append(t.id)
+            ends.append(4 * len(ids))
+        flat = np.array(ids, "<u4").tobytes()
+        return [flat[i:j] for i, j in zip(ends, ends[1:])]
+
+    def _learn_words(self, words: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for a in range(0, len(words), JOINED):
+            some = words[a:a + JOINED]
+            found = self._encode(" ".join(some))
+            ids = np.array(found.ids, "<u4").tobytes()
+            starts = np.cumsum([0] + [len(t) + 1 for t in some])
+            ends = (4 * np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts)).tolist()
+            out += [ids[i:j] for i, j in zip(ends, ends[1:])]
+        return out
+
+    def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words end to end, with the start and number of each."""
+        if self.latin:
+            plain = ~pc.match_substring_regex(words, self.odd).to_numpy(zero_copy_only=False).astype(bool)
+        else:
+            plain = np.zeros(len(words), bool)
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        flat = np.zeros(0, "<u4")
+        if plain.any():
+            lines = words.filter(pa.array(plain))
+            whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_py()
+            cut = _PIECES.findall(whole.lower())
+            place = {k: i for i, k in enumerate(dict.fromkeys(cut))}
+            codes = np.fromiter(map(place.__getitem__, cut), np.int64, len(cut))
+            at_break = place.pop("\n", -1)
+            found = self._look_up(list(place), self.pieces, self._learn_pieces)
+            if at_break >= 0:
+                found.insert(at_break, b"")
+            breaks = np.arange(len(found)) == at_break
+            ids, at, n = _runs(found)
+            flat = ids[spread(at[codes], n[codes])]
+            line = np.cumsum(breaks[codes]) if len(codes) else np.zeros(0, np.int64)
+            sizes[plain] = np.bincount(line, n[codes], len(lines)).astype(np.int64)
+            starts[plain] = np.cumsum(sizes[plain]) - sizes[plain]
+        if not plain.all():
+            rest = self._look_up(words.filter(pa.array(~plain)).to_pylist(), self.words, self._learn_words)
+            ids, at, n = _runs(rest)
+            starts[~plain], sizes[~plain] = len(flat) + at, n
+            flat = np.concatenate([flat, ids])
+        return flat, starts, sizes
+
+    def many(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a group."""
         if not self.cuts:
-            return np.array(self._encode([text])[0], np.uint32)
-        words = text.encode("utf-8", "surrogatepass").split()
-        at = self.at
-        try:
-            index = [at[w] for w in words]
-        except KeyError:
-            kinds = set(words)
-            new = [w for w in kinds if w not in at]
-            if max(map(len, new)) > CACHE_BYTES or len(kinds) > CACHE_WORDS:  # too long or too many to remember
-                return np.array(self._encode([text])[0], np.uint32)
-            if len(at) + len(new) > CACHE_WORDS:
-                self._reset()
-                at, new = self.at, list(kinds)
-            self._learn(new)
-            index = [at[w] for w in words]
-        index = np.array(index, np.int64)
-        size = self.size[index]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.start[index] - (ends - size), size) + np.arange(total)]
+            return [np.array(self._encode(t.as_py()).ids, "<u4") for t in texts]
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        flat, starts, sizes = self._ids_of(coded.dictionary)
+        index = coded.indices.to_numpy()
+        ids = flat[spread(starts[index], sizes[index])]
+        upto = np.concatenate([[0], np.cumsum(sizes[index])])
+        ends = upto[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def in_groups(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Consecutive texts in groups of about ``most`` bytes; a longer text is a group of its own."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, before + most, "right")))
+        yield pa.concat_arrays([texts.slice(start, stop - start)])
+        start = stop
 
 
 class ShardWriter:
@@ -195,11 +282,12 @@ def write_tokens(
     end_id: int | None = 1,
     planes: str = "byte",
     cuts_at_blanks: bool = True,
+    latin_pieces: bool = True,
 ) -> DataFrame:
     """Write shard files below ``path``; returns the frozen manifest ``(shard, file, n_docs, n_ids)``.
 
     Documents are split by range of their id and sorted within a shard (ties by
-    text), so the shards in order hold all documents in ascending order; a null
+    text hash, then text, so one id may cross shards), so the shards in order hold all documents in ascending order; a null
     id comes first. Null texts count as empty and hold only ``end_id``; rows that
     repeat an id are written one after the other. A retried task writes a file
     of its own and the manifest names the one that counts. ``path`` is a folder
@@ -208,24 +296,25 @@ def write_tokens(
     if planes not in ("bit", "byte"):
         raise ValueError("planes is bit or byte")
     ordered = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     end = np.array([] if end_id is None else [end_id], np.uint32)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, writer, out = WordEncoder(tokenizer, cuts_at_blanks), None, None
+        encoder, writer, out = WordEncoder(tokenizer, cuts_at_blanks, latin_pieces), None, None
         number = TaskContext.get().partitionId()
         store, top = _store(path)
         name = f"{top}/shard-{number:06d}-{uuid.uuid4().hex[:12]}.ids"
         for batch in batches:
-            texts = batch.column(1)
-            for i, doc_id in enumerate(batch.column(0).to_pylist()):
-                if writer is None:
-                    store.create_dir(top, recursive=True)
-                    out = store.open_output_stream(name)
-                    writer = ShardWriter(out, planes == "bit")
-                writer.add(doc_id, np.concatenate([encoder.ids(texts[i].as_py()), end]))
+            if writer is None and batch.num_rows:
+                store.create_dir(top, recursive=True)
+                out = store.open_output_stream(name)
+                writer = ShardWriter(out, planes == "bit")
+            numbers = iter(batch.column(0).to_pylist())
+            for group in in_groups(batch.column(1), GROUP):
+                for ids in encoder.many(group):
+                    writer.add(next(numbers), np.concatenate([ids, end]))
         if writer is not None:
             writer.close()
             out.close()
