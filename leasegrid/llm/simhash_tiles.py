@@ -17,10 +17,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.llm.common import broadcast_if_small, components
+from leasegrid.llm.common import broadcast_if_small, components, fresh
+from leasegrid.operators.ordering import top_per_key
 from leasegrid.session import cut_lineage
 
 TILE_ROWS = 4096
@@ -56,15 +57,15 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(packed.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """Rows (doc_id, fp), one per row of ``docs``."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, *more: Column) -> DataFrame:
+    """Rows (doc_id, fp, *more), one per row of ``docs``."""
 
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("fp"))
+    return docs.select(F.col(id_col).alias("doc_id"), of(F.col(text_col)).alias("fp"), *more)
 
 
 def _forest(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -147,6 +148,14 @@ def _within(digits, offset):
     return ok
 
 
+def _classes(marked: DataFrame, max_distance: int) -> DataFrame:
+    """Frozen rows ``(fp, head, of)``: every fingerprint, its smallest id, and a name of its group."""
+    classes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("head")))
+    joined = cut_lineage(components(near_links(classes.select("fp"), max_distance)))
+    groups = classes.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "head", F.coalesce("component", "fp").alias("of"))
+    return cut_lineage(groups)
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3
 ) -> DataFrame:
@@ -159,12 +168,29 @@ def simhash_groups(
     Further columns are ignored; an empty table gives no rows.
     """
     marked = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    classes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("head")))
-    joined = cut_lineage(components(near_links(classes.select("fp"), max_distance)))
-    groups = classes.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "head", F.coalesce("component", "fp").alias("of"))
-    groups = cut_lineage(groups)
+    groups = _classes(marked, max_distance)
     first = groups.groupBy("of").agg(F.min("head").alias("component_id")).select(F.col("of").alias("id"), "component_id")
     named = cut_lineage(groups.join(cut_lineage(first), F.col("of") == F.col("id")).select(F.col("fp").alias("class"), "component_id"))
     return marked.join(named, F.col("fp") == F.col("class")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 3) -> DataFrame:
+    """One row of each group of ``docs``, whole: that of the smallest id.
+
+    Rows that share an id are told apart by their texts, so none stands for
+    another: of equal ids the smallest text hash stays, then the smallest hash
+    of the row. Rows without an id come last, so one stays only where its whole
+    group has none. Columns and their order are those of ``docs``.
+    """
+    key, row, copy = (fresh(docs.columns, n) for n in ("__text_hash", "__row_hash", "__copy"))
+    keyed = docs.withColumn(key, F.xxhash64(F.col(text_col))).withColumn(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    marked = cut_lineage(fingerprints(keyed, id_col, text_col, shingle, F.col(key).alias("key"), F.col(row).alias("row")))
+    groups = _classes(marked, max_distance).select(F.col("fp").alias("class"), "of")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "key", "row")
+    heads = marked.join(groups, F.col("fp") == F.col("class")).groupBy("of").agg(F.min(rank).alias("h"))
+    # the row's hash covers its id; joined and collapsed by the same keys, texts are exchanged once
+    heads = heads.select(F.col("h.key").alias("__head_key"), F.col("h.row").alias("__head_row"))
+    kept = keyed.join(heads, (F.col(key) == F.col("__head_key")) & (F.col(row) == F.col("__head_row")), "left_semi")
+    return top_per_key(kept.withColumn(copy, F.lit(0)), [key, row], [copy]).select(*docs.columns)
