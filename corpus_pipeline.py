@@ -7,11 +7,8 @@ sources, token files. All but the last stage return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
-from pyspark.sql import functions as F
 
 from leasegrid.llm import bitplane_store, ordinal_quality, simhash_tiles, temperature_mix, template_decon
-from leasegrid.llm.common import fresh
 from leasegrid.llm.queries import MIN_TAIL, tokenizer_path
 from leasegrid.session import shared_path
 
@@ -30,16 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group, that of the smallest id; of rows that repeat its id one stays.
-
-    Rows without an id cannot be named by the groups and stay.
-    """
-    groups = simhash_tiles.simhash_groups(docs, shingle=3, max_distance=3)
-    heads = groups.where("doc_id = component_id").select(F.col("doc_id").alias("__head")).distinct()
-    copy = fresh(docs.columns, "__copy")
-    kept = docs.join(heads, F.col("doc_id") == F.col("__head"), "left_semi").withColumn(
-        copy, F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where(F.col(copy) == 1).drop(copy)
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each SimHash group, that of the smallest id (rows without an id come last)."""
+    return simhash_tiles.keep_one(docs, shingle=3, max_distance=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
