@@ -4,6 +4,7 @@ import os
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -85,9 +86,47 @@ def test_tokens_equal_brute_force(spark):
 
 
 @pytest.mark.parametrize("bits", [True, False])
-def test_planes_come_back(bits):
-    ids = np.random.default_rng(1).integers(0, 2**31, 1000).astype(np.uint32)
-    assert b"".join(bitplane_store.to_planes(ids, bits)) != ids.tobytes()
+@pytest.mark.parametrize("n, top", [(0, 2**32), (1, 2), (1000, 2**32), (1003, 50_000), (8, 1)])
+def test_planes_come_back(bits, n, top):
+    ids = np.random.default_rng(n).integers(0, top, n).astype(np.uint32)
+    planes = bitplane_store.to_planes(ids, bits)
+    assert len(planes) == (32 if bits else 4)
+    assert bitplane_store.from_planes(planes, n, bits).tolist() == ids.tolist()
+
+
+ODD_SIGNS = list("abcSTMdlvre'’.,!?0129 \t\n\r\x0b\x0c\x00\x01\x1c\x1f\x7f\x85\xa0\u2003éÉe\u0301Σσßİı漢字\u0600\u200d\U0001F600ﬁ½²ŸŒſŉÀ×÷ǅȺ-_<|>") + ["<|endoftext|>", "<|startoftext|>", "'re", "'S", "'LL", " 's"]
+
+
+def test_words_and_pieces_give_the_tokenizers_ids():
+    """Random texts of odd signs, in groups: special tokens, marks, blanks of all kinds, letters that change with their case."""
+    rng = np.random.default_rng(9)
+    tok, mine = Tokenizer.from_file(tokenizer_path()), bitplane_store.WordEncoder(tokenizer_path(), True)
+    for _ in range(150):
+        group = ["".join(rng.choice(ODD_SIGNS, rng.integers(0, 40))) for _ in range(rng.integers(1, 30))]
+        want = [tok.encode(t, add_special_tokens=False).ids for t in group]
+        assert [i.tolist() for i in mine.many(pa.array(group))] == want
+    plain = bitplane_store.WordEncoder(tokenizer_path(), True, latin_pieces=False)
+    whole = bitplane_store.WordEncoder(tokenizer_path(), False)
+    assert [i.tolist() for i in plain.many(pa.array(group))] == [i.tolist() for i in whole.many(pa.array(group))] == want
+
+
+def test_one_id_crosses_shards(spark, tmp_path):
+    """Rows of one id are split by text; bit planes and a byte-level tokenizer read back the same."""
+    rows = [(7, f"text number {i} " * (i % 5), "a") for i in range(400)] + [(3, "first", "b"), (None, "none", "b"), (9, None, "b")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = str(tmp_path / "ids")
+        manifest = bitplane_store.write_tokens(edge(spark, rows), tokenizer_path("byte_bpe_50k.json"), path, planes="bit", cuts_at_blanks=False)
+        back = bitplane_store.read_tokens(manifest, path, lambda ids: {"n": len(ids)}, "n long").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert manifest.count() > 2
+    tok = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    size = lambda t: len(tok.encode(t or "", add_special_tokens=False).ids) + 1
+    assert sorted((r.doc_id or -1, r.n_tokens) for r in back) == sorted((d or -1, size(t)) for d, t, _ in rows)
+    back.sort(key=lambda r: r.start)
+    assert [r.start for r in back] == np.cumsum([0] + [r.n_tokens for r in back])[:-1].tolist()
+    assert [r.doc_id or -1 for r in back] == sorted(r.doc_id or -1 for r in back)
 
 
 def test_base_secrets_equal_brute_force(spark):
@@ -184,6 +223,35 @@ def test_empty_tables(spark, make):
     assert make(edge(spark, [])).count() == 0
 
 
+def test_near_dedup_loses_no_text(spark):
+    """Rows that share an id are different documents; copies of a text are one."""
+    a, b = "alpha beta gamma delta " * 9, "one two three four five " * 9
+    rows = [(1, b, "x"), (2, b, "x"), (2, a, "x"), (3, a, "x"), (3, a, "x"), (None, a, "y"), (None, "only here without an id", "y"), (None, "only here without an id", "y")]
+    kept = corpus_pipeline.near_dedup(spark, edge(spark, rows), SF)
+    assert kept.columns == edge(spark, rows).columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, b), (2, a), (None, "only here without an id")], key=str)
+
+
+STAGE_COLUMNS = "epoch int, expected_grade double, tail_probability double, fp long, of long, __key int, __row int, score int, pos int"
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_tables(spark, name, stage):
+    """Empty tables, null ids and texts, repeated rows, very long texts and clashing columns."""
+    schema = "doc_id long, text string, lang string, source string, n_chars int, " + STAGE_COLUMNS
+    frame = lambda rows: spark.createDataFrame([(d, t, "en", s, len(t or ""), 1, 0.5, 0.5, 1, 2, 3, 4, 5, 6) for d, t, s in rows], schema)
+    last = stage is corpus_pipeline.tokens
+    assert stage(spark, frame([]), SF).count() == 0
+    rows = [*EDGE, (None, "a text without an id, which is long enough to be read", "a"), (None, None, None)]
+    out = stage(spark, frame(rows), SF)
+    got = out.collect()
+    assert last or out.columns == frame([]).columns
+    if stage in (corpus_pipeline.decontaminate, corpus_pipeline.mix, corpus_pipeline.tokens):
+        assert {r.doc_id for r in got} == {r[0] for r in rows} and len(got) >= len(rows)
+    if stage is corpus_pipeline.near_dedup:
+        assert {r.text or "" for r in got} <= {r[1] or "" for r in rows} and len({r.text for r in got}) == len(got)
+
+
 def test_pipeline_equals_recomputation(spark):
     rows = dict(texts(spark))
     kept = sorted(r.doc_id for r in QUERIES["op3_ordinal_quality"](spark, SF).collect())
