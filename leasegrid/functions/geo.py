@@ -65,6 +65,34 @@ def wkt_ring(c: Column) -> Column:
     return F.when(usable, ring)
 
 
+def wkt_shape(c: Column) -> Column:
+    """POLYGON or MULTIPOLYGON text as parts of rings: ARRAY<ARRAY<ARRAY<STRUCT<x,y>>>>.
+
+    The first ring of a part is its outline, the others are holes; further
+    ordinates (Z, M) are dropped. NULL for unusable text: another geometry, an
+    empty one, unbalanced brackets, a coordinate that is no number, or a ring
+    that is shorter than four points or not closed.
+    """
+    kind = r"(?is)^\s*(MULTI)?POLYGON\s*(?:ZM|Z|M)?\s*(\(.*\))\s*$"
+    text = clean_token(c)
+    body = F.regexp_replace(F.regexp_extract(text, kind, 2), r"\s*([(),])\s*", "$1")
+    body = F.when(F.regexp_extract(text, kind, 1) == "", F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
+    inner = F.when(body.rlike(r"^\(\(\([^()]") & body.rlike(r"[^()]\)\)\)$"), body.substr(F.lit(4), F.length(body) - 6))
+    ordinate = lambda p, i: F.get(F.split(p, r"\s+"), F.lit(i)).try_cast("double")
+    point = lambda p: F.struct(ordinate(p, 0).alias("x"), ordinate(p, 1).alias("y"))
+    shape = F.transform(
+        F.split(inner, r"\)\),\(\("),
+        lambda part: F.transform(F.split(part, r"\),\("), lambda ring: F.transform(F.split(ring, ","), lambda p: point(F.trim(p)))),
+    )
+
+    def sound(ring: Column) -> Column:
+        numbers = F.forall(ring, lambda p: p.x.isNotNull() & p.y.isNotNull() & ~F.isnan(p.x) & ~F.isnan(p.y))
+        closed = (F.element_at(ring, 1).x == F.element_at(ring, -1).x) & (F.element_at(ring, 1).y == F.element_at(ring, -1).y)
+        return (F.size(ring) >= 4) & numbers & F.coalesce(closed, F.lit(False))
+
+    return F.when(F.forall(F.flatten(shape), sound), shape)
+
+
 def ring_text(points: Column) -> Column:
     """ARRAY<ARRAY<DOUBLE>> coordinates to WKT; '' for an empty ring."""
     pairs = F.transform(points, lambda p: F.concat_ws(" ", p[0].cast("string"), p[1].cast("string")))
@@ -141,6 +169,11 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
+def shape_edges(shape: Column) -> Column:
+    """Edges of all rings of all parts. Counted crossings are even inside a hole, odd inside a part."""
+    return F.flatten(F.transform(F.flatten(shape), ring_edges))
+
+
 def edges_cover(edges: Column, x: Column, y: Column) -> Column:
     """True when the point is inside the ring of these edges or on its boundary."""
 

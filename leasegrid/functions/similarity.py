@@ -2,21 +2,11 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
     """1 - edit distance / longer length (1.0 for two empty texts)."""
     longest = F.greatest(F.length(a), F.length(b))
     return F.when(longest == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longest)
-
-
-@F.pandas_udf(DoubleType())
-def matching_blocks_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Matching-blocks ratio 2M/T of the standard library, run on candidate pairs only."""
-    return pd.Series([SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b)])

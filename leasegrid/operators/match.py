@@ -17,22 +17,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leasegrid import constants as C
-from leasegrid.functions.similarity import edit_similarity, matching_blocks_ratio
-from leasegrid.operators.ordering import _as_col, top_per_key
+from leasegrid.functions.similarity import edit_similarity
+from leasegrid.operators.ordering import _as_col, running_totals, top_per_key
+from leasegrid.session import cut_lineage
 
 _SLACK = 1e-9
 
 
-def _allowed(a: Column, b: Column, threshold: float, metric: str) -> Column:
+def _allowed(a: Column, b: Column, threshold: float) -> Column:
     """Largest edit distance compatible with the threshold for two lengths."""
-    scale = F.greatest(a, b) if metric == "edit" else a + b
-    return F.floor(scale * F.lit(1 - threshold) + F.lit(_SLACK)).cast("int")
+    return F.floor(F.greatest(a, b) * F.lit(1 - threshold) + F.lit(_SLACK)).cast("int")
 
 
-def _needed(length: Column, threshold: float, metric: str) -> Column:
+def _needed(length: Column, threshold: float) -> Column:
     """Segments an indexed text needs: one more than the most edits any partner allows."""
-    longest = length / threshold if metric == "edit" else length * (2 - threshold) / threshold
-    return _allowed(F.floor(longest + F.lit(_SLACK)).cast("int"), length, threshold, metric) + 1
+    return _allowed(F.floor(length / threshold + F.lit(_SLACK)).cast("int"), length, threshold) + 1
 
 
 def _segments(length: Column, needed: Column) -> Column:
@@ -71,54 +70,39 @@ def _start(j: Column, length: Column, parts: Column) -> Column:
     return F.floor(j * length / parts).cast("int")
 
 
-def similar_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    threshold: float,
-    by: Sequence[str] = (),
-    metric: str = "edit",
-    text: str = "text",
-) -> DataFrame:
-    """All (by, text, match, similarity) with similarity >= threshold, over distinct texts.
+def _index(texts: DataFrame, threshold: float, by: Sequence[str], text: str) -> DataFrame:
+    """Rows of ``texts`` under their rarest segments: keys ``__n, __j, __seg`` and pair bits ``__bm``.
 
-    ``metric``: 'edit' (1 - edit distance / longer length, JVM) or 'blocks'
-    (the standard library's matching-blocks ratio, in Arrow batches).
+    Texts are distinct within ``by``.
     """
-    by = list(by)
-    a = left.select(*by, F.col(text)).where(F.length(text) > 0).distinct()
-    b = right.select(*by, F.col(text).alias("match")).where(F.length("match") > 0).distinct()
-
-    # Cutting multiplies rows, so small inputs are spread over all tasks first.
-    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a, b = a.repartition(spread), b.repartition(spread)
     n, j = F.col("__n"), F.col("__j")
-    needed = _needed(n, threshold, metric)
+    needed = _needed(n, threshold)
     # Texts too short to cut are met by length alone.
     numbers = F.when(needed > n, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("__s") - 1))
     p = _start(j, n, F.col("__s"))
     q = _start(j + 1, n, F.col("__s")) - p
-
-    cut = b.withColumn("__bm", _pair_bits(F.col("match"))).withColumn("__n", F.length("match")).withColumn("__s", _segments(n, needed))
+    cut = texts.withColumn("__bm", _pair_bits(F.col(text))).withColumn("__n", F.length(text)).withColumn("__s", _segments(n, needed))
     cut = cut.withColumn("__j", F.explode(numbers))
-    seg = F.when(j < 0, F.lit("")).otherwise(F.substring("match", p + 1, q))
-    cut = cut.select(*by, "match", "__bm", "__n", "__j", seg.alias("__seg"))
+    cut = cut.withColumn("__seg", F.when(j < 0, F.lit("")).otherwise(F.substring(text, p + 1, q))).drop("__s")
     key = [*by, "__n", "__j", "__seg"]
     common = cut.groupBy(*key).agg(F.count("*").alias("__f"))
-    rarest = Window.partitionBy(*by, "match").orderBy("__f", "__j")  # a text's own segments
-    index = (
-        cut.join(common, key)
-        .withColumn("__r", F.row_number().over(rarest))
-        .where(F.col("__r") <= needed)
-        .select(*key, "match", "__bm")
-    )
+    rarest = Window.partitionBy(*by, text).orderBy("__f", "__j")  # a text's own segments
+    return cut.join(common, key).withColumn("__r", F.row_number().over(rarest)).where(F.col("__r") <= needed).drop("__r", "__f")
+
 
+def _probes(texts: DataFrame, threshold: float, text: str) -> DataFrame:
+    """Rows of ``texts`` under every substring that could equal a partner's segment; pair bits ``__bt``."""
+    n, j = F.col("__n"), F.col("__j")
+    needed = _needed(n, threshold)
+    numbers = F.when(needed > n, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("__s") - 1))
+    p = _start(j, n, F.col("__s"))
+    q = _start(j + 1, n, F.col("__s")) - p
     la = F.col("__m")
-    span = (threshold, 1 / threshold) if metric == "edit" else (threshold / (2 - threshold), (2 - threshold) / threshold)
-    low = F.greatest(F.floor(la * span[0] - F.lit(_SLACK)).cast("int"), F.lit(1))
-    high = F.ceil(la * span[1]).cast("int")
-    edits = _allowed(la, n, threshold, metric)
+    low = F.greatest(F.floor(la * threshold - F.lit(_SLACK)).cast("int"), F.lit(1))
+    high = F.ceil(la / threshold).cast("int")
+    edits = _allowed(la, n, threshold)
     shift = la - n
-    probe = a.withColumn("__bt", _pair_bits(F.col(text))).withColumn("__m", F.length(text)).withColumn("__n", F.explode(F.sequence(low, high)))
+    probe = texts.withColumn("__bt", _pair_bits(F.col(text))).withColumn("__m", F.length(text)).withColumn("__n", F.explode(F.sequence(low, high)))
     probe = probe.where(F.abs(shift) <= edits).withColumn("__d", edits)
     probe = probe.withColumn("__s", _segments(n, needed)).withColumn("__j", F.explode(numbers))
     probe = probe.withColumn("__p", p).withColumn("__q", q)
@@ -128,37 +112,47 @@ def similar_pairs(
     spots = F.when(j < 0, F.array(F.lit(0))).when(first <= last, F.sequence(first, last))
     probe = probe.withColumn("__a", F.explode(spots))
     seg = F.when(j < 0, F.lit("")).otherwise(F.substring(F.col(text), F.col("__a") + 1, F.col("__q")))
-    probe = probe.select(*by, text, "__bt", "__n", "__j", seg.alias("__seg"))
+    return probe.withColumn("__seg", seg).drop("__m", "__d", "__s", "__p", "__q", "__a")
 
-    within = _allowed(F.length(text), F.length("match"), threshold, metric)
-    pairs = probe.join(index, key).where(
-        (_missing("__bt", "__bm") <= within * 2) & (_missing("__bm", "__bt") <= within * 2)
-    )
-    pairs = pairs.select(*by, text, "match")
-    if metric == "edit":
-        # Compared inside the join stage, giving up at the allowed distance; only
-        # true matches are deduplicated.
-        near = pairs.where(F.call_function("levenshtein", F.col(text), F.col("match"), within) >= 0)
-        scored = near.distinct().withColumn("similarity", edit_similarity(F.col(text), F.col("match")))
-        return scored.where(F.col("similarity") >= threshold)
-    return pairs.distinct().withColumn(
-        "similarity", matching_blocks_ratio(F.col(text), F.col("match"))
-    ).where(F.col("similarity") >= threshold)
-
-
-def fuzzy_dedup(
-    df: DataFrame,
-    name: str,
-    block: Sequence[str],
-    order: Sequence[Column | str],
-    threshold: float = 0.99,
-    metric: str = "edit",
-) -> DataFrame:
+
+def _near(text: str, match: str, threshold: float) -> Column:
+    """The pair bits allow the threshold, and the edit distance (given up beyond the allowed one) meets it."""
+    within = _allowed(F.length(text), F.length(match), threshold)
+    bits = (_missing("__bt", "__bm") <= within * 2) & (_missing("__bm", "__bt") <= within * 2)
+    edits = F.call_function("levenshtein", F.col(text), F.col(match), within)
+    return bits & (edits >= 0) & (1 - edits / F.greatest(F.length(text), F.length(match)) >= threshold)
+
+
+def similar_pairs(left: DataFrame, right: DataFrame, threshold: float, by: Sequence[str] = (), text: str = "text") -> DataFrame:
+    """All (by, text, match, similarity) with edit similarity >= threshold, over distinct texts."""
+    by = list(by)
+    a = left.select(*by, F.col(text)).where(F.length(text) > 0).distinct()
+    b = right.select(*by, F.col(text).alias("match")).where(F.length("match") > 0).distinct()
+    # Cutting multiplies rows, so small inputs are spread over all tasks first.
+    spread = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = _index(b.repartition(spread), threshold, by, "match")
+    probe = _probes(a.repartition(spread), threshold, text)
+    # Compared inside the join stage; only true matches are deduplicated.
+    near = probe.join(index, [*by, "__n", "__j", "__seg"]).where(_near(text, "match", threshold)).select(*by, text, "match")
+    return near.distinct().withColumn("similarity", edit_similarity(F.col(text), F.col("match")))
+
+
+#: Index entries of a segment met in the first round; each round meets four times as many as the one before.
+_FIRST_ROUND, _GROWTH = 16, 4
+
+
+def fuzzy_dedup(df: DataFrame, name: str, block: Sequence[str], order: Sequence[Column | str], threshold: float = 0.99) -> DataFrame:
     """Drop a row if an earlier row of the same block has a similar enough name.
 
     Only the first row of each (block, name) can survive, and it does so unless
     a similar name in the block starts earlier. Rows with a NULL name or block
     value never match and stay.
+
+    One earlier similar name is enough, so pairs are not listed. The names under
+    a segment are numbered by their start. Every name meets the earliest ones
+    first; names that are decided leave, and the others meet the next, four
+    times as many, until no candidate is left. A pile of near-identical names is
+    thus decided by its first few.
     """
     block = list(block)
     usable = F.col(name).isNotNull()
@@ -166,19 +160,31 @@ def fuzzy_dedup(
         usable = usable & F.col(c).isNotNull()
     rank = F.struct(*[_as_col(c).alias(f"o{i}") for i, c in enumerate(order)])
     rows = df.where(usable).withColumn("__o", rank)
-    first = top_per_key(rows, [*block, name], ["__o"], largest=False)
-    starts = first.select(*block, F.col(name).alias("text"), "__o")
-    pairs = similar_pairs(starts, starts, threshold, block, metric)
-    pairs = pairs.where(F.col("text") != F.col("match")).select(*block, "text", "match")
-    earlier = (
-        pairs.join(starts, [*block, "text"])
-        .join(starts.select(*block, F.col("text").alias("match"), F.col("__o").alias("__e")), [*block, "match"])
-        .where(F.col("__e") < F.col("__o"))
-        .select(*block, F.col("text").alias(name))
-        .distinct()
-    )
-    kept = first.join(earlier, [*block, name], "left_anti").select(*df.columns)
-    return kept.unionByName(df.where(~usable))
+    first = cut_lineage(top_per_key(rows, [*block, name], ["__o"], largest=False))
+    keys = [f"__k{i}" for i in range(len(block))]
+    starts = first.where(F.length(name) > 0).select(*[F.col(c).alias(k) for c, k in zip(block, keys)], F.col(name).alias("__text"), "__o")
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = starts.repartition(spread)
+    segment = [*keys, "__n", "__j", "__seg"]
+    index = _index(starts, threshold, keys, "__text").withColumnsRenamed({"__text": "__match", "__o": "__e"}).withColumn("__one", F.lit(1))
+    index = cut_lineage(running_totals(index, ["__e"], "__one", segment, "__place").drop("__one"))
+    longest = index.agg(F.max("__place")).first()[0] or 0
+    # a name probes a segment once, and the first of a segment has nobody before it
+    probe = cut_lineage(_probes(starts, threshold, "__text").distinct())
+    found, low, size = [], 0, _FIRST_ROUND
+    while low < longest:
+        batch = index.where(F.col("__place").between(low + 1, low + size))
+        met = probe.join(batch, segment).where((F.col("__e") < F.col("__o")) & _near("__text", "__match", threshold))
+        found.append(cut_lineage(met.select(*keys, "__text").distinct()))
+        low, size = low + size, size * _GROWTH
+        if low < longest:
+            open_segments = index.where(F.col("__place") == low + 1).select(*segment, F.col("__e").alias("__next"))
+            probe = probe.join(found[-1], [*keys, "__text"], "left_anti").join(open_segments, segment)
+            probe = cut_lineage(probe.where(F.col("__next") < F.col("__o")).drop("__next"))
+    for part in found:
+        gone = part.select(*[F.col(k).alias(c) for c, k in zip(block, keys)], F.col("__text").alias(name))
+        first = first.join(gone, [*block, name], "left_anti")
+    return first.select(*df.columns).unionByName(df.where(~usable))
 
 
 def match_names(
@@ -188,7 +194,6 @@ def match_names(
     name: str,
     payload: str,
     cutoff: float = 0.85,
-    metric: str = "edit",
     order: str | None = None,
 ) -> DataFrame:
     """Exact match on ``column`` = ``name``, else the most similar name >= cutoff.
@@ -200,14 +205,14 @@ def match_names(
     asked = df.select(F.col(column).alias("text")).where(F.col("text").isNotNull()).distinct()
     exact = asked.join(table, asked["text"] == table["__name"]).select("text", "__v")
     rest = asked.join(table, asked["text"] == table["__name"], "left_anti")
-    pairs = similar_pairs(rest, table.select(F.col("__name").alias("text")), cutoff, metric=metric)
+    pairs = similar_pairs(rest, table.select(F.col("__name").alias("text")), cutoff)
     best = pairs.groupBy("text").agg(F.max_by("match", F.struct("similarity", "match")).alias("__name"))
     fuzzy = best.join(table, "__name").select("text", "__v")
     found = exact.unionByName(fuzzy).withColumnsRenamed({"text": column, "__v": payload})
     return df.join(found, column, "left")
 
 
-def rank_schools(schools: DataFrame, ranks: DataFrame, cutoff: float = 0.85, metric: str = "edit") -> DataFrame:
+def rank_schools(schools: DataFrame, ranks: DataFrame, cutoff: float = 0.85) -> DataFrame:
     """vic_secondary_rank by name; unmatched secondary schools take the rank after the last."""
     from leasegrid.functions.text import normalise_name
 
@@ -217,7 +222,7 @@ def rank_schools(schools: DataFrame, ranks: DataFrame, cutoff: float = 0.85, met
         .withColumn("name_norm", normalise_name(F.trim("school_name")))
     )
     asked = schools.withColumn("__norm", normalise_name(F.col("school_name")))
-    matched = match_names(asked, table, "__norm", "name_norm", "vic_secondary_rank", cutoff, metric)
+    matched = match_names(asked, table, "__norm", "name_norm", "vic_secondary_rank", cutoff)
     secondary = F.lower(F.trim("school_type")).isin("secondary", "pri/sec")
     rank = F.coalesce("vic_secondary_rank", F.when(secondary, F.lit(C.UNRANKED_SECONDARY_RANK)))
     return matched.withColumn("vic_secondary_rank", rank).drop("__norm")

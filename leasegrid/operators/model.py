@@ -1,24 +1,20 @@
-"""Encoders, regressions, boosted trees, search and metrics."""
+"""Encoders, boosted trees, search and metrics."""
 
 from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leasegrid.functions.numbers import finite, log_or_zero
 from leasegrid.operators.clean import group_mode
-from leasegrid.operators.ordering import row_numbers
-from leasegrid.operators.profile import _f_tail
 from leasegrid.operators.quantiles import exact_median
 
 # --- preparation ------------------------------------------------------------------
@@ -82,165 +78,6 @@ def log_features(df: DataFrame, target: str = "median_rent", lags: Sequence[str]
     return out.na.drop(subset=[f"log_{c}" for c in (target, *lags)])
 
 
-# --- least squares ------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class LinearFit:
-    """Coefficients (intercept first), their errors and the training R2."""
-
-    names: tuple[str, ...]
-    coefficients: tuple[float, ...]
-    errors: tuple[float, ...]
-    p_values: tuple[float, ...]
-    r2: float
-    n: int
-
-    def as_dict(self) -> dict[str, float]:
-        return dict(zip(self.names, self.coefficients))
-
-    def predict(self) -> Column:
-        out = F.lit(self.coefficients[0])
-        for name, b in zip(self.names[1:], self.coefficients[1:]):
-            out = out + F.lit(float(b)) * F.col(f"`{name}`")
-        return out
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        rows = [tuple(r) for r in zip(self.names, self.coefficients, self.errors, self.p_values)]
-        schema = "feature string, coefficient double, std_error double, p_value double"
-        return spark.createDataFrame([(n, float(c), float(e), float(p)) for n, c, e, p in rows], schema)
-
-
-def _moments(df: DataFrame, columns: Sequence[str], weight: str | None) -> tuple[np.ndarray, np.ndarray]:
-    w = F.lit(1.0) if weight is None else F.col(weight)
-    aggs = []
-    for c in columns:
-        mean = F.sum(w * F.col(f"`{c}`")) / F.sum(w)
-        aggs += [mean, F.stddev_pop(f"`{c}`")]
-    row = df.agg(*aggs).first()
-    means = np.array(row[0::2], dtype=float)
-    scales = np.array(row[1::2], dtype=float)
-    return means, np.where(scales > 0, scales, 1.0)
-
-
-def gram(df: DataFrame, columns: Sequence[str], means, scales, weight: str | None = None, by: str | None = None) -> dict:
-    """Sums of products of (1, standardised columns), per ``by`` value, in one aggregate.
-
-    Only p*p numbers per group reach the driver.
-    """
-    w = F.lit(1.0) if weight is None else F.col(weight)
-    z = [F.lit(1.0)] + [(F.col(f"`{c}`") - F.lit(float(m))) / F.lit(float(s)) for c, m, s in zip(columns, means, scales)]
-    staged = df.select(*([by] if by else []), w.alias("__w"), *[c.alias(f"z{i}") for i, c in enumerate(z)])
-    p = len(z)
-    cells = [(i, j) for i in range(p) for j in range(i, p)]
-    aggs = [F.count("*").alias("n")] + [
-        F.sum(F.col("__w") * F.col(f"z{i}") * F.col(f"z{j}")).alias(f"g_{i}_{j}") for i, j in cells
-    ]
-    rows = (staged.groupBy(by) if by else staged.groupBy()).agg(*aggs).collect()
-    out = {}
-    for r in rows:
-        g = np.zeros((p, p))
-        for i, j in cells:
-            g[i, j] = g[j, i] = r[f"g_{i}_{j}"] or 0.0
-        out[r[by] if by else None] = (r["n"], g)
-    return out
-
-
-def least_squares(df: DataFrame, features: Sequence[str], label: str, weight: str | None = None) -> LinearFit:
-    """OLS, or WLS with ``weight``, with standard errors and p-values.
-
-    Two aggregate passes (moments, then cross products of standardised columns)
-    and one p*p pseudo-inverse, so collinear dummy sets are allowed.
-    """
-    columns = [*features, label]
-    clean = df.select(*columns, *([weight] if weight else [])).na.drop()
-    means, scales = _moments(clean, columns, weight)
-    n, g = gram(clean, columns, means, scales, weight)[None]
-    p = len(features)
-    xx, xy, yy = g[: p + 1, : p + 1], g[: p + 1, p + 1], g[p + 1, p + 1]
-    inv = np.linalg.pinv(xx, rcond=1e-12)
-    beta = inv @ xy
-    rank = int(np.linalg.matrix_rank(xx, tol=1e-10 * max(np.linalg.norm(xx), 1.0)))
-    sse = float(yy - 2 * beta @ xy + beta @ xx @ beta)
-    dof = n - rank
-    cov = inv * (sse / dof if dof > 0 else np.nan)
-    # Back to the original scale.
-    sx, sy, mx, my = scales[:p], scales[p], means[:p], means[p]
-    back = np.zeros((p + 1, p + 1))
-    back[0, 0] = sy
-    back[0, 1:] = -mx * sy / sx
-    back[1:, 1:] = np.diag(sy / sx)
-    b = back @ beta
-    b[0] += my
-    se = np.sqrt(np.clip(np.diag(back @ cov @ back.T), 0, None))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t2 = (b / se) ** 2
-    p_values = tuple(_f_tail(float(v), 1.0, float(dof)) if np.isfinite(v) else 0.0 for v in t2)
-    sst = yy - g[0, p + 1] ** 2 / g[0, 0]
-    return LinearFit(("const", *features), tuple(b), tuple(se), p_values, 1 - sse / sst if sst else np.nan, n)
-
-
-def _lasso_path(xx: np.ndarray, xy: np.ndarray, alphas: Sequence[float], tol: float = 1e-10) -> list[np.ndarray]:
-    """Coordinate descent over descending penalties on centred per-row moments."""
-    w = np.zeros(len(xy))
-    path = []
-    for alpha in alphas:
-        for _ in range(20000):
-            moved = 0.0
-            for j in range(len(w)):
-                if xx[j, j] <= 0:
-                    continue
-                r = xy[j] - xx[j] @ w + xx[j, j] * w[j]
-                new = np.sign(r) * max(abs(r) - alpha, 0.0) / xx[j, j]
-                moved, w[j] = max(moved, abs(new - w[j])), new
-            if moved <= tol * max(1.0, np.abs(w).max(initial=0.0)):
-                break
-        path.append(w.copy())
-    return path
-
-
-def _centred(stats: Sequence[tuple[int, np.ndarray]]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    n = sum(s[0] for s in stats)
-    g = sum(s[1] for s in stats)
-    mean = g[0, 1:] / n
-    return n, mean, g[1:, 1:] / n - np.outer(mean, mean), g
-
-
-def lasso_select(
-    df: DataFrame, features: Sequence[str], label: str, order: Sequence[str], folds: int = 3, n_alphas: int = 100, eps: float = 1e-3
-) -> tuple[float, dict[str, float]]:
-    """(penalty, coefficients) of a Lasso on standardised features, chosen by
-    forward-chaining folds over the row order.
-
-    Rows get a distributed row number; one aggregate yields the cross products
-    of every fold segment; all fits run on those small matrices.
-    """
-    columns = [*features, label]
-    clean = df.select(*dict.fromkeys([*columns, *order])).na.drop(subset=columns)
-    numbered = row_numbers(clean, list(order), "__i")
-    means, scales = _moments(numbered, columns, None)
-    scales[-1], means[-1] = 1.0, 0.0
-    n = numbered.count()
-    size = n // (folds + 1)
-    first = n - folds * size
-    segment = F.when(F.col("__i") <= first, 0).otherwise(F.ceil((F.col("__i") - first) / size)).cast("int")
-    parts = gram(numbered.withColumn("__seg", segment), columns, means, scales, by="__seg")
-    p = len(features)
-    _, _, cov, _ = _centred([parts[s] for s in parts])
-    top = float(np.abs(cov[:p, p]).max())
-    alphas = np.geomspace(top, top * eps, n_alphas) if top > 0 else np.zeros(1)
-    errors = np.zeros((folds, len(alphas)))
-    for k in range(1, folds + 1):
-        _, mean, c, _ = _centred([parts[s] for s in range(k)])
-        m, g = parts[k]
-        for a, w in enumerate(_lasso_path(c[:p, :p], c[:p, p], alphas)):
-            v = np.concatenate([[-(mean[p] - mean[:p] @ w)], -w, [1.0]])
-            errors[k - 1, a] = v @ g @ v / m
-    best = int(errors.mean(axis=0).argmin())
-    w = _lasso_path(cov[:p, :p], cov[:p, p], alphas[: best + 1])[-1]
-    return float(alphas[best]), dict(zip(features, map(float, w)))
-
-
 # --- boosted trees and search --------------------------------------------------------
 
 

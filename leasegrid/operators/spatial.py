@@ -8,101 +8,17 @@ and expanded after it, so copies cost one search.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from leasegrid.functions.geo import distance_km, edges_cover, projected_km, ring_edges
+from leasegrid.functions.geo import distance_km, edges_cover, shape_edges
 from leasegrid.functions.numbers import distance_decay
+from leasegrid.operators.pyramid import DEEPEST, at_levels, block, counted, disc_tiles, levels_in, metric, nearest_tiles, reach, tiling, up
 from leasegrid.session import cut_lineage
 
-_KM_PER_DEGREE = 111.19492664455873
-_DEEPEST = 18
-# Above this tile side the flat-tile distance bound for haversine is not used.
-_FLAT_DEGREES = 10.0
-
-
-@dataclass(frozen=True)
-class Tiling:
-    """Tile grid over an extent. ``stretch`` scales longitude so that one tile
-    side is never longer in degrees than its true ground distance."""
-
-    x0: float
-    y0: float
-    side: float
-    stretch: float
-    rho: float
-    flat: bool
-
-    def cell(self, axis: str, c: Column) -> Column:
-        scaled = (c * F.lit(self.stretch) - F.lit(self.x0)) if axis == "x" else (c - F.lit(self.y0))
-        return F.floor(scaled / F.lit(self.side / 2**_DEEPEST)).cast("long")
-
-    @property
-    def shift(self) -> int:
-        """Levels to coarsen so that a 3x3 block reaches past the tile diagonal."""
-        return max(1, math.ceil(math.log2(math.sqrt(1 + self.rho**2) * 1.02)))
-
-    def level_reaching(self, reach: float) -> int:
-        """Deepest level whose 3x3 block still covers ``reach`` (in grid units)."""
-        return max(0, min(_DEEPEST, math.floor(math.log2(self.side / (reach * 1.02)))))
-
-    def shallowest(self) -> int:
-        """First level with tiles small enough for the flat bound."""
-        if self.flat or self.side <= _FLAT_DEGREES:
-            return 0
-        return math.ceil(math.log2(self.side / _FLAT_DEGREES))
-
-
-def tiling(frames: Sequence[tuple[DataFrame, str, str]], method: str) -> Tiling:
-    """Extent of all frames (one row of min/max values per frame reaches the driver)."""
-    boxes = [
-        df.agg(F.min(lat), F.max(lat), F.min(lon), F.max(lon)).first() for df, lat, lon in frames
-    ]
-    boxes = [b for b in boxes if b[0] is not None and b[2] is not None]
-    if not boxes:
-        return Tiling(0.0, 0.0, 1.0, 1.0, 1.0, True)
-    lat0, lat1 = min(b[0] for b in boxes), max(b[1] for b in boxes)
-    lon0, lon1 = min(b[2] for b in boxes), max(b[3] for b in boxes)
-    stretch = rho = 1.0
-    if method == "haversine":
-        far = min(max(abs(lat0), abs(lat1)), 89.0)
-        near = 0.0 if lat0 <= 0 <= lat1 else min(abs(lat0), abs(lat1))
-        stretch = math.cos(math.radians(far))
-        rho = math.cos(math.radians(near)) / stretch
-    side = max(lat1 - lat0, (lon1 - lon0) * stretch, 1e-9) * 1.000001
-    return Tiling(lon0 * stretch, lat0, side, stretch, rho, method != "haversine")
-
-
-def _up(cell: Column, level: Column) -> Column:
-    """Tile index of a deepest-level cell at ``level``."""
-    return F.call_function("shiftright", cell, (F.lit(_DEEPEST) - level).cast("int"))
-
-
-def _block(df: DataFrame, tx: Column, ty: Column) -> DataFrame:
-    """Replicate each row to the 3x3 block around its tile."""
-    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    return (
-        df.withColumn("__d", F.explode(steps))
-        .withColumn("__tx", tx + F.col("__d.i"))
-        .withColumn("__ty", ty + F.col("__d.j"))
-        .drop("__d")
-    )
-
-
-def _distance(method: str, lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    if method == "projected":
-        return projected_km(lon1, lat1, lon2, lat2)
-    return distance_km(lat1, lon1, lat2, lon2, method)
-
-
-def _reach(method: str, limit: float) -> float:
-    """A distance limit expressed in grid units."""
-    return {"haversine": limit / _KM_PER_DEGREE, "planar": limit, "projected": limit * 1000}[method]
-
 
 def nearest(
     points: DataFrame,
@@ -119,21 +35,25 @@ def nearest(
 ) -> DataFrame:
     """Exact k nearest sites per point: (point_id, site_id, distance, rank).
 
-    Each point searches the 3x3 block at the deepest level whose block is sure
-    to hold its k nearest: its own finer tile already holds k sites, and the
-    block reaches past that tile's diagonal. ``within`` (km; degrees when
-    planar) caps the distance and bounds the coarsest level. ``by`` restricts
-    neighbours to the same group. Ties go to the smaller site id.
+    Each point starts with the 3x3 block at the deepest level whose block is
+    sure to hold its k nearest: its own finer tile already holds k sites, and the
+    block reaches past that tile's diagonal; without such a tile the block is
+    everything. Blocks with many more sites than k descend the pyramid, so far
+    points and uneven densities meet about k candidates too. ``within`` (km;
+    degrees when planar) caps the distance. ``by`` restricts neighbours to the
+    same group. ``method='geodesic'`` measures on WGS84. Ties go to the smaller
+    site id.
     """
     by = list(by)
     want = k + 1 if exclude_self else k
+    flat = "haversine" if method == "geodesic" else method
     here = [F.col(c) for c in by]
     placed = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     for c in here:
         placed = placed & c.isNotNull()
     points = points.where(placed).select(F.col(point_id).alias("__pid"), *by, F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
     sites = sites.where(placed).select(F.col(site_id).alias("__sid"), *by, F.col(lat).alias("__slat"), F.col(lon).alias("__slon"))
-    grid = tiling([(points, "__lat", "__lon"), (sites, "__slat", "__slon")], method)
+    grid = tiling([(points, "__lat", "__lon"), (sites, "__slat", "__slon")], flat)
 
     # At most ``want`` sites matter per coordinate; the rank filter is pushed
     # below the shuffle, so a pile of copies leaves each task as ``want`` rows.
@@ -143,39 +63,23 @@ def nearest(
     spots = points.select(*by, "__lat", "__lon").distinct()
     spots = spots.withColumn("__fx", grid.cell("x", F.col("__lon"))).withColumn("__fy", grid.cell("y", F.col("__lat")))
 
-    floor = 0 if within is None else grid.level_reaching(_reach(method, within))
+    floor = 0 if within is None else grid.level_reaching(reach(method, within))
     first = max(floor, grid.shallowest())
-    levels = F.array(*[F.lit(v) for v in range(min(first + grid.shift, _DEEPEST), _DEEPEST + 1)])
-
-    def tiles(df: DataFrame) -> DataFrame:
-        out = df.withColumn("__l", F.explode(levels))
-        return out.withColumn("__tx", _up(F.col("__fx"), F.col("__l"))).withColumn("__ty", _up(F.col("__fy"), F.col("__l")))
-
     tile = [*by, "__l", "__tx", "__ty"]
-    full = (
-        tiles(sites.groupBy(*by, "__fx", "__fy").agg(F.count("*").alias("__n")))
-        .groupBy(*tile)
-        .agg(F.sum("__n").alias("__n"))
-        .where(F.col("__n") >= want)
-        .select(*tile)
-    )
-    depth = (
-        tiles(spots.select(*by, "__fx", "__fy").distinct())
-        .join(full, tile)
-        .groupBy(*by, "__fx", "__fy")
-        .agg(F.max("__l").alias("__deep"))
-    )
+    cells = cut_lineage(sites.groupBy(*by, "__fx", "__fy").agg(F.count("*").alias("__n")))
+    levels = range(min(first + grid.shift, DEEPEST), DEEPEST + 1)
+    full = counted(cells, levels, by).where(F.col("__n") >= want).select(*tile)
+    asking = spots.select(*by, "__fx", "__fy").distinct()
+    depth = at_levels(asking, levels).join(full, tile).groupBy(*by, "__fx", "__fy").agg(F.max("__l").alias("__deep"))
     level = F.coalesce(F.col("__deep") - grid.shift, F.lit(floor))
-    asked = spots.join(depth, [*by, "__fx", "__fy"], "left").withColumn("__l", level)
-    asked = _block(asked, _up(F.col("__fx"), F.col("__l")), _up(F.col("__fy"), F.col("__l")))
-    asked = asked.select(*tile, "__lat", "__lon")
-
-    used = F.array(*[F.lit(v) for v in sorted({floor, *range(first, _DEEPEST - grid.shift + 1)})])
-    offered = sites.withColumn("__l", F.explode(used))
-    offered = offered.withColumn("__tx", _up(F.col("__fx"), F.col("__l"))).withColumn("__ty", _up(F.col("__fy"), F.col("__l")))
-    offered = offered.select(*tile, "__sid", "__slat", "__slon")
-
-    gap = _distance(method, F.col("__lat"), F.col("__lon"), F.col("__slat"), F.col("__slon"))
+    asked = cut_lineage(asking.join(depth, [*by, "__fx", "__fy"], "left").select(*by, "__fx", "__fy", level.alias("__l")))
+    asked = block(asked, up(F.col("__fx"), F.col("__l")), up(F.col("__fy"), F.col("__l")))
+    tiles = nearest_tiles(asked, cells, grid, method, want, within, by, leaf=256 + 64 * want)
+
+    asked = spots.join(tiles, [*by, "__fx", "__fy"]).select(*tile, "__lat", "__lon")
+    used = levels_in(tiles)
+    offered = at_levels(sites, used or [0]).select(*tile, "__sid", "__slat", "__slon")
+    gap = metric(method, F.col("__lat"), F.col("__lon"), F.col("__slat"), F.col("__slon"))
     pairs = asked.join(offered, tile).select(*by, "__lat", "__lon", "__sid", gap.alias("distance"))
     if within is not None:
         pairs = pairs.where(F.col("distance") <= within)
@@ -220,10 +124,10 @@ def within_radius(
     points, sites = points.where(placed), sites.where(placed)
     sites = sites.withColumnsRenamed({lat: "site_lat", lon: "site_lon"})
     grid = tiling([(points, lat, lon), (sites, "site_lat", "site_lon")], flat)
-    level = F.lit(grid.level_reaching(_reach(flat, radius_km)))
-    left = points.withColumn("__tx", _up(grid.cell("x", F.col(lon)), level)).withColumn("__ty", _up(grid.cell("y", F.col(lat)), level))
-    right = _block(sites, _up(grid.cell("x", F.col("site_lon")), level), _up(grid.cell("y", F.col("site_lat")), level))
-    gap = _distance(method, F.col(lat), F.col(lon), F.col("site_lat"), F.col("site_lon"))
+    level = F.lit(grid.level_reaching(reach(method, radius_km)))
+    left = points.withColumn("__tx", up(grid.cell("x", F.col(lon)), level)).withColumn("__ty", up(grid.cell("y", F.col(lat)), level))
+    right = block(sites, up(grid.cell("x", F.col("site_lon")), level), up(grid.cell("y", F.col("site_lat")), level))
+    gap = metric(method, F.col(lat), F.col(lon), F.col("site_lat"), F.col("site_lon"))
     return (
         left.join(right, ["__tx", "__ty"])
         .withColumn("distance", gap)
@@ -251,62 +155,121 @@ def amenities_near(
     radius_km: float = 2.0,
     method: str = "geodesic",
 ) -> DataFrame:
-    """Radius join and summary, computed once per distinct coordinate."""
-    spots = listings.select("lat", "lon").distinct()
-    spots = spots.withColumn("__spot", F.struct("lat", "lon"))
-    tagged = pois.where(F.col("amenity").rlike(tags))
-    pairs = within_radius(spots, tagged, radius_km, method)
-    per_spot = amenity_summary(pairs, "__spot", "amenity", amenities)
-    keyed = listings.select(key, F.struct("lat", "lon").alias("__spot"))
+    """count_<amenity> and min_dist_<amenity> (metres) within the radius, computed once per distinct coordinate.
+
+    No pair is listed for the summary: tiles wholly inside the radius add their
+    counts, only sites in small tiles across its rim are measured, and the
+    least distance comes from a search for the one nearest site per amenity.
+    """
+    flat = "haversine" if method == "geodesic" else method
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    spots = listings.where(placed).select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon")).distinct()
+    sites = pois.where(placed & F.col("amenity").rlike(tags)).select("amenity", "name", F.col("lat").alias("__slat"), F.col("lon").alias("__slon"))
+    grid = tiling([(spots, "__lat", "__lon"), (sites, "__slat", "__slon")], flat)
+    sites = sites.withColumn("__fx", grid.cell("x", F.col("__slon"))).withColumn("__fy", grid.cell("y", F.col("__slat")))
+    # copies of a place count together
+    spot_sites = cut_lineage(sites.groupBy("amenity", "__slat", "__slon", "__fx", "__fy").agg(F.count("name").alias("__n")))
+    cells = spot_sites.groupBy("__fx", "__fy").agg(F.sum("__n").alias("__n"))
+
+    start = F.lit(grid.level_reaching(reach(method, radius_km)))
+    asked = block(spots.withColumn("__l", start), up(grid.cell("x", F.col("__lon")), start), up(grid.cell("y", F.col("__lat")), start))
+    tiles = disc_tiles(asked, cells, grid, method, radius_km, leaf=8)
+    tile = ["__l", "__tx", "__ty"]
+    used = levels_in(tiles) or [0]
+    spot = ["__lat", "__lon", "amenity"]
+    whole = tiles.where("__whole").join(counted(spot_sites, used, ["amenity"]), tile).select(*spot, "__n")
+    gap = metric(method, F.col("__lat"), F.col("__lon"), F.col("__slat"), F.col("__slon"))
+    rim = tiles.where("NOT __whole").join(at_levels(spot_sites, used), tile).where(gap <= radius_km).select(*spot, "__n")
+    counts = whole.unionByName(rim).groupBy(*spot).agg(F.sum("__n").alias("n"))
+
+    asks = spots.select(F.struct("__lat", "__lon").alias("spot"), F.col("__lat").alias("lat"), F.col("__lon").alias("lon"))
+    asks = asks.withColumn("amenity", F.explode(F.array(*[F.lit(a) for a in amenities])))
+    places = spot_sites.select("amenity", F.col("__slat").alias("lat"), F.col("__slon").alias("lon"), F.struct("__slat", "__slon").alias("site"))
+    near = nearest(asks.withColumn("ask", F.struct("spot", "amenity")), places, 1, "ask", "site", by=["amenity"], within=radius_km, method=method)
+    near = near.select(F.col("ask.spot.__lat").alias("__lat"), F.col("ask.spot.__lon").alias("__lon"), F.col("ask.amenity").alias("amenity"), (F.col("distance") * 1000).alias("d"))
+    both = counts.join(near, spot, "left")
+    aggs = []
+    for a in amenities:
+        hit = F.col("amenity") == a
+        aggs += [F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0)).alias(f"count_{a}"), F.min(F.when(hit, F.col("d"))).alias(f"min_dist_{a}")]
+    per_spot = both.groupBy(F.struct("__lat", "__lon").alias("__spot")).agg(*aggs)
+    keyed = listings.select(key, F.struct(F.col("lat").alias("__lat"), F.col("lon").alias("__lon")).alias("__spot"))
     return keyed.join(per_spot, "__spot", "left").drop("__spot")
 
 
 # --- polygons ----------------------------------------------------------------------
 
 
+def as_shape(df: DataFrame, column: str) -> Column:
+    """A column of one ring, of the rings of one polygon, or of parts of rings, as parts of rings."""
+    kind, depth = df.schema[column].dataType, 0
+    while isinstance(kind, ArrayType):
+        kind, depth = kind.elementType, depth + 1
+    shape = F.col(column)
+    for _ in range(3 - depth):
+        shape = F.when(shape.isNotNull(), F.array(shape))
+    return shape
+
+
 def points_in_polygons(
     polygons: DataFrame,
     points: DataFrame,
     ring: str = "ring",
     lat: str = "lat",
     lon: str = "lon",
+    edges_per_strip: int = 8,
+    most_strips: int = 256,
 ) -> DataFrame:
-    """Inner join polygons x points where the polygon covers the point (boundary counts).
-
-    Each polygon takes the level at which its box spans at most 3x3 tiles; each
-    point is offered once per level in use. ``ring`` is ARRAY<STRUCT<x,y>>.
+    """Inner join polygons x points where the polygon covers the point (boundaries count).
+
+    ``ring`` is a ring, the rings of a polygon (holes after the outline), or
+    parts of rings; it is left out of the result. Each polygon's box takes the
+    level at which it spans at most 3x3 tiles, each point is offered once per
+    level in use, and the tile join carries boxes, not shapes. Points inside a
+    box then meet only the edges of their horizontal strip of the polygon; the
+    parity of crossed edges answers for parts and holes alike.
     """
-    xs, ys = F.transform(ring, lambda p: p.x), F.transform(ring, lambda p: p.y)
-    boxed = polygons.where(F.col(ring).isNotNull()).withColumns(
-        {"__x0": F.array_min(xs), "__x1": F.array_max(xs), "__y0": F.array_min(ys), "__y1": F.array_max(ys), "__e": ring_edges(F.col(ring))}
+    named = [c for c in polygons.columns if c != ring]
+    shaped = polygons.withColumn("__shape", as_shape(polygons, ring)).where(F.col(ring).isNotNull())
+    frozen = cut_lineage(shaped.select(*named, shape_edges(F.col("__shape")).alias("__e")).withColumn("__pid", F.monotonically_increasing_id()))
+    ends = lambda a: F.transform("__e", lambda e: e[a])  # noqa: E731 (rings are closed, so first ends are all corners)
+    boxed = frozen.withColumns({
+        "__x0": F.array_min(ends("ax")), "__x1": F.array_max(ends("ax")), "__y0": F.array_min(ends("ay")), "__y1": F.array_max(ends("ay")),
+        "__strips": F.least(F.ceil(F.size("__e") / edges_per_strip), F.lit(most_strips)).cast("int"),
+    })
+    height = F.when(F.col("__y1") > F.col("__y0"), F.col("__y1") - F.col("__y0")).otherwise(F.lit(1.0))
+    boxed = boxed.withColumn("__h", height / F.col("__strips"))
+
+    def strip(y: Column) -> Column:
+        return F.least(F.floor((y - F.col("__y0")) / F.col("__h")).cast("int"), F.col("__strips") - 1)
+
+    crossing = F.transform(
+        F.sequence(F.lit(0), F.col("__strips") - 1),
+        lambda s: F.struct(s.alias("s"), F.filter("__e", lambda e: (strip(F.least(e.ay, e.by)) <= s) & (strip(F.greatest(e.ay, e.by)) >= s)).alias("e")),
     )
+    strips = boxed.select(F.col("__pid").alias("__of"), F.explode(crossing).alias("__x")).select("__of", F.col("__x.s").alias("__strip"), F.col("__x.e").alias("__edges"))
+
     points = points.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
     grid = tiling([(points, lat, lon)], "planar")
-    span = F.greatest(F.col("__x1") - F.col("__x0"), F.col("__y1") - F.col("__y0"), F.lit(grid.side / 2**_DEEPEST))
-    level = F.least(F.greatest(F.floor(F.log2(F.lit(grid.side) / span)) + 1, F.lit(0)), F.lit(_DEEPEST)).cast("int")
-    boxed = boxed.withColumn("__l", level)
-    depth = boxed.agg(F.min("__l"), F.max("__l")).first()
-    low, high = (0, 0) if depth[0] is None else (depth[0], depth[1])
-
-    last = 2**_DEEPEST - 1  # boxes larger than the extent are cut to it
+    span = F.greatest(F.col("__x1") - F.col("__x0"), F.col("__y1") - F.col("__y0"), F.lit(grid.side / 2**DEEPEST))
+    level = F.least(F.greatest(F.floor(F.log2(F.lit(grid.side) / span)) + 1, F.lit(0)), F.lit(DEEPEST)).cast("int")
+    boxes = boxed.drop("__e").withColumn("__l", level)
+    levels = levels_in(boxes.where(F.col("__l").isNotNull())) or [0]
+    last = 2**DEEPEST - 1  # boxes larger than the extent are cut to it
 
     def span_of(axis: str, a: str, b: str) -> Column:
-        lo, hi = (_up(F.greatest(F.least(grid.cell(axis, F.col(c)), F.lit(last)), F.lit(0)), F.col("__l")) for c in (a, b))
+        lo, hi = (up(F.greatest(F.least(grid.cell(axis, F.col(c)), F.lit(last)), F.lit(0)), F.col("__l")) for c in (a, b))
         return F.sequence(lo, hi)
 
-    covered = boxed.withColumn("__tx", F.explode(span_of("x", "__x0", "__x1"))).withColumn(
-        "__ty", F.explode(span_of("y", "__y0", "__y1"))
-    )
-    offered = points.withColumn("__l", F.explode(F.array(*[F.lit(v) for v in range(low, high + 1)])))
-    offered = offered.withColumn("__tx", _up(grid.cell("x", F.col(lon)), F.col("__l"))).withColumn("__ty", _up(grid.cell("y", F.col(lat)), F.col("__l")))
+    covered = boxes.withColumn("__tx", F.explode(span_of("x", "__x0", "__x1"))).withColumn("__ty", F.explode(span_of("y", "__y0", "__y1")))
+    placed = points.withColumn("__fx", grid.cell("x", F.col(lon))).withColumn("__fy", grid.cell("y", F.col(lat)))
+    offered = at_levels(placed, levels).drop("__fx", "__fy")
     x, y = F.col(lon), F.col(lat)
     in_box = x.between(F.col("__x0"), F.col("__x1")) & y.between(F.col("__y0"), F.col("__y1"))
-    return (
-        covered.join(offered, ["__l", "__tx", "__ty"])
-        .where(in_box)
-        .where(edges_cover(F.col("__e"), x, y))
-        .drop("__l", "__tx", "__ty", "__x0", "__x1", "__y0", "__y1", "__e")
-    )
+    met = covered.join(offered, ["__l", "__tx", "__ty"]).where(in_box).withColumn("__at", strip(y))
+    met = met.drop("__l", "__tx", "__ty", "__x0", "__x1", "__y0", "__y1", "__h", "__strips")
+    found = met.join(strips, (F.col("__pid") == F.col("__of")) & (F.col("__at") == F.col("__strip")))
+    return found.where(edges_cover(F.col("__edges"), x, y)).drop("__pid", "__of", "__at", "__strip", "__edges")
 
 
 def best_schools(
@@ -318,7 +281,7 @@ def best_schools(
 ) -> DataFrame:
     """Per (key, band): best school by decayed goodness, and the number of schools covered.
 
-    ``isochrones``: key, band, ring, year, listing_lat, listing_lon.
+    ``isochrones``: key, band, ring (a ring or a whole shape), year, listing_lat, listing_lon.
     ``schools``: school_name, school_goodness, establishment_year, lat, lon.
     Schools founded after the listing year do not count. Bands with a polygon
     but no school come back with NULLs.

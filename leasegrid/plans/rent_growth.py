@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from leasegrid import constants as C
 from leasegrid.functions.text import is_age_summary
-from leasegrid.operators import clean, joins, model
+from leasegrid.operators import clean, joins, linear, model
 from leasegrid.operators.forecast import rent_growth, spatial_forecast, var_forecast
 from leasegrid.operators.ordering import dense_ids
 from leasegrid.operators.panel import time_lags
@@ -69,7 +69,7 @@ def featured(panel: DataFrame, edges: DataFrame) -> DataFrame:
 
 def fit_log_model(
     features: DataFrame, indicators: Sequence[str], income: str = "median_personal_income", split: date = date(2024, 1, 1), weighted: bool = True
-) -> tuple[model.LinearFit, DataFrame]:
+) -> tuple[linear.LinearFit, DataFrame]:
     """Weighted log-linear fit on rows before ``split``, and metrics on both sides in rent units."""
     lags = [f"rent_lag_{k}" for k in range(1, 5)]
     logged = cut_lineage(model.log_features(features, "median_rent", lags))
@@ -77,7 +77,7 @@ def fit_log_model(
     logged = one_hot(logged, "property_type", levels, "property")
     names = [*[f"log_{c}" for c in lags], "log_spatial_lag", *indicators, income, *[f"property_{v}" for v in levels]]
     train, test = clean.split_at(logged, "date", split)
-    fit = model.least_squares(train, names, "log_median_rent", "weights" if weighted else None)
+    fit = linear.least_squares(train, names, "log_median_rent", "weights" if weighted else None)
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
     scored = both.withColumn("predicted", F.exp(fit.predict()))
     return fit, model.regression_metrics(scored, "median_rent", "predicted", "split")

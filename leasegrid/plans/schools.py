@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leasegrid import constants as C
-from leasegrid.functions.geo import wkt_ring
+from leasegrid.functions.geo import wkt_shape
 from leasegrid.functions.numbers import school_goodness
 from leasegrid.operators import clean
 from leasegrid.operators.match import fuzzy_dedup, rank_schools
@@ -16,14 +16,14 @@ from leasegrid.operators.spatial import best_schools
 from leasegrid.session import cut_lineage
 
 
-def process_schools(schools: DataFrame, order: Sequence[str] = ("establishment_year", "School_No"), threshold: float = 0.99, metric: str = "edit") -> DataFrame:
+def process_schools(schools: DataFrame, order: Sequence[str] = ("establishment_year", "School_No"), threshold: float = 0.99) -> DataFrame:
     """Open, non-camp, non-language schools without near-duplicates or repeated names."""
     cols = ["School_Name", "Education_Sector", "School_Type", "School_Status", "establishment_year", "X", "Y"]
     df = schools.select(*cols, *[F.col(c).alias(f"__ord{i}") for i, c in enumerate(order)])
     df = df.withColumns({c: F.col(c).cast("string").try_cast("double") for c in ("X", "Y")})
     df = df.withColumns({"lon": F.col("X"), "lat": F.col("Y"), "X": F.round("X", 1), "Y": F.round("Y", 1)})
     ords = [f"__ord{i}" for i in range(len(order))]
-    df = cut_lineage(fuzzy_dedup(cut_lineage(df), "School_Name", ["X", "Y"], ords, threshold, metric))
+    df = cut_lineage(fuzzy_dedup(cut_lineage(df), "School_Name", ["X", "Y"], ords, threshold))
     df = clean.drop_listed(df, "School_Type", ["Language", "Camp"])
     df = df.where(~F.col("School_Status").eqNullSafe("C")).drop("School_Status")
     df = clean.snake_names(df)
@@ -31,8 +31,8 @@ def process_schools(schools: DataFrame, order: Sequence[str] = ("establishment_y
     return clean.drop_repeated_names(df, "school_name", group, ords).drop(*ords)
 
 
-def ranked(schools: DataFrame, ranks: DataFrame, cutoff: float = 0.85, metric: str = "edit") -> DataFrame:
-    out = rank_schools(schools, ranks, cutoff, metric)
+def ranked(schools: DataFrame, ranks: DataFrame, cutoff: float = 0.85) -> DataFrame:
+    out = rank_schools(schools, ranks, cutoff)
     return out.withColumn("school_goodness", school_goodness(F.col("vic_secondary_rank")))
 
 
@@ -41,7 +41,7 @@ def attach_best_schools(listings: DataFrame, schools: DataFrame, bands: Sequence
     rings = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"`{b}`").alias("wkt")) for b in bands])
     long = listings.select(
         "property_id", "year", F.col("lat").alias("listing_lat"), F.col("lon").alias("listing_lon"), F.explode(rings).alias("b")
-    ).select("property_id", "year", "listing_lat", "listing_lon", "b.band", wkt_ring(F.col("b.wkt")).alias("ring"))
+    ).select("property_id", "year", "listing_lat", "listing_lon", "b.band", wkt_shape(F.col("b.wkt")).alias("ring"))
     best = best_schools(long, schools, method=method)
     fields = [*C.SCHOOL_FIELDS, "n_schools"]
     wide = best.groupBy("property_id").agg(

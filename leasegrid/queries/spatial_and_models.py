@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from leasegrid.functions.geo import wkt_ring
-from leasegrid.operators import clean, forecast, joins, match, model, reshape, score, spatial
+from leasegrid.functions.geo import wkt_shape
+from leasegrid.operators import clean, forecast, joins, linear, match, model, reshape, score, spatial
 from leasegrid.operators.panel import time_lags
 from leasegrid.plans import rent_growth
 from leasegrid.queries.registry import CUSTOMERS, SUPPLIERS, cents, customers, haversine_sql, query, suppliers, table
@@ -145,28 +145,36 @@ def nearest_donor(spark, sf):
     return out.select("c_custkey", "a_imputed", "b_imputed")
 
 
-# One diamond per supplier, centred on it; every third one is an axis-aligned square.
-def _diamonds(spark, sf):
+# Around each supplier: a square with a square hole, two diamonds as parts, or one diamond.
+def _shapes(spark, sf):
     s = suppliers(spark, sf)
     r = F.lit(0.03) + F.col("s_nationkey") / 200.0
     corners = [(-1, 0), (0, -1), (1, 0), (0, 1), (-1, 0)]
-    boxes = [(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]
+    box = [(-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1)]
 
-    def ring(shape):
-        return F.array(*[F.struct((F.col("lon") + r * dx).alias("x"), (F.col("lat") + r * dy).alias("y")) for dx, dy in shape])
+    def ring(outline, size=1.0, east=0.0):
+        spots = [F.struct((F.col("lon") + r * (dx * size + east)).alias("x"), (F.col("lat") + r * (dy * size)).alias("y")) for dx, dy in outline]
+        return F.array(*spots)
 
-    square = F.col("s_nationkey") % 3 == 0
-    return s.select("s_suppkey", "s_nationkey", F.col("lat").alias("listing_lat"), F.col("lon").alias("listing_lon"), F.when(square, ring(boxes)).otherwise(ring(corners)).alias("ring"))
+    kind = F.col("s_nationkey") % 3
+    shape = (
+        F.when(kind == 0, F.array(F.array(ring(box), ring(box, 0.5))))
+        .when(kind == 1, F.array(F.array(ring(corners)), F.array(ring(corners, 0.5, 2.0))))
+        .otherwise(F.array(F.array(ring(corners))))
+    )
+    return s.select("s_suppkey", "s_nationkey", F.col("lat").alias("listing_lat"), F.col("lon").alias("listing_lon"), shape.alias("ring"))
 
 
-INSIDE = """CASE WHEN s_nationkey % 3 = 0 THEN c.lon BETWEEN s.lon - r AND s.lon + r AND c.lat BETWEEN s.lat - r AND s.lat + r ELSE abs(c.lon - s.lon) + abs(c.lat - s.lat) <= r END"""
+INSIDE = """CASE s_nationkey % 3 WHEN 0 THEN greatest(abs(c.lon - s.lon), abs(c.lat - s.lat)) BETWEEN r / 2 AND r
+    WHEN 1 THEN abs(c.lon - s.lon) + abs(c.lat - s.lat) <= r OR abs(c.lon - s.lon - 2 * r) + abs(c.lat - s.lat) <= r / 2
+    ELSE abs(c.lon - s.lon) + abs(c.lat - s.lat) <= r END"""
 RINGS = f"SELECT *, 0.03e0 + s_nationkey / 200e0 AS r FROM ({SUPPLIERS})"
 
 
 @query("point_in_polygon", f"SELECT s_suppkey, c_custkey FROM ({RINGS}) s, ({CUSTOMERS}) c WHERE {INSIDE}")
 def point_in_polygon(spark, sf):
     points = customers(spark, sf).select("c_custkey", "lat", "lon")
-    return spatial.points_in_polygons(_diamonds(spark, sf), points).select("s_suppkey", "c_custkey")
+    return spatial.points_in_polygons(_shapes(spark, sf), points).select("s_suppkey", "c_custkey")
 
 
 @query(
@@ -180,20 +188,42 @@ def best_school(spark, sf):
         F.col("c_name").alias("school_name"), F.round(F.col("c_acctbal") / 10000, 4).alias("school_goodness"),
         F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey") + 2000).alias("establishment_year"), "lat", "lon",
     )
-    bands = _diamonds(spark, sf).withColumns({"band": F.lit("walking_5min"), "year": F.col("s_nationkey") + 2000})
+    bands = _shapes(spark, sf).withColumns({"band": F.lit("walking_5min"), "year": F.col("s_nationkey") + 2000})
     out = spatial.best_schools(bands, schools, "s_suppkey", method="haversine")
     return out.select("s_suppkey", "best_school_name", F.round("best_score", 6).alias("best_score"), F.round("best_dist_km", 6).alias("best_dist_km"), "n_schools")
 
 
 @query(
     "wkt_rings",
-    "SELECT s_suppkey, CAST(CASE WHEN s_nationkey % 2 = 0 THEN 4 END AS INTEGER) AS corners FROM supplier",
+    """SELECT s_suppkey, CASE s_nationkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 END AS parts, CASE s_nationkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 END AS rings,
+    CASE s_nationkey % 5 WHEN 0 THEN 4 WHEN 1 THEN 10 WHEN 2 THEN 14 END AS corners, CASE WHEN s_nationkey % 5 < 3 THEN round(s_acctbal, 2) END AS first_x,
+    round(CASE s_nationkey % 5 WHEN 0 THEN s_acctbal + 1 WHEN 1 THEN s_acctbal + 10 WHEN 2 THEN s_acctbal + 33 END, 2) AS last_x FROM supplier""",
 )
 def wkt_rings(spark, sf):
-    x = F.col("s_acctbal").cast("string")
-    text = F.concat(F.lit("POLYGON (("), x, F.lit(" 0, 1e1 0.5,2 2, "), x, F.lit(" 0))"))
-    text = F.when(F.col("s_nationkey") % 2 == 0, text).otherwise(F.lit("POLYGON EMPTY"))
-    return table(spark, sf, "supplier").select("s_suppkey", F.size(wkt_ring(text)).alias("n")).select("s_suppkey", F.when(F.col("n") > 0, F.col("n")).alias("corners"))
+    x = F.round("s_acctbal", 2)
+    at = lambda d: F.format_string("%.2f", x + d)
+
+    def ring(*offsets):
+        return F.concat(F.lit("("), F.concat_ws(", ", *[F.concat(at(dx), F.lit(f" {dy}")) for dx, dy in offsets]), F.lit(")"))
+
+    small = ring((0, 0), (1, "5e-1"), (1, 1), (0, 0))
+    large = ring((0, 0), (10, 0), (10, 10), (0, 10), (0, 0))
+    hole = ring((2, 2), (4, 2), (4, 4), (2, 4), (2, 2))
+    far = ring((30, 0), (33, 0), (33, "1.5"), (30, 0))
+    kind = F.col("s_nationkey") % 5
+    text = (
+        F.when(kind == 0, F.concat(F.lit("POLYGON Z ("), F.regexp_replace(small, r" (\S+?)([,)])", " $1 7$2"), F.lit(")")))
+        .when(kind == 1, F.concat(F.lit(" polygon("), large, F.lit(" , "), hole, F.lit(")")))
+        .when(kind == 2, F.concat(F.lit("MULTIPOLYGON ((("), F.substring(large, 2, 999), F.lit(", "), hole, F.lit("), ("), far, F.lit("))")))
+        .when(kind == 3, F.lit("MULTIPOLYGON EMPTY"))
+        .otherwise(F.concat(F.lit("POLYGON (("), at(0), F.lit(" 0, 1 1, 2 2, 9 9))")))
+    )
+    shapes = table(spark, sf, "supplier").select("s_suppkey", wkt_shape(text).alias("shape"))
+    points = F.flatten(F.flatten("shape"))
+    return shapes.select(
+        "s_suppkey", F.size("shape").alias("parts"), F.size(F.flatten("shape")).alias("rings"), F.size(points).alias("corners"),
+        F.get(points, F.lit(0)).x.alias("first_x"), F.round(F.array_max(F.transform(points, lambda p: p.x)), 2).alias("last_x"),
+    ).withColumns({c: F.when(F.col(c) >= 0, F.col(c)) for c in ("parts", "rings", "corners")})
 
 
 @query(
@@ -242,11 +272,29 @@ def similar_names(spark, sf):
     return match.similar_pairs(p, p, 0.8).withColumn("similarity", F.round("similarity", 8))
 
 
-@query("school_ranks")
+@query(
+    "school_ranks",
+    f"""WITH k AS (SELECT lower(p_name) || ' college' AS u, max(p_size * 2) AS v FROM part GROUP BY 1),
+    a AS (SELECT DISTINCT lower(p_name) || CASE WHEN p_size > 40 THEN ' coll' ELSE ' college' END AS u FROM part),
+    m AS (SELECT a.u AS asked, arg_max(b.v, ({EDIT}, b.u)) AS v FROM a JOIN k b ON {EDIT} >= 0.85 GROUP BY 1)
+    SELECT p_partkey, coalesce(v, CASE WHEN p_size > 10 THEN 101 END) AS vic_secondary_rank FROM part LEFT JOIN m ON asked = lower(p_name) || CASE WHEN p_size > 40 THEN ' coll' ELSE ' college' END""",
+)
 def school_ranks(spark, sf):
     s = table(spark, sf, "part").select("p_partkey", F.concat(F.initcap("p_name"), F.when(F.col("p_size") > 40, " Coll").otherwise(" College")).alias("school_name"), F.when(F.col("p_size") > 10, "Secondary").otherwise("Primary").alias("school_type"))
     ranks = table(spark, sf, "part").select(F.concat(F.initcap("p_name"), F.lit(" College, Main Campus")).alias("school_name"), (F.col("p_size") * 2).alias("vic_secondary_rank"))
-    return match.rank_schools(s, ranks, metric="blocks").select("p_partkey", "vic_secondary_rank")
+    return match.rank_schools(s, ranks).select("p_partkey", "vic_secondary_rank")
+
+
+# Schools of one place: names almost alike, coordinates equal to one decimal.
+@query(
+    "fuzzy_dedup_places",
+    f"""WITH p AS (SELECT c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN ' school' ELSE ' schol' END AS u, round(lat, 1) AS x, round(lon, 1) AS y FROM ({CUSTOMERS}))
+    SELECT c_custkey, u AS name FROM p a WHERE NOT EXISTS (SELECT 1 FROM p b WHERE b.c_custkey < a.c_custkey AND b.x = a.x AND b.y = a.y AND {EDIT} >= 0.9)""",
+)
+def fuzzy_dedup_places(spark, sf):
+    named = F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, " school").otherwise(" schol"))
+    p = customers(spark, sf).select("c_custkey", named.alias("name"), F.round("lat", 1).alias("x"), F.round("lon", 1).alias("y"))
+    return match.fuzzy_dedup(p, "name", ["x", "y"], ["c_custkey"], 0.9).select("c_custkey", "name")
 
 
 # --- scores ----------------------------------------------------------------------------
@@ -364,33 +412,73 @@ def generalisation_gap(spark, sf):
     return gap.withColumn("r2_gap", F.round("r2_gap", 8))
 
 
-@query(
-    "ols",
-    """SELECT 'const' AS feature, round(regr_intercept(l_extendedprice, l_quantity), 3) AS coefficient, round(regr_r2(l_extendedprice, l_quantity), 8) AS r2 FROM lineitem
-    UNION ALL SELECT 'l_quantity', round(regr_slope(l_extendedprice, l_quantity), 3), round(regr_r2(l_extendedprice, l_quantity), 8) FROM lineitem""",
-)
+# errors of a simple regression from its sums: n, mean and square sum of x, residual sum of squares
+_OLS = """WITH t AS ({rows}), s AS (SELECT sum(w) AS sw, count(*) AS n, sum(w * x) / sum(w) AS mx, sum(w * y) / sum(w) AS my FROM t),
+c AS (SELECT n, sw, mx, my, sum(w * (x - mx) * (x - mx)) AS sxx, sum(w * (x - mx) * (y - my)) AS sxy, sum(w * (y - my) * (y - my)) AS syy FROM t, s GROUP BY ALL),
+b AS (SELECT *, sxy / sxx AS slope, my - sxy / sxx * mx AS icept, (syy - sxy * sxy / sxx) / (n - 2) AS s2, sxy * sxy / sxx / syy AS fitted FROM c),
+o AS (SELECT 'const' AS feature, icept AS coefficient, sqrt(s2 * (1 / sw + mx * mx / sxx)) AS std_error, fitted AS r2 FROM b UNION ALL SELECT '{x}', slope, sqrt(s2 / sxx), fitted FROM b)"""
+_LINE_ROWS = "SELECT l_quantity AS x, l_extendedprice AS y, {w} AS w FROM lineitem"
+
+
+@query("ols", _OLS.format(rows=_LINE_ROWS.format(w="1e0"), x="l_quantity") + " SELECT feature, round(coefficient, 3) AS coefficient, round(std_error, 4) AS std_error, round(r2, 8) AS r2 FROM o")
 def ols(spark, sf):
-    fit = model.least_squares(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice")
-    return fit.table(spark).select("feature", F.round("coefficient", 3).alias("coefficient"), F.round(F.lit(float(fit.r2)), 8).alias("r2"))
+    fit = linear.least_squares(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice")
+    return fit.table(spark).select("feature", F.round("coefficient", 3).alias("coefficient"), F.round("std_error", 4).alias("std_error"), F.round(F.lit(float(fit.r2)), 8).alias("r2"))
 
 
-@query(
-    "wls",
-    """WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y, 1 + l_tax * 10 AS w FROM lineitem), s AS (SELECT sum(w) AS w, sum(w * x) AS x, sum(w * y) AS y, sum(w * x * x) AS xx, sum(w * x * y) AS xy FROM t)
-    SELECT 'l_quantity' AS feature, round((w * xy - x * y) / (w * xx - x * x), 3) AS coefficient FROM s UNION ALL SELECT 'const', round((y - (w * xy - x * y) / (w * xx - x * x) * x) / w, 3) FROM s""",
-)
+@query("wls", _OLS.format(rows=_LINE_ROWS.format(w="1 + l_tax * 10"), x="l_quantity") + " SELECT feature, round(coefficient, 3) AS coefficient, round(std_error, 4) AS std_error FROM o")
 def wls(spark, sf):
     l = table(spark, sf, "lineitem").withColumn("w", 1 + F.col("l_tax") * 10)
-    fit = model.least_squares(l, ["l_quantity"], "l_extendedprice", "w")
-    return fit.table(spark).select("feature", F.round("coefficient", 3).alias("coefficient"))
+    fit = linear.least_squares(l, ["l_quantity"], "l_extendedprice", "w")
+    return fit.table(spark).select("feature", F.round("coefficient", 3).alias("coefficient"), F.round("std_error", 4).alias("std_error"))
+
+
+# Five regions leave three degrees of freedom, where the t distribution has a closed form.
+_REGIONS = "SELECT avg(c_acctbal) AS y, 1000 * avg(CASE WHEN c_mktsegment = 'BUILDING' THEN 1e0 ELSE 0e0 END) AS x, 1e0 AS w FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_regionkey"
+
+
+@query(
+    "ols_p_values",
+    _OLS.format(rows=_REGIONS, x="building")
+    + """ SELECT feature, round(coefficient, 4) AS coefficient, round(std_error, 4) AS std_error, round(1 - 2 / pi() * (atan(t / sqrt(3e0)) + t / sqrt(3e0) / (1 + t * t / 3)), 8) AS p_value
+    FROM (SELECT *, abs(coefficient / std_error) AS t FROM o)""",
+)
+def ols_p_values(spark, sf):
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    share = 1000 * F.avg(F.when(F.col("c_mktsegment") == "BUILDING", 1.0).otherwise(0.0))
+    rows = c.groupBy("n_regionkey").agg(F.avg("c_acctbal").alias("balance"), share.alias("building"))
+    fit = linear.least_squares(rows, ["building"], "balance").table(spark)
+    return fit.select("feature", F.round("coefficient", 4).alias("coefficient"), F.round("std_error", 4).alias("std_error"), F.round("p_value", 8).alias("p_value"))
+
+
+_LINE_ORDER = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
 @query("lasso")
 def lasso(spark, sf):
     l = table(spark, sf, "lineitem").withColumn("noise", F.pmod(F.xxhash64("l_partkey", "l_suppkey"), F.lit(1000)) / 1000.0)
-    alpha, coef = model.lasso_select(l, ["l_quantity", "l_discount", "l_tax", "noise"], "l_extendedprice", ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"])
-    rows = [(k, v, alpha) for k, v in coef.items()]
-    return spark.createDataFrame(rows, "feature string, coefficient double, penalty double")
+    fit = linear.lasso_select(l, ["l_quantity", "l_discount", "l_tax", "noise"], "l_extendedprice", _LINE_ORDER)
+    rows = [(k, v, fit.penalty, fit.converged) for k, v in fit.coefficients.items()]
+    return spark.createDataFrame(rows, "feature string, coefficient double, penalty double, converged boolean")
+
+
+# One standardised feature: the coefficient is the covariance moved towards zero by the penalty.
+@query(
+    "lasso_one_feature",
+    f"""WITH t AS (SELECT l_quantity AS x, l_extendedprice AS y, row_number() OVER (ORDER BY {', '.join(_LINE_ORDER)}) AS i, count(*) OVER () AS n, avg(l_quantity) OVER () AS m, stddev_pop(l_quantity) OVER () AS s FROM lineitem),
+    z AS (SELECT (x - m) / s AS z, y, CASE WHEN i <= n - 3 * (n // 4) THEN 0 ELSE CAST(ceil((i - n + 3 * (n // 4)) / (n // 4)::DOUBLE) AS INTEGER) END AS seg FROM t),
+    c AS (SELECT covar_pop(y, z) AS c FROM z), a AS (SELECT k, abs(c) * power(1e-3, k / 99e0) AS a FROM c, range(100) r(k)),
+    f AS (SELECT f, avg(z) AS mz, avg(y) AS my, var_pop(z) AS v, covar_pop(y, z) AS c FROM z JOIN range(1, 4) q(f) ON seg < f GROUP BY f),
+    h AS (SELECT seg AS f, avg(z) AS hz, avg(y) AS hy, var_pop(z) AS hv, var_pop(y) AS hw, covar_pop(y, z) AS hc FROM z WHERE seg > 0 GROUP BY seg),
+    w AS (SELECT *, sign(c) * greatest(abs(c) - a, 0) / v AS w FROM f JOIN h USING (f), a),
+    e AS (SELECT k, a, avg(hw + (hy - my) * (hy - my) - 2 * w * (hc + (hy - my) * (hz - mz)) + w * w * (hv + (hz - mz) * (hz - mz))) AS e FROM w GROUP BY k, a),
+    b AS (SELECT arg_min(a, (e, k)) AS a, min(e) AS e FROM e)
+    SELECT round(b.a, 3) AS penalty, round(sign(c) * (abs(c) - b.a), 3) AS coefficient, round(b.e, 2) AS error, true AS converged FROM b, c""",
+)
+def lasso_one_feature(spark, sf):
+    fit = linear.lasso_select(table(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice", _LINE_ORDER)
+    row = (round(fit.penalty, 3), round(fit.coefficients["l_quantity"], 3), round(min(fit.errors), 2), fit.converged)
+    return spark.createDataFrame([row], "penalty double, coefficient double, error double, converged boolean")
 
 
 @query(

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from leasegrid.operators import forecast, model, profile, score
+from leasegrid.operators import forecast, linear, model, profile, score
 from leasegrid.plans import liveability, schools
 
 
@@ -25,7 +25,7 @@ def _xy(spark, n=400, seed=0):
 @pytest.mark.parametrize("weighted", [False, True])
 def test_least_squares(spark, weighted):
     df, x, y, w = _xy(spark)
-    fit = model.least_squares(df, ["a", "b", "c", "d"], "y", "w" if weighted else None)
+    fit = linear.least_squares(df, ["a", "b", "c", "d"], "y", "w" if weighted else None)
     ww = w if weighted else np.ones_like(y)
     design = np.column_stack([np.ones(len(y)), x])
     xtx = design.T @ (design * ww[:, None])
@@ -42,15 +42,61 @@ def test_least_squares(spark, weighted):
 def test_least_squares_allows_collinear_dummies(spark):
     df, *_ = _xy(spark)
     df = df.withColumns({"p": (F.col("i") % 2).cast("double"), "q": (1 - F.col("i") % 2).cast("double")})
-    fit = model.least_squares(df, ["a", "p", "q"], "y")
-    plain = model.least_squares(df, ["a", "p"], "y")
+    fit = linear.least_squares(df, ["a", "p", "q"], "y")
+    plain = linear.least_squares(df, ["a", "p"], "y")
     both = df.select(fit.predict().alias("f"), plain.predict().alias("g")).agg(F.max(F.abs(F.col("f") - F.col("g")))).first()[0]
     assert both < 1e-6
 
 
+def test_least_squares_with_257_columns(spark):
+    """200 numbers and 57 dummies of one full set beside the intercept: rank 257 of 258."""
+    rng = np.random.default_rng(2)
+    n, names = 3000, [f"x{i}" for i in range(257)]
+    x = np.concatenate([rng.normal(size=(n, 200)) * rng.uniform(0.01, 1000, 200), np.eye(57)[rng.integers(0, 57, n)]], 1)
+    y = x[:, :200] @ rng.normal(size=200) + rng.normal(size=n)
+    rows = [[float(v) for v in r] + [float(b)] for r, b in zip(x, y)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in [*names, "y"]))
+    fit = linear.least_squares(df, names, "y")
+    design = np.column_stack([np.ones(n), x])
+    beta, *_ = np.linalg.lstsq(design, y, rcond=None)
+    assert fit.rank == 257
+    assert fit.coefficients[1:201] == pytest.approx(beta[1:201], rel=1e-6, abs=1e-7)
+    res = y - design @ beta
+    part = np.linalg.inv((lambda d: d.T @ d)(np.delete(design, 0, 1)))
+    errors = np.sqrt(np.diag(part) * (res @ res) / (n - 257))
+    assert fit.errors[1:201] == pytest.approx(errors[:200], rel=1e-6)
+
+
+def test_pivoted_factor_finds_the_rank():
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(12, 5))
+    inv, rank = linear.pseudo_inverse(a @ a.T)
+    assert rank == 5 and np.allclose(inv, np.linalg.pinv(a @ a.T), atol=1e-8)
+    assert linear.pseudo_inverse(np.zeros((3, 3)))[1] == 0
+
+
+def test_lasso_path_meets_its_conditions():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 12))
+    x[:, 5] = x[:, 4] * 0.999 + rng.normal(size=200) * 0.01
+    x -= x.mean(0)
+    y = x @ np.array([3, 0, -2, 0, 1, 1, 0, 0, 0, 0, 0.1, 0]) + rng.normal(size=200)
+    xx, xy = x.T @ x / 200, x.T @ (y - y.mean()) / 200
+    alphas = np.geomspace(np.abs(xy).max(), np.abs(xy).max() * 1e-3, 30)
+    for alpha, step in zip(alphas, linear.lasso_path(xx, xy, alphas)):
+        rest = xy - xx @ step.weights
+        off = step.weights != 0
+        assert np.allclose(rest[off], alpha * np.sign(step.weights[off]), atol=1e-8) and (np.abs(rest[~off]) <= alpha + 1e-8).all()
+        assert step.violation <= 1e-10
+    # too few sweeps are told, not hidden
+    assert linear.lasso_path(xx, xy, alphas[-1:], most_sweeps=1)[0].violation > 1e-10
+
+
 def test_lasso_keeps_signal_and_drops_noise(spark):
     df, x, y, _ = _xy(spark)
-    alpha, coef = model.lasso_select(df, ["a", "b", "c", "d"], "y", ["i"])
+    fit = linear.lasso_select(df, ["a", "b", "c", "d"], "y", ["i"])
+    alpha, coef = fit.penalty, fit.coefficients
+    assert fit.converged and len(fit.errors) == 100
     z = (x - x.mean(0)) / x.std(0)
     # optimality conditions of the chosen penalty
     w = np.array(list(coef.values()))
