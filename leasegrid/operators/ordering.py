@@ -17,7 +17,6 @@ from leasegrid.session import cut_lineage
 
 _PART = "__part"
 _OFFSET = "__offset"
-ONE_TASK_ROWS = 500_000
 
 
 def _as_col(c: Column | str) -> Column:
@@ -79,20 +78,12 @@ def running_totals(
     """Inclusive running sum of ``weight`` per ``by`` group in ``order``, split by range.
 
     ``total`` names an extra column with the group's grand total. Order keys
-    must be unique within a group. Inputs of at most ``ONE_TASK_ROWS`` rows
-    (counted, not guessed) take a plain window; larger ones are split.
+    must be unique within a group.
     """
     order = [_as_col(c) for c in order]
     keys = [F.col(k) for k in by]
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    df = cut_lineage(df)
-    if df.count() <= ONE_TASK_ROWS:
-        upto = whole.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        small = df.withColumn(name, F.sum(weight).over(upto))
-        return small.withColumn(total, F.sum(weight).over(whole)) if total else small
-    frozen = cut_lineage(
-        df.repartitionByRange(*keys, *order).withColumn(_PART, F.spark_partition_id())
-    )
+    frozen = cut_lineage(df.repartitionByRange(*keys, *order).withColumn(_PART, F.spark_partition_id()))
     parts = frozen.groupBy(*by, _PART).agg(F.sum(weight).alias("__t"))
     before = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select(

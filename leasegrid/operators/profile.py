@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType
 
 from leasegrid.functions.numbers import normal_quantile
 from leasegrid.operators.ordering import row_numbers, running_totals
-from leasegrid.operators.quantiles import exact_quantiles
+from leasegrid.operators.quantiles import long_values, quantiles_of
 
 
 def value_counts(df: DataFrame, column: str, name: str = "n", share: str | None = None) -> DataFrame:
@@ -48,29 +48,38 @@ def quality_counts(df: DataFrame, column: str, ceiling: float = 5000) -> DataFra
     )
 
 
-def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """count, mean, std (n-1), min, quartiles, max, per group."""
-    base = df.agg if not by else df.groupBy(*by).agg
-    moments = base(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+def describe_columns(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, column, count, mean, std (n-1), min, quartiles, max) of every column, from one scan."""
+    values = long_values(df, columns, by)
+    keys = [*by, "column"]
+    moments = values.groupBy(*keys).agg(
+        F.count("*").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
     )
-    quartiles = exact_quantiles(df, value, [0.25, 0.5, 0.75], by, ["q25", "median", "q75"])
+    quartiles = quantiles_of(values, [0.25, 0.5, 0.75], by, ["q25", "median", "q75"])
+    return moments.join(quartiles, keys)
+
+
+def describe(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """count, mean, std (n-1), min, quartiles, max of one column, per group."""
+    kind = df.schema[value].dataType
+    out = describe_columns(df, [value], by).withColumns({c: F.col(c).cast(kind) for c in ("min", "max")})
     if by:
-        return moments.join(quartiles, list(by), "left")
-    q = quartiles.select(F.struct("q25", "median", "q75").alias("q")).scalar()
-    return moments.withColumn("__q", q).select("*", "__q.*").drop("__q")
+        every = df.select(*by).distinct()
+        out = every.join(out, list(by), "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    return out.drop("column")
 
 
 def residual_summary(df: DataFrame, actual: str, predicted: str, by: str = "split") -> DataFrame:
-    r = df.select(by, (F.col(actual) - F.col(predicted)).alias("residual"))
-    moments = r.groupBy(by).agg(
-        F.avg("residual").alias("mean"), F.stddev_samp("residual").alias("std"), F.avg(F.abs("residual")).alias("mean_abs")
+    """mean, std, mean absolute value and median of the residual per group, from one scan."""
+    values = long_values(df.select(by, (F.col(actual) - F.col(predicted)).alias("residual")), ["residual"], [by])
+    moments = values.groupBy(by).agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.avg(F.abs("value")).alias("mean_abs")
     )
-    return moments.join(exact_quantiles(r, "residual", [0.5], [by], ["median"]), by)
+    return moments.join(quantiles_of(values, [0.5], [by], ["median"]).drop("column"), by)
 
 
 def snapshot_totals(df: DataFrame, key: str, stamp: str) -> DataFrame:

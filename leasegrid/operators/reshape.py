@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,12 +185,23 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str], prefix: str, drop
     return df.withColumns(hits)
 
 
-def levels_of(df: DataFrame, column: str, limit: int = 1000) -> list:
-    """Distinct levels of a categorical column; refuses unbounded ones."""
-    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} levels")
-    return sorted(r[0] for r in rows)
+def levels_of(df: DataFrame, column: str) -> list:
+    """Sorted distinct levels of a column whose levels are to become columns."""
+    return sorted(r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
+
+
+def one_hot_vector(train: DataFrame, column: str, output: str) -> PipelineModel:
+    """Encoder for a column with any number of levels: one sparse vector per row, levels in order of their text.
+
+    Fitted on ``train``; a NULL or a level not met there gives the zero vector.
+    """
+    number = f"__{output}"
+    stages = [
+        StringIndexer(inputCol=column, outputCol=number, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        # the slot of unknown levels is the last one, which dropLast encodes as zeros
+        OneHotEncoder(inputCol=number, outputCol=output, dropLast=True),
+    ]
+    return Pipeline(stages=stages).fit(train)
 
 
 # --- snapshots -------------------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType
 
 from leasegrid import constants as C
 from leasegrid.operators.joins import merge_on_combo
-from leasegrid.operators.quantiles import exact_median
+from leasegrid.operators.quantiles import exact_medians
 
 MEAN_COLUMNS = (
     "rental_price",
@@ -68,8 +68,8 @@ def suburb_rollup(df: DataFrame, key: str = "suburb") -> DataFrame:
     )
     if mode:
         out = out.join(modes_per_group(df, key, mode), key, "left")
-    for c in median:
-        out = out.join(exact_median(df, c, [key], c), key, "left")
+    if median:
+        out = out.join(exact_medians(df, median, [key]), key, "left")
     return out.drop("__n")
 
 

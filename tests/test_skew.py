@@ -6,14 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from leasegrid.operators import clean, ordering, spatial
+from leasegrid.operators import clean, ordering, profile, quantiles, reshape, spatial
 from leasegrid.operators.quantiles import exact_quantiles
 
 
 @pytest.mark.parametrize("accuracy", [10000, 50])
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_quantiles(spark, monkeypatch, accuracy, limit):
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", limit)
+def test_quantiles(spark, accuracy):
     rng = random.Random(1)
     rows = [("hot", round(rng.gauss(0, 10), 2)) for _ in range(2000)]
     rows += [("same", 7.0)] * 1500 + [("small", float(i)) for i in range(3)] + [("one", 4.0), ("gap", None)]
@@ -28,9 +26,33 @@ def test_quantiles(spark, monkeypatch, accuracy, limit):
     assert list(whole) == pytest.approx(list(np.quantile([v for _, v in rows if v is not None], ps)))
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_running_totals_and_row_numbers(spark, monkeypatch, limit):
-    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", limit)
+def test_medians_and_descriptions_of_many_columns(spark):
+    rng = random.Random(2)
+    rows = [(f"g{i % 3}", float(rng.randint(0, 50)) if i % 5 else None, rng.gauss(0, 1) if i % 7 else float("nan"), i) for i in range(600)] + [(None, 1.0, 1.0, 1)]
+    df = spark.createDataFrame(rows, "g string, a double, b double, c int")
+    meds = {r.g: r for r in quantiles.exact_medians(df, ["a", "b", "c"], ["g"]).collect()}
+    told = {(r.g, r.column): r for r in profile.describe_columns(df, ["a", "b", "c"], ["g"]).collect()}
+    for g in ("g0", "g1", "g2"):
+        for at, c in ((1, "a"), (2, "b"), (3, "c")):
+            x = np.array([r[at] for r in rows if r[0] == g and r[at] is not None and r[at] == r[at]], float)
+            assert meds[g][c] == pytest.approx(np.median(x))
+            d = told[g, c]
+            assert (d["count"], d.min, d.max) == (len(x), x.min(), x.max())
+            assert [d.mean, d.std, d.q25, d.median, d.q75] == pytest.approx([x.mean(), x.std(ddof=1), *np.quantile(x, [0.25, 0.5, 0.75])])
+    assert set(meds) == {"g0", "g1", "g2"}
+    empty = profile.describe(df.where("g = 'none'"), "a", ["g"])
+    assert empty.count() == 0
+
+
+def test_one_hot_vector_has_no_limit(spark):
+    train = spark.range(3000).select(F.format_string("v%04d", "id").alias("v"))
+    model = reshape.one_hot_vector(train, "v", "hot")
+    asked = spark.createDataFrame([("v0007",), ("new",), (None,)], "v string")
+    got = [r.hot for r in model.transform(asked).collect()]
+    assert [h.size for h in got] == [3000] * 3 and [list(h.indices) for h in got] == [[7], [], []]
+
+
+def test_running_totals_and_row_numbers(spark):
     df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"), F.lit(2).alias("w"))
     run = ordering.running_totals(df, ["id"], "w", name="c", total="t").collect()
     assert all(r.c == 2 * (r.id + 1) and r.t == 2000 for r in run)
