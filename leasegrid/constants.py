@@ -161,6 +161,16 @@ TABLE_COLUMNS = {
     "investment": [1, 2, 3, 4, 5],
 }
 
+# --- Fixed values: limits of forecast indicators -------------------------------
+
+# Names that hold one of the words stay within the limits (percent); the first match counts.
+FORECAST_LIMITS = [
+    (["rate", "cpi", "wpi"], -5.0, 10.0),
+    (["gsp", "growth"], -10.0, 15.0),
+]
+FORECAST_SPREAD = 2.0
+EXTREME_QUARTERS = [(2020, 2), (2020, 3)]
+
 # --- Fixed values: schools ---------------------------------------------------
 
 SCHOOL_COLUMNS = [
