@@ -181,10 +181,10 @@ def slug(c: Column) -> Column:
     return F.replace(F.lower(c), F.lit(" "), F.lit("-"))
 
 
-def rent_search_url(suburb: Column, postcode: Column, page: int | None = None) -> Column:
+def rent_search_url(site: str, suburb: Column, postcode: Column, page: int | None = None) -> Column:
+    """Search page of a suburb on a listing site (its address without a path)."""
     tail = F.lit("" if page is None else f"/?ssubs=0&page={page}")
-    base = F.lit("https://www.domain.com.au/rent/")
-    return F.concat(base, slug(suburb), F.lit("-vic-"), postcode.cast("string"), tail)
+    return F.concat(F.lit(f"{site}/rent/"), slug(suburb), F.lit("-vic-"), postcode.cast("string"), tail)
 
 
 # --- names ----------------------------------------------------------------------

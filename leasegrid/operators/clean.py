@@ -291,8 +291,9 @@ def stratified_sample(
 def hash_split(
     df: DataFrame, key: str, fractions: Mapping[str, float], seed: int = 42, name: str = "split"
 ) -> DataFrame:
-    """Label rows by a stable hash of ``key``; ``fractions`` must sum to 1."""
-    point = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000)
+    """Label rows by a stable hash of ``key`` (the first 32 bits of the MD5 of 'seed:key'); ``fractions`` must sum to 1."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    point = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
     edge, label = 0.0, None
     items = list(fractions.items())
     for part, share in items[:-1]:

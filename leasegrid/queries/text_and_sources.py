@@ -21,6 +21,8 @@ from leasegrid.queries.registry import (
 from leasegrid.session import shared_path
 from leasegrid.sources import files, nested
 
+SITE = "https://homes.example"
+
 
 def _title_case_words(sql: str) -> str:
     return f"array_to_string(list_transform(string_split({sql}, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ')"
@@ -146,11 +148,11 @@ def postcode_pairs(spark, sf):
 
 @query(
     "search_urls",
-    "SELECT s_suppkey, 'https://www.domain.com.au/rent/supplier#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '-vic-' || CAST(3000 + s_nationkey AS VARCHAR) || '/?ssubs=0&page=1' AS url FROM supplier",
+    "SELECT s_suppkey, 'https://homes.example/rent/supplier#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') || '-vic-' || CAST(3000 + s_nationkey AS VARCHAR) || '/?ssubs=0&page=1' AS url FROM supplier",
 )
 def search_urls(spark, sf):
     return table(spark, sf, "supplier").select(
-        "s_suppkey", text.rent_search_url(F.col("s_name"), F.col("s_nationkey") + 3000, 1).alias("url")
+        "s_suppkey", text.rent_search_url(SITE, F.col("s_name"), F.col("s_nationkey") + 3000, 1).alias("url")
     )
 
 
@@ -276,11 +278,25 @@ def distances(spark, sf):
     )
 
 
-@query("geodesic_distances")
+# The inverse geodesic as a recursion over its longitude difference; twelve rounds settle it to far below a millimetre.
+_GEODESIC = f"""WITH RECURSIVE p AS (SELECT c_custkey, atan((1 - f) * tan(radians(c.lat))) AS u1, atan((1 - f) * tan(radians(s.lat))) AS u2, radians(s.lon - c.lon) AS l, f, 6378137e0 AS a
+    FROM ({CUSTOMERS}) c JOIN ({SUPPLIERS}) s ON c_nationkey = s_suppkey, (SELECT 1 / 298.257223563e0 AS f)),
+it AS (SELECT *, l AS lam, 0 AS i FROM p UNION ALL
+    SELECT c_custkey, u1, u2, l, f, a, l + (1 - c) * f * sin_a * (sg + c * sin_s * (cos_2m + c * cos_s * (2 * cos_2m * cos_2m - 1))), i + 1 FROM
+    (SELECT *, f / 16 * cos2_a * (4 + f * (4 - 3 * cos2_a)) AS c FROM (SELECT *, coalesce(cos_s - 2 * sin(u1) * sin(u2) / nullif(cos2_a, 0), 0) AS cos_2m FROM
+    (SELECT *, 1 - sin_a * sin_a AS cos2_a, atan2(sin_s, cos_s) AS sg FROM (SELECT *, coalesce(cos(u1) * cos(u2) * sin(lam) / nullif(sin_s, 0), 0) AS sin_a FROM (SELECT *,
+    sqrt(power(cos(u2) * sin(lam), 2) + power(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS sin_s, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cos_s FROM it WHERE i < 12))))))
+SELECT c_custkey, round((1 - f) * a * big_a * (sg - big_b * sin_s * (cos_2m + big_b / 4 * (cos_s * (2 * cos_2m * cos_2m - 1) - big_b / 6 * cos_2m * (4 * sin_s * sin_s - 3) * (4 * cos_2m * cos_2m - 3)))), 2) AS metres FROM
+    (SELECT *, 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))) AS big_a, k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))) AS big_b FROM (SELECT *, cos2_a * (1 / ((1 - f) * (1 - f)) - 1) AS k,
+    coalesce(cos_s - 2 * sin(u1) * sin(u2) / nullif(cos2_a, 0), 0) AS cos_2m, atan2(sin_s, cos_s) AS sg FROM (SELECT *, 1 - sin_a * sin_a AS cos2_a FROM (SELECT *, coalesce(cos(u1) * cos(u2) * sin(lam) / nullif(sin_s, 0), 0) AS sin_a FROM (SELECT *,
+    sqrt(power(cos(u2) * sin(lam), 2) + power(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS sin_s, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cos_s FROM it WHERE i = 12)))))"""
+
+
+@query("geodesic_distances", _GEODESIC)
 def geodesic_distances(spark, sf):
     c, s = customers(spark, sf), suppliers(spark, sf).select("s_suppkey", F.col("lat").alias("slat"), F.col("lon").alias("slon"))
     j = c.join(s, c["c_nationkey"] == s["s_suppkey"])
-    return j.select("c_custkey", F.round(geo.geodesic_m("lat", "lon", "slat", "slon"), 3).alias("metres"))
+    return j.select("c_custkey", F.round(geo.geodesic_m("lat", "lon", "slat", "slon"), 2).alias("metres"))
 
 
 # --- sources and sinks -----------------------------------------------------------------
@@ -374,11 +390,11 @@ def _listing_pages(spark, sf):
     CAST(NULL AS INTEGER) AS car_spaces, 'House' AS property_type, '3, ,2, ,,' AS property_features,
     CASE WHEN o_orderstatus = 'O' THEN o_orderpriority ELSE 'page suburb' END AS suburb, '3000' AS postcode,
     strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS scraped_date,
-    'https://web.archive.org/web/' || strftime(o_orderdate, '%Y%m%d%H%M%S') || '/https://www.domain.com.au/' || o_orderkey AS wayback_url
+    'https://web.archive.org/web/' || strftime(o_orderdate, '%Y%m%d%H%M%S') || '/https://homes.example/' || o_orderkey AS wayback_url
     FROM orders""",
 )
 def listing_json(spark, sf):
-    out = nested.listings_from_pages(_listing_pages(spark, sf))
+    out = nested.listings_from_pages(_listing_pages(spark, sf), site=SITE)
     return out.select(
         "property_id", "url", "bedrooms", "bathrooms", "car_spaces", "property_type", "property_features", "suburb", "postcode", "scraped_date", "wayback_url"
     )

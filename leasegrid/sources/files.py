@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructType
 
 from leasegrid import constants as C
 from leasegrid.functions.dates import reporting_quarter
 from leasegrid.functions.text import extract
-from leasegrid.operators.clean import union_padded
 from leasegrid.operators.ordering import row_numbers
+from leasegrid.session import cut_lineage
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | str | None = None, **options) -> DataFrame:
@@ -36,43 +37,46 @@ def available_files(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
 
 
-def _headers(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """(path, header): the first line of each file."""
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder)
-    at_start = lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("id"),
-        "value",
-    ).where(F.col("at") == 0)
-    return at_start.groupBy("path").agg(F.min_by("value", "id").alias("header"))
+def csv_cells(line: Column, sep: str = ",") -> Column:
+    """Cells of one CSV record: quotes are respected and doubled quotes undone; an empty unquoted cell is NULL."""
+    mark = re.escape(sep)
+    found = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(f'{mark}("[^"]*+(?:""[^"]*+)*+"|[^{mark}]*)'), F.lit(1))
+    quoted = lambda c: F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    return F.transform(found, lambda c: F.when(c == "", F.lit(None)).when(F.startswith(c, F.lit('"')), quoted(c)).otherwise(c))
 
 
 def merge_batches(
-    spark: SparkSession, folder: str, pattern: str = "*.csv", schema: StructType | str | None = None, **options
+    spark: SparkSession, folder: str, pattern: str = "*.csv", schema: StructType | str | None = None, sep: str = ",", **options
 ) -> DataFrame:
     """Union of all matching files by column name.
 
-    With a schema this is one scan. Without one, files are grouped by their
-    header line and each distinct header becomes one all-string scan; missing
-    columns are NULL. Unreadable files are skipped; no match raises.
+    With a schema this is one scan. Without one, the first record of each file
+    is parsed on the executors, and one scan of all lines finds each column by
+    its place in the file's own header; all columns are strings and missing ones
+    NULL. Only the distinct headers reach the driver. Records are lines.
+    Unreadable files are skipped; no match raises.
     """
-    skip = {"ignoreCorruptFiles": True, "pathGlobFilter": pattern, **options}
     if schema is not None:
-        df = read_csv(spark, folder, schema, **skip)
+        df = read_csv(spark, folder, schema, ignoreCorruptFiles=True, pathGlobFilter=pattern, sep=sep, **options)
         if not df.inputFiles():
             raise FileNotFoundError(f"no {pattern} in {folder}")
         return df
-    groups = _headers(spark, folder, pattern).groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    groups = groups.orderBy("header").collect()
-    if not groups:
+    lines = spark.read.options(ignoreCorruptFiles=True, pathGlobFilter=pattern, **options).text(folder)
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("__path"), F.col("_metadata.file_block_start").alias("__start"),
+        F.monotonically_increasing_id().alias("__id"), "value",
+    )
+    top = lines.where("__start = 0").groupBy("__path").agg(F.min_by("value", "__id").alias("__top"), F.min("__id").alias("__first"))
+    name = lambda c: F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), "^\ufeff", ""))
+    headers = cut_lineage(top.select("__path", "__first", F.transform(csv_cells(F.regexp_replace("__top", "^\ufeff", ""), sep), name).alias("__names")))
+    kinds = sorted(r[0] for r in headers.select("__names").distinct().collect())
+    if not kinds:
         raise FileNotFoundError(f"no {pattern} in {folder}")
-    frames = []
-    for g in groups:
-        names = [c.strip().strip('"').lstrip("﻿") for c in g["header"].split(",")]
-        text = StructType([StructField(c, StringType()) for c in names])
-        frames.append(read_csv(spark, g["paths"], text, ignoreCorruptFiles=True, **options))
-    return union_padded(*frames)
+    columns = list(dict.fromkeys(c for names in kinds for c in names))
+    body = lines.where(F.col("value") != "").join(headers, "__path").where((F.col("__start") > 0) | (F.col("__id") > F.col("__first")))
+    cells = body.select("__names", csv_cells(F.col("value"), sep).alias("__cells"))
+    place = lambda c: F.array_position("__names", F.lit(c)).cast("int") - 1
+    return cells.select(*[F.get("__cells", place(c)).alias(c) for c in columns])
 
 
 def read_keyed(

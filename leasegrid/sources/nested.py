@@ -42,8 +42,10 @@ def next_data(html: Column) -> Column:
     return blank_to_null(F.regexp_extract(html, r'(?s)<script[^>]*\bid="__NEXT_DATA__"[^>]*>(.*?)</script>', 1))
 
 
-def listings_from_pages(pages: DataFrame, html: str = "html", timestamp: str = "timestamp", suburb: str = "suburb", postcode: str = "postcode") -> DataFrame:
-    """One row per listing in each archived search page.
+def listings_from_pages(
+    pages: DataFrame, html: str = "html", timestamp: str = "timestamp", suburb: str = "suburb", postcode: str = "postcode", site: str = "", archive: str = "https://web.archive.org/web/"
+) -> DataFrame:
+    """One row per listing in each archived search page of ``site``.
 
     The listing map is taken from the first of four known places that is not
     empty. Suburb and postcode fall back to the page's own.
@@ -73,7 +75,7 @@ def listings_from_pages(pages: DataFrame, html: str = "html", timestamp: str = "
         F.when(~land.isin("", "0"), F.concat(F.lit(" "), land, F.lit(","))).otherwise(""),
     )
     url, stamp = text(f"{m}.url"), F.col("wayback_time")
-    archived = F.concat(F.lit("https://web.archive.org/web/"), stamp, F.lit("/https://www.domain.com.au"), url)
+    archived = F.concat(F.lit(archive), stamp, F.lit(f"/{site}"), url)
     return rows.select(
         F.col("l.id").try_cast("long").alias("property_id"),
         url.alias("url"),
@@ -145,24 +147,27 @@ def _cell_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(c, r"(?s)<[^>]*>", ""), "&nbsp;", " "))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column through a generator, so that later filters read it instead of computing it again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def html_table(pages: DataFrame, value_columns: Sequence[int] | None, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
     """(keep, date_text, headers, values) per body row of each page's first table.
 
     Rows with a blank date are skipped; a blank chosen cell is NULL; a row with
     a non-numeric chosen cell is dropped. ``value_columns=None`` takes every
-    column after the first.
+    column after the first. Each pattern runs once per page or row.
     """
     table = F.regexp_extract(html, r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     rows = F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    opened = pages.select(*keep, rows.alias("__rows")).where(F.size("__rows") > 1)
+    opened = _once(pages.select(*keep, html), "__rows", rows).drop(html).where(F.size("__rows") > 1)
     heads = F.regexp_extract_all(F.get("__rows", F.lit(0)), F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1))
-    body = opened.select(
-        *keep,
-        F.transform(heads, _cell_text).alias("headers"),
-        F.explode(F.slice("__rows", 2, F.size("__rows") - 1)).alias("__row"),
+    body = _once(opened, "headers", F.transform(heads, _cell_text)).select(
+        *keep, "headers", F.explode(F.slice("__rows", 2, F.size("__rows") - 1)).alias("__row")
     )
     cells = F.regexp_extract_all("__row", F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1))
-    body = body.withColumn("__c", F.transform(cells, _cell_text))
+    body = _once(body, "__c", F.transform(cells, _cell_text)).drop("__row")
     date_text = F.get("__c", F.lit(0))
     body = body.where(F.coalesce(date_text, F.lit("")) != "")
     if value_columns is None:
@@ -171,7 +176,7 @@ def html_table(pages: DataFrame, value_columns: Sequence[int] | None, html: str
         )
     else:
         texts = F.array(*[F.get("__c", F.lit(i)) for i in value_columns])
-    body = body.withColumn("__t", F.transform(texts, blank_to_null))
+    body = _once(body, "__t", F.transform(texts, blank_to_null))
     numeric = F.forall("__t", lambda t: t.isNull() | t.try_cast("double").isNotNull())
     values = F.transform("__t", lambda t: t.try_cast("double"))
     return body.where(numeric).select(*keep, date_text.alias("date_text"), "headers", values.alias("values"))
