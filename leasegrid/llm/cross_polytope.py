@@ -37,7 +37,7 @@ def bucket_codes(unit: np.ndarray, tables: int, probes: int, hashes: int = 2, se
     """Bucket codes (rows, tables, probes), best first.
 
     Alternatives of a code swap one hash for the runner-up axis, those with the
-    smallest loss of coordinate first.
+    smallest loss of coordinate first. -1 stands where there are no more.
     """
     rng = np.random.default_rng(seed)
     width = 1 << max(0, (unit.shape[1] - 1).bit_length())
@@ -64,7 +64,7 @@ def bucket_codes(unit: np.ndarray, tables: int, probes: int, hashes: int = 2, se
                 codes.append(best + (axis[i] - axis[0]) * base**k)
                 losses.append(loss[i])
         while len(codes) < probes:
-            codes.append(best)
+            codes.append(np.full(len(unit), -1))
             losses.append(np.full(len(unit), np.inf))
         pick = np.argsort(np.stack(losses, 1), axis=1, kind="stable")[:, :probes]
         out[:, t] = np.take_along_axis(np.stack(codes, 1), pick, 1)
@@ -85,7 +85,7 @@ def _tile(ids, vectors, codes, weights, table, code, left, right, threshold):
     met = np.zeros(len(i), bool)
     for s in range(0, len(i), 65_536):
         ca, cb = codes[a[i[s:s + 65_536]]], codes[b[j[s:s + 65_536]]]
-        same = ca[:, :, :, None] == cb[:, :, None, :]
+        same = (ca[:, :, :, None] == cb[:, :, None, :]) & (ca[:, :, :, None] >= 0)
         met[s:s + 65_536] = same[:, :table].any((1, 2, 3)) | (same[:, table] & (ca[:, table, :, None] < code)).any((1, 2))
     i, j = i[~met], j[~met]
     if not len(i):
@@ -121,14 +121,16 @@ def link_vectors(
     ``component_id`` is the smallest id reached, ``kept`` tells that it is the
     row's own. Vectors that are null, empty, zero, or hold null or non-finite
     components link with nothing; vectors of another length link among their
-    like. Equal vectors are one class, never paired with each other. Ids are
-    distinct; a null id links with nothing. Further columns are ignored.
+    like. Equal vectors are one class, never paired with each other. Rows that
+    repeat an id are told apart by their vectors; a null id links with nothing.
+    Further columns are ignored.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = rows.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine & F.exists("v", lambda x: x != 0))
-    classes = usable.groupBy("v", side_key("v")).agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
-    classes = cut_lineage(classes.select("id", "weight", "v"))
+    # a class has a number of its own: one id may stand with several vectors
+    classes = usable.groupBy("v", side_key("v")).agg(F.min("vec_id").alias("head"), F.count("*").alias("weight"))
+    classes = cut_lineage(classes.select(F.monotonically_increasing_id().alias("id"), "weight", "v", "head"))
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,8 +152,8 @@ def link_vectors(
                     pa.ListArray.from_arrays(np.arange(0, n * tables * probes + 1, tables * probes, dtype=np.int32), pa.array(codes.reshape(-1), pa.int64())),
                 ], ["id", "weight", "unit", "codes", "list"])
 
-    placed = cut_lineage(classes.mapInArrow(coded, "id long, weight long, unit binary, codes binary, list array<long>"))
-    entered = placed.select("id", "weight", "unit", "codes", F.length("unit").alias("width"), F.posexplode("list").alias("slot", "code"))
+    placed = cut_lineage(classes.select("id", "weight", "v").mapInArrow(coded, "id long, weight long, unit binary, codes binary, list array<long>"))
+    entered = placed.select("id", "weight", "unit", "codes", F.length("unit").alias("width"), F.posexplode("list").alias("slot", "code")).where("code >= 0")
     entered = entered.withColumn("tab", F.floor(F.col("slot") / probes).cast("int"))
     counts = entered.groupBy("width", "tab", "code").agg(F.count("*").alias("n")).where("n > 1")
     counts = counts.withColumn("chunks", F.ceil(F.col("n") / TILE_ROWS).cast("int"))
@@ -183,9 +185,11 @@ def link_vectors(
     found = cut_lineage(dealt.groupBy("width", "tab", "code", "lo", "hi").applyInArrow(compare, "vec_id long, links long, root long"))
     links = found.groupBy("vec_id").agg(F.sum("links").alias("links")).withColumnRenamed("vec_id", "lid")
     groups = components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    heads = classes.join(links, F.col("id") == F.col("lid"), "left").join(groups, F.col("id") == F.col("node"), "left")
-    heads = cut_lineage(heads.select(
-        F.col("v").alias("hv"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("of")))
+    named = classes.join(links, F.col("id") == F.col("lid"), "left").join(groups, F.col("id") == F.col("node"), "left")
+    named = cut_lineage(named.select(
+        F.col("v").alias("hv"), (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "head", F.coalesce("component", "id").alias("of")))
+    first = named.groupBy(F.col("of").alias("group"), side_key("of")).agg(F.min("head").alias("first")).drop("side")
+    heads = cut_lineage(named.join(first, F.col("of") == F.col("group")).select("hv", "n_links", F.col("first").alias("of")))
     linked = usable.join(heads, F.col("v") == F.col("hv")).select("vec_id", "n_links", F.col("of").alias("component_id"))
     alone = rows.where(~F.coalesce(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & fine & F.exists("v", lambda x: x != 0), F.lit(False)))
     alone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
