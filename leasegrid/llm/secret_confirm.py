@@ -1,15 +1,18 @@
 """Secret scan with structural confirmation.
 
 Assignments, access keys and long hex runs are found by pattern. Beyond them,
-base64 and hex candidates are decoded and reported only if they parse: DER key
-encodings whose nested lengths fit exactly, SSH wire format, and signed tokens
-whose header and payload are JSON with an algorithm.
+base64 and hex candidates are decoded and reported only if they parse: the DER
+forms of private keys (RSA, DSA, EC, PKCS#8, encrypted PKCS#8) by version,
+algorithm, number and order of their items, the nested lengths of OpenSSH
+private keys, and signed tokens whose header and payload are JSON with an
+algorithm. Public keys, certificates and signatures are no secrets.
 """
 
 from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -27,7 +30,7 @@ ASSIGN_VALUE = 12
 KINDS = ("assign", "access", "hex", "jwt", "key64", "keyhex")
 
 JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*(?:KEY|CERTIFICATE)[A-Z ]*)-----([A-Za-z0-9+/=\s]+?)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,60})-----([A-Za-z0-9+/=\s]++)-----END \1-----")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 HEX_KEY = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 
@@ -64,37 +67,75 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     return items
 
 
-def is_der_key(data: bytes) -> bool:
-    """One sequence with at least two items, of which an integer, object id or sequence comes first; nested sequences parse too."""
+# Tags of DER items.
+INTEGER, BITS, OCTETS, OBJECT, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
+
+
+def _sequence(data: bytes) -> list[tuple[int, bytes]] | None:
+    """Items of the one sequence that ``data`` is."""
     outer = der_items(data)
-    if not outer or len(outer) != 1 or outer[0][0] != 0x30:
+    return der_items(outer[0][1]) if outer and len(outer) == 1 and outer[0][0] == SEQUENCE else None
+
+
+def _is_algorithm(content: bytes) -> bool:
+    items = der_items(content)
+    return bool(items) and len(items) <= 2 and items[0][0] == OBJECT and len(items[0][1]) >= 3
+
+
+def is_der_key(data: bytes) -> bool:
+    """Private key in one of its DER forms, which must fill ``data``."""
+    items = _sequence(data)
+    if not items or len(items) < 2:
         return False
-    todo, first = [(outer[0][1], 0)], True
-    while todo:
-        body, depth = todo.pop()
-        items = der_items(body)
-        if items is None or depth > 12:
-            return False
-        if first and (len(items) < 2 or items[0][0] not in (0x02, 0x06, 0x30)):
-            return False
-        first = False
-        todo += [(content, depth + 1) for tag, content in items if tag in (0x30, 0x31) or tag & 0xE0 == 0xA0]
-    return True
+    tags = [t for t, _ in items]
+    if tags == [SEQUENCE, OCTETS]:  # encrypted PKCS#8
+        return _is_algorithm(items[0][1]) and len(items[1][1]) >= 16
+    if tags[0] != INTEGER or len(items[0][1]) != 1 or items[0][1][0] > 1:
+        return False
+    if tags[1:3] == [SEQUENCE, OCTETS]:  # PKCS#8: attributes and a public key may follow
+        return _is_algorithm(items[1][1]) and len(items[2][1]) >= 16 and all(t in (0xA0, 0xA1, 0x81) for t in tags[3:])
+    if tags[1] == OCTETS:  # EC: curve and public key may follow
+        return items[0][1][0] == 1 and 16 <= len(items[1][1]) <= 80 and all(t in (0xA0, 0xA1) for t in tags[2:])
+    numbers = [len(c) for t, c in items[1:] if t == INTEGER]
+    if len(numbers) == len(items) - 1 and len(items) == 6:  # DSA: p, q, g, public and private number
+        return numbers[0] >= 64 and numbers[1] >= 20
+    # RSA: modulus, two exponents, two primes, two more exponents and a coefficient; more primes may follow
+    return len(numbers) >= 8 and tags[:9] == [INTEGER] * 9 and numbers[0] >= 32 and numbers[1] <= 8 and numbers[0] >= numbers[3] > 0
+
+
+def _field(data: bytes, at: int) -> tuple[bytes, int] | None:
+    """A length-prefixed field and where the next one begins."""
+    if at + 4 > len(data):
+        return None
+    end = at + 4 + int.from_bytes(data[at:at + 4], "big")
+    return (data[at + 4:end], end) if end <= len(data) else None
 
 
 def is_ssh_key(data: bytes) -> bool:
-    """OpenSSH private key, or a public key blob of length-prefixed fields that fill it exactly."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    at, n = 0, 0
-    while at < len(data):
-        if at + 4 > len(data):
+    """OpenSSH private key: cipher, key derivation, public keys and private part, whose lengths fill it exactly."""
+    magic = b"openssh-key-v1\0"
+    if not data.startswith(magic):
+        return False
+    at, fields = len(magic), []
+    for _ in range(3):
+        if (found := _field(data, at)) is None:
             return False
-        size = int.from_bytes(data[at:at + 4], "big")
-        if n == 0 and not re.match(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+$", data[4:4 + size]):
+        fields.append(found[0])
+        at = found[1]
+    keys, at = int.from_bytes(data[at:at + 4], "big"), at + 4
+    if not re.fullmatch(rb"[a-z0-9@.-]+", fields[0]) or not 1 <= keys <= 64:
+        return False
+    for _ in range(keys):
+        found = _field(data, at)
+        name = found and _field(found[0], 0)
+        if not name or not re.fullmatch(rb"[a-z0-9@.-]+", name[0]):
             return False
-        at, n = at + 4 + size, n + 1
-    return at == len(data) and n >= 2
+        at = found[1]
+    found = _field(data, at)
+    if found is None or found[1] != len(data) or len(found[0]) < 16:
+        return False
+    # an unencrypted part begins with one check number twice
+    return fields[0] != b"none" or found[0][:4] == found[0][4:8]
 
 
 def is_key(data: bytes | None) -> bool:
@@ -123,11 +164,12 @@ def find_secrets(text: str | None) -> tuple[list[tuple[str, int, int]], list[tup
     if "eyJ" in text:
         more += [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(m[0])]
     for m in PEM.finditer(text) if "-----BEGIN " in text else ():
-        if is_key(unbase64(re.sub(r"\s+", "", m[2]))):
+        if "KEY" in m[1] and is_key(unbase64(re.sub(r"\s+", "", m[2]))):
             more.append(("key64", *m.span(2)))
-    held = [(a, b) for _, a, b in more]
+    held = sorted((a, b) for _, a, b in more)
     for m in BASE64.finditer(text):
-        if not any(a <= m.start() < b for a, b in held) and is_key(unbase64(m[0])):
+        before = bisect.bisect_right(held, (m.start(), len(text)))
+        if not (before and m.start() < held[before - 1][1]) and is_key(unbase64(m[0])):
             more.append(("key64", *m.span()))
     more += [("keyhex", *m.span()) for m in HEX_KEY.finditer(text) if is_key(bytes.fromhex(m[0]))]
     rank = {k: i for i, k in enumerate(KINDS)}
