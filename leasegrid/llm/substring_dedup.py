@@ -447,7 +447,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # the texts are shuffled once: both joins below exchange the same rows by the same key
     asked = firsts.join(marked, F.col("doc") == F.col("of")).select(F.col("md").alias("of_md"), "first_id", "doc", "places")
-    met = rows.join(asked, (F.col("md") == F.col("of_md")) & (F.col("id") - F.col("first_id") == 0))
+    met = rows.join(asked, (F.col("md") == F.col("of_md")) & F.col("id").between(F.col("first_id"), F.col("first_id")))
     met = met.select("id", "doc", "text", "places").mapInArrow(stretched, BLOCKS)
     spans = _regrouped(met, n, lambda by: _met(by, length, n), (SPANS,))
 
