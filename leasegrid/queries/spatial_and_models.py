@@ -110,13 +110,12 @@ def sparsity(spark, sf):
 @query(
     "spatial_lag",
     _edges_sql(4)
-    + f""", y AS (SELECT s_name AS suburb, {QTR.format(d='l_shipdate')}, avg(l_extendedprice) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_returnflag = 'R' GROUP BY 1, 2, 3),
+    + f""", y AS (SELECT s_name AS suburb, {QTR.format(d='l_shipdate')}, avg(l_extendedprice) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3),
     g AS (SELECT src, year, quarter, sum(w * v) / sum(w) AS lag FROM edges JOIN y ON y.suburb = dst GROUP BY 1, 2, 3)
     SELECT y.suburb, y.year, y.quarter, round(coalesce(lag, 0), 4) AS spatial_lag FROM y LEFT JOIN g ON g.src = y.suburb AND g.year = y.year AND g.quarter = y.quarter""",
 )
 def spatial_lag(spark, sf):
-    l = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
-    l = l.join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    l = table(spark, sf, "lineitem").join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     y = l.groupBy(F.col("s_name").alias("suburb"), F.year("l_shipdate").alias("year"), F.quarter("l_shipdate").alias("quarter")).agg(F.avg("l_extendedprice").alias("v"))
     y = y.withColumn("t", F.col("year") * 4 + F.col("quarter"))
     edges = spatial.neighbour_weights(_places(spark, sf), k=4)
@@ -543,7 +542,7 @@ def var_forecast(spark, sf):
     q = o.groupBy("c_mktsegment", F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter")).agg(
         F.avg("o_totalprice").alias("price_index"), F.avg("c_acctbal").alias("balance")
     )
-    return forecast.var_forecast(q, ["price_index", "balance"], ["c_mktsegment"], steps=8)
+    return forecast.var_forecast(q, ["price_index", "balance"], ["c_mktsegment"], steps=20)
 
 
 def _growth_inputs(spark, sf):
@@ -563,8 +562,8 @@ def spatial_forecast(spark, sf):
     p, edges = _growth_inputs(spark, sf)
     feats = cut_lineage(rent_growth.featured(p, edges))
     fit, _ = rent_growth.fit_log_model(feats, ["cpi"], split=date(2001, 1, 1))
-    economy = forecast.var_forecast(feats, ["cpi"], steps=4)
-    return forecast.spatial_forecast(feats, edges, fit.as_dict(), economy, ["cpi"], 4)
+    economy = forecast.var_forecast(feats, ["cpi"], steps=20)
+    return forecast.spatial_forecast(feats, edges, fit.as_dict(), economy, ["cpi"], 20)
 
 
 FIXED_MODEL = {"const": 0.4, "log_rent_lag_1": 0.5, "log_rent_lag_2": 0.2, "log_rent_lag_3": 0.1, "log_rent_lag_4": 0.05, "log_spatial_lag": 0.1, "median_personal_income": 1e-6, "property_F": 0.02, "property_O": -0.01}
@@ -577,17 +576,17 @@ GROWTH_SQL = (
     z AS (SELECT y.*, coalesce(lag, 0) AS lag, row_number() OVER (PARTITION BY y.suburb, property_type ORDER BY y.date DESC) AS i FROM y LEFT JOIN g ON g.src = y.suburb AND g.date = y.date),
     s0 AS (SELECT suburb, property_type, max(ln(r)) FILTER (WHERE i = 1) AS l1, max(ln(r)) FILTER (WHERE i = 2) AS l2, max(ln(r)) FILTER (WHERE i = 3) AS l3, max(ln(r)) FILTER (WHERE i = 4) AS l4, max(lag) FILTER (WHERE i = 1) AS lag, max(income) FILTER (WHERE i = 1) AS income, max(r) FILTER (WHERE i = 1) AS base FROM z GROUP BY 1, 2 HAVING count(*) >= 4)"""
 )
-for _i in (1, 2, 3):
+for _i in range(1, 21):
     _kind = "CASE property_type WHEN 'F' THEN 0.02 WHEN 'O' THEN -0.01 ELSE 0 END"
-    GROWTH_SQL += f""", p{_i} AS (SELECT *, 0.4 + {_kind} + 0.5 * l1 + 0.2 * l2 + 0.1 * l3 + 0.05 * l4 + 0.1 * ln(greatest(lag, 1e-10)) + 1e-6 * income AS yhat FROM s{_i - 1}),
-    n{_i} AS (SELECT suburb, avg(exp(yhat)) AS m FROM p{_i} GROUP BY 1), q{_i} AS (SELECT src, sum(w * m) / sum(w) AS lag FROM w JOIN n{_i} n ON n.suburb = dst GROUP BY 1),
-    s{_i} AS (SELECT p.suburb, property_type, yhat AS l1, l1 AS l2, l2 AS l3, l3 AS l4, coalesce(q.lag, 0) AS lag, income, base FROM p{_i} p LEFT JOIN q{_i} q ON q.src = p.suburb)"""
+    GROWTH_SQL += f""", p{_i} AS MATERIALIZED (SELECT *, 0.4 + {_kind} + 0.5 * l1 + 0.2 * l2 + 0.1 * l3 + 0.05 * l4 + 0.1 * ln(greatest(lag, 1e-10)) + 1e-6 * income AS yhat FROM s{_i - 1}),
+    n{_i} AS MATERIALIZED (SELECT suburb, avg(exp(yhat)) AS m FROM p{_i} GROUP BY 1), q{_i} AS (SELECT src, sum(w * m) / sum(w) AS lag FROM w JOIN n{_i} n ON n.suburb = dst GROUP BY 1),
+    s{_i} AS MATERIALIZED (SELECT p.suburb, property_type, yhat AS l1, l1 AS l2, l2 AS l3, l3 AS l4, coalesce(q.lag, 0) AS lag, income, base FROM p{_i} p LEFT JOIN q{_i} q ON q.src = p.suburb)"""
 
 
 @query(
     "rent_growth",
     GROWTH_SQL
-    + """ SELECT suburb, property_type, base AS baseline_rent, round(exp(yhat), 4) AS forecast_rent, round((exp(yhat) - base) / base * 100, 6) AS percentage_growth, round((exp(yhat) - base) / base * 100 / 0.75, 6) AS annualized_growth FROM p3""",
+    + """ SELECT suburb, property_type, base AS baseline_rent, round(exp(yhat), 4) AS forecast_rent, round((exp(yhat) - base) / base * 100, 6) AS percentage_growth, round((exp(yhat) - base) / base * 100 / 5, 6) AS annualized_growth FROM p20""",
 )
 def rent_growth_query(spark, sf):
     l = table(spark, sf, "lineitem").join(suppliers(spark, sf), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -597,9 +596,9 @@ def rent_growth_query(spark, sf):
     ).agg(F.avg(cents("l_extendedprice")).alias("median_rent"), F.avg("s_acctbal").alias("median_personal_income"))
     edges = spatial.row_stochastic(spatial.neighbour_weights(_places(spark, sf), k=5))
     p = joins.spatial_lag(p, edges, "date", "median_rent")
-    steps = p.select("date").distinct().orderBy("date").limit(1).select(F.explode(F.sequence(F.lit(1), F.lit(3))).alias("step"))
-    f = forecast.spatial_forecast(p, edges, FIXED_MODEL, steps, [], 3)
-    out = forecast.rent_growth(f, p, 3, 0.75)
+    steps = p.select("date").distinct().orderBy("date").limit(1).select(F.explode(F.sequence(F.lit(1), F.lit(20))).alias("step"))
+    f = forecast.spatial_forecast(p, edges, FIXED_MODEL, steps, [], 20)
+    out = forecast.rent_growth(f, p, 20, 5.0)
     digits = {"forecast_rent": 4, "percentage_growth": 6, "annualized_growth": 6}
     return out.select("suburb", "property_type", "baseline_rent", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
