@@ -177,6 +177,61 @@ def test_spatial_forecast_matches_a_loop(spark, latest_first, renormalise, same_
     assert len(growth) == len(live)
 
 
+def _short_panel(spark, quarters=6):
+    rows = [(s, "flat", date(2022 + q // 4, 3 * (q % 4) + 1, 1), 300.0 + 10 * q + len(s), 310.0 + 5 * q, 900.0) for s in ("a", "bb") for q in range(quarters)]
+    df = spark.createDataFrame(rows, "suburb string, property_type string, date date, median_rent double, spatial_lag double, median_personal_income double")
+    edges = spark.createDataFrame([("a", "bb", 1.0), ("bb", "a", 1.0)], "src string, dst string, w double")
+    economy = spark.createDataFrame([(s, 2.0) for s in range(1, 6)], "step int, cpi double")
+    return df, edges, economy
+
+
+COEF = {"const": 0.1, "log_rent_lag_1": 0.7, "log_rent_lag_2": 0.2, "log_spatial_lag": 0.08, "cpi": 0.001}
+
+
+def test_forecast_goes_on_from_its_state(spark, tmp_path, monkeypatch):
+    """A run that stops after two quarters is started again and ends like one that never stopped."""
+    df, edges, economy = _short_panel(spark)
+    whole = {(r.suburb, r.quarter): r.prediction for r in forecast.spatial_forecast(df, edges, COEF, economy, ["cpi"], 5).collect()}
+    path, seen = str(tmp_path / "state"), []
+    lag = forecast.spatial_lag
+
+    def stopping(current, *rest):
+        seen.append(1)
+        if len(seen) == 3:
+            raise RuntimeError("stopped")
+        return lag(current, *rest)
+
+    monkeypatch.setattr(forecast, "spatial_lag", stopping)
+    with pytest.raises(RuntimeError):
+        forecast.spatial_forecast(df, edges, COEF, economy, ["cpi"], 5, state_path=path)
+    again = forecast.spatial_forecast(df, edges, COEF, economy, ["cpi"], 5, state_path=path)
+    assert forecast._finished(spark, path, next(iter({r.about for r in spark.read.parquet(f"{path}/done").collect()}))) == {0, 1, 2, 3, 4, 5}
+    assert {(r.suburb, r.quarter): r.prediction for r in again.collect()} == pytest.approx(whole)
+    # the quarters stored before the stop were written once
+    assert spark.read.parquet(f"{path}/done").count() == 6
+    with pytest.raises(ValueError, match="another forecast"):
+        forecast.spatial_forecast(df, edges, {**COEF, "const": 0.2}, economy, ["cpi"], 5, state_path=path)
+
+
+def test_short_histories_say_so(spark):
+    df, edges, economy = _short_panel(spark, 3)
+    with pytest.raises(ValueError, match="no unit has 4 rows"):
+        forecast.spatial_forecast(df, edges, COEF, economy, ["cpi"], 2)
+    with pytest.raises(ValueError, match="no step 6 of 8"):
+        forecast.spatial_forecast(_short_panel(spark)[0], edges, COEF, economy, ["cpi"], 8)
+    few = spark.createDataFrame([(2020 + i // 4, i % 4 + 1, float(i), float(i * i % 7)) for i in range(12)], "year int, quarter int, a double, b double")
+    assert forecast.var_forecast(few.where("year < 2022"), ["a", "b"]).count() == 0
+    told = forecast.var_forecast(few, ["a", "b"], steps=2).collect()
+    assert {r.method for r in told} == {"var"} and len(told) == 2
+    wide = few.withColumns({c: F.col("a") * k for k, c in enumerate("cdefgh", 2)})
+    assert {r.method for r in forecast.var_forecast(wide, list("abcdefgh"), steps=2).collect()} == {"trend"}
+    # the first value of a period by an explicit order, and the limits of a rate
+    many = few.withColumn("cpi_rate", F.col("a") * 3).withColumn("rank", F.lit(1))
+    late = many.withColumns({"cpi_rate": F.lit(99.0), "rank": F.lit(2)})
+    out = forecast.var_forecast(many.unionByName(late), ["cpi_rate"], steps=4, first_by=["rank"]).collect()
+    assert all(r.cpi_rate <= 10 for r in out)
+
+
 def test_trees_and_importances(spark, tmp_path):
     df, *_ = _xy(spark, 300)
     df = df.withColumns({"kind": F.when(F.col("i") % 5 == 0, None).otherwise(F.concat(F.lit("k"), F.col("i") % 3)), "val": F.col("i") % 4 == 0})
