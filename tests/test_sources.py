@@ -37,6 +37,50 @@ def test_merge_batches_with_drifting_headers(spark, tmp_path):
     assert [tuple(r) for r in typed.collect()] == [(1, "a, b")]
 
 
+def test_headers_with_quotes_commas_and_marks(spark, tmp_path):
+    _write(tmp_path / "a.csv", '\ufeffid,"name, full",note\r\n1,"say ""hi"", you",\r\n2,,""\r\n\r\n3,x\r\n')
+    _write(tmp_path / "b.csv", '"name, full","id"\nid,4\n"name, full",5\n')
+    _write(tmp_path / "c.csv", "id\n")
+    got = {r.id: (r["name, full"], r.note) for r in files.merge_batches(spark, str(tmp_path)).collect()}
+    assert got == {"1": ('say "hi", you', None), "2": (None, ""), "3": ("x", None), "4": ("id", None), "5": ("name, full", None)}
+    semi = files.merge_batches(spark, str(tmp_path / "c.csv"), sep=";")
+    assert semi.columns == ["id"] and semi.count() == 0
+
+
+def test_a_header_belongs_to_its_whole_file(spark, tmp_path):
+    """Files split over tasks: later splits find the header of their own file."""
+    for name, head in (("a", "id,v"), ("b", "v,id")):
+        rows = [f"{i},{i * 10}" if name == "a" else f"{i * 10},{i}" for i in range(4000)]
+        _write(tmp_path / f"{name}.csv", "\n".join([head, *rows]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        got = files.merge_batches(spark, str(tmp_path)).agg(F.count("*"), F.count_if(F.col("v").cast("int") == 10 * F.col("id").cast("int"))).first()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert tuple(got) == (8000, 8000)
+
+
+def test_a_stopped_stream_counts_rows_once(spark, tmp_path):
+    """The sink fails after it has written its batch; the restarted query overwrites that batch."""
+    for k in range(4):
+        spark.range(10 * k, 10 * k + 10).write.mode("append").parquet(str(tmp_path / "land"))
+    stream = lambda: ingest.landed_files(spark, str(tmp_path / "land"), "id long", "parquet", files_per_batch=2)
+    path, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    write = ingest._batch_sink(path, lambda b: b)
+
+    def failing(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        ingest.run_available(stream(), checkpoint, failing)
+    spark.range(40, 45).write.mode("append").parquet(str(tmp_path / "land"))
+    for _ in range(2):
+        rows = ingest.ingest(stream(), path, checkpoint)
+        assert sorted(r.id for r in rows.collect()) == list(range(45))
+
+
 def test_keyed_scan_and_listing(spark, tmp_path):
     for n in ("rental_listings_2022_03", "rental_listings_2023_12", "rental_listings_2023_01"):
         _write(tmp_path / f"{n}.csv", "v\n1\n")
