@@ -545,6 +545,24 @@ def var_forecast(spark, sf):
     return forecast.var_forecast(q, ["price_index", "balance"], ["c_mktsegment"], steps=20)
 
 
+# One series: the two lag coefficients in closed form, the steps as a recursion, the clip at the end.
+@query(
+    "ar_forecast",
+    """WITH RECURSIVE s AS (SELECT c_mktsegment AS g, year(o_orderdate) AS y, quarter(o_orderdate) AS q, avg(round(o_totalprice * 100)) AS x FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3),
+    n AS (SELECT *, lag(x, 1) OVER (PARTITION BY g ORDER BY y, q) AS a, lag(x, 2) OVER (PARTITION BY g ORDER BY y, q) AS b, row_number() OVER (PARTITION BY g ORDER BY y DESC, q DESC) AS back FROM s),
+    c AS (SELECT g, avg(x) AS mx, avg(a) AS ma, avg(b) AS mb, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(x, a) AS xa, covar_pop(x, b) AS xb FROM n WHERE b IS NOT NULL GROUP BY g),
+    w AS (SELECT *, (xa * bb - xb * ab) / (aa * bb - ab * ab) AS wa, (xb * aa - xa * ab) / (aa * bb - ab * ab) AS wb FROM c),
+    f AS (SELECT g, 0 AS step, max(x) FILTER (WHERE back = 1) AS x1, max(x) FILTER (WHERE back = 2) AS x2 FROM n GROUP BY g
+      UNION ALL SELECT f.g, step + 1, mx - wa * ma - wb * mb + wa * x1 + wb * x2, x1 FROM f JOIN w ON f.g = w.g WHERE step < 20),
+    r AS (SELECT g, greatest(min(x), avg(x) - 2 * stddev_samp(x)) AS lo, least(max(x), avg(x) + 2 * stddev_samp(x)) AS hi FROM s GROUP BY g)
+    SELECT f.g AS c_mktsegment, CAST(step AS INTEGER) AS step, 'var' AS method, round(least(hi, greatest(lo, x1)), 2) AS price_index FROM f JOIN r ON f.g = r.g WHERE step > 0""",
+)
+def ar_forecast(spark, sf):
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    q = o.groupBy("c_mktsegment", F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter")).agg(F.avg(cents("o_totalprice")).alias("price_index"))
+    return forecast.var_forecast(q, ["price_index"], ["c_mktsegment"]).withColumn("price_index", F.round("price_index", 2))
+
+
 def _growth_inputs(spark, sf):
     o = table(spark, sf, "orders").join(suppliers(spark, sf), F.col("o_custkey") % 50 == F.col("s_suppkey") % 50)
     p = o.groupBy(
