@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,6 +20,8 @@ def build_session(app_name: str = "leasegrid", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoints go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
@@ -29,8 +33,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder of the cluster.
 
     ``spark.checkpoint.dir`` wins. Only a local master without that setting
-    gets a temporary folder; a cluster without it is a configuration error,
-    because a machine-local folder would be lost with its machine.
+    gets a temporary folder, which goes with the process; a cluster without it is
+    a configuration error, because a machine-local folder would be lost with its
+    machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -41,6 +46,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="leasegrid-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
