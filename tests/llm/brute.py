@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import regex
 import xxhash
 
 
@@ -87,3 +88,65 @@ def base_secrets(text):
     spans.sort()
     said = ",".join(f"{k}:{a}:{b}" for a, _, k, b in spans)
     return tuple(sum(s[2] == k for s in spans) for k in ("assign", "access", "hex")) + (hashlib.sha256(said.encode()).hexdigest(),)
+
+
+def _marked(text):
+    """(word in its case, does a sentence sign follow) of each word."""
+    found = list(regex.finditer(r"[\p{L}\p{N}]+", text or ""))
+    ends = [m.start() for m in found[1:]] + [len(text or "")]
+    return [(m[0], bool(re.search("[.!?:;]", text[m.end():e]))) for m, e in zip(found, ends)]
+
+
+def _typed(text, units):
+    words, out = _marked(text), []
+    for i, (w, _) in enumerate(words):
+        before = words[i - 1] if i else None
+        if regex.search(r"\p{N}", w):
+            kind = "NUM"
+        elif before and regex.search(r"\p{N}", before[0]) and w.lower() in units:
+            kind = "UNIT"
+        elif before and regex.match(r"\p{Lu}\p{Ll}", w) and not before[1]:
+            kind = "NAME"
+        else:
+            kind = "-"
+        out.append((w.lower(), kind))
+    return out
+
+
+def _follows(pairs):
+    return len(set(pairs)) == len({a for a, _ in pairs})
+
+
+def leaks(docs, items, units, width=8, least=6):
+    """docs (doc_id, text), items {id: text}: windows of the items looked for at every place of every document."""
+    units, by_first = set(units), {}
+    for item, text in items.items():
+        typed = _typed(text, units)
+        if len(typed) < least:
+            continue
+        w = min(width, len(typed))
+        for at in range(len(typed) - w + 1):
+            for window in (typed[at:at + w], [(a, "-" if t == "NAME" else t) for a, t in typed[at:at + w]]):
+                literal = [t == "-" for _, t in window]
+                if 2 * sum(literal) >= w and any(a and b for a, b in zip(literal, literal[1:])):
+                    by_first.setdefault(window[literal.index(True)][0], []).append((item, at, literal.index(True), window))
+                    break
+    runs = {}
+    for doc_id, text in docs:
+        words = [w.lower() for w, _ in _marked(text)]
+        number = [bool(regex.search(r"\p{N}", w)) for w in words]
+        fits = {"-": lambda i, a: words[i] == a, "NUM": lambda i, a: number[i], "UNIT": lambda i, a: words[i] in units, "NAME": lambda i, a: not number[i]}
+        for i, w in enumerate(words):
+            for item, at, k, window in by_first.get(w, ()):
+                p = i - k
+                if p < 0 or p + len(window) > len(words) or not all(fits[t](p + j, a) for j, (a, t) in enumerate(window)):
+                    continue
+                slots = {(a, words[p + j]) for j, (a, t) in enumerate(window) if t != "-"}
+                if _follows(slots):
+                    runs.setdefault((doc_id, item, p - at), {})[p] = slots
+    out = {}
+    for (doc_id, item, _), found in runs.items():
+        slots = set().union(*found.values())
+        if _follows(slots):
+            out.setdefault((doc_id, item), []).append((len(found), min(found), any(a != b for a, b in slots)))
+    return [(d, i, sum(x[0] for x in v), min(x[1] for x in v), min(x[2] for x in v)) for (d, i), v in out.items()]

@@ -1,11 +1,14 @@
 """Operators of ``leasegrid.llm`` against plain re-computations, planted cases and odd tables."""
 
+import base64
 import os
+import time
 
 import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -154,6 +157,93 @@ def test_odd_vectors_link_with_nothing(spark):
     assert cross_polytope.link_vectors(vectors(spark, [])).count() == 0
 
 
+def test_close_vectors_are_found_and_counted(spark):
+    """Planted partners just above the threshold, a pile of copies, one dimension, and one id with several vectors."""
+    rng = np.random.default_rng(6)
+    for width in (64, 256):
+        base = rng.standard_normal((300, width))
+        base /= np.linalg.norm(base, axis=1, keepdims=True)
+        side = rng.standard_normal((300, width))
+        side -= (side * base).sum(1, keepdims=True) * base
+        side /= np.linalg.norm(side, axis=1, keepdims=True)
+        cos = rng.uniform(0.9501, 0.96, (300, 1))
+        rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, cos * base + np.sqrt(1 - cos**2) * side]).astype(np.float32))]
+        near = brute.cosine_links(*zip(*rows))
+        found = {r.vec_id: r.n_links for r in cross_polytope.link_vectors(vectors(spark, rows)).collect()}
+        links = np.array([found[i] for i, _ in rows])
+        assert near.sum() >= 590 and (links <= near.sum(1)).all() and links.sum() >= 0.97 * near.sum()
+    pile = [(i, [1.0, 2.0, 3.0]) for i in range(40)] + [(50, [1.0, 2.0, 3.01]), (51, [-1.0, 0.0, 0.5])]
+    got_ = {r.vec_id: (r.n_links, r.component_id) for r in cross_polytope.link_vectors(vectors(spark, pile)).collect()}
+    assert got_ == {**{i: (40, 0) for i in range(40)}, 50: (40, 0), 51: (0, 51)}
+    line = [(1, [2.0]), (2, [0.5]), (3, [7.0]), (4, [-1.0])]
+    got_ = {r.vec_id: (r.n_links, r.component_id) for r in cross_polytope.link_vectors(vectors(spark, line)).collect()}
+    assert got_ == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+    twice = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.01, 1.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0])]
+    got_ = sorted((r.vec_id, r.n_links, r.component_id) for r in cross_polytope.link_vectors(vectors(spark, twice)).collect())
+    assert got_ == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (3, 2, 1), (3, 2, 1)]
+
+
+def der(tag, *parts):
+    body = b"".join(parts)
+    size = len(body).to_bytes(4, "big").lstrip(b"\0") or b"\0"
+    return bytes([tag]) + (size if len(body) < 128 else bytes([0x80 | len(size)]) + size) + body
+
+
+def num(n):
+    return der(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
+
+
+def field(*parts):
+    body = b"".join(parts)
+    return len(body).to_bytes(4, "big") + body
+
+
+RNG = np.random.default_rng(12)
+BIG = lambda bits: int.from_bytes(RNG.bytes(bits // 8), "big") | 1 << (bits - 1)
+RSA_ID, EC_ID = der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01"), der(5)), der(0x30, der(6, b"\x2a\x86\x48\xce\x3d\x02\x01"), der(6, b"\x2a\x86\x48\xce\x3d\x03\x01\x07"))
+RSA = der(0x30, num(0), num(BIG(1024)), num(65537), num(BIG(1023)), *[num(BIG(512)) for _ in range(5)])
+EC = der(0x30, num(1), der(4, RNG.bytes(32)), der(0xA0, der(6, b"\x2a\x86\x48\xce\x3d\x03\x01\x07")))
+CHECK = RNG.bytes(4)
+PUBLIC = field(b"ssh-rsa") + field(b"\x01\x00\x01") + field(RNG.bytes(129))
+SSH = b"openssh-key-v1\0" + field(b"none") + field(b"none") + field() + (1).to_bytes(4, "big") + field(PUBLIC) + field(CHECK, CHECK, RNG.bytes(120))
+PRIVATE = {
+    "rsa": RSA, "ec": EC, "pkcs8": der(0x30, num(0), RSA_ID, der(4, RSA)), "dsa": der(0x30, num(0), num(BIG(1024)), num(BIG(160)), num(BIG(1024)), num(BIG(1024)), num(BIG(160))),
+    "encrypted": der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d"), der(0x30, num(2048))), der(4, RNG.bytes(200))), "openssh": SSH,
+}
+HARMLESS = {
+    "signature": der(0x30, num(BIG(256)), num(BIG(256))), "public": der(0x30, RSA_ID, der(3, b"\0" + RNG.bytes(140))), "rsa public": der(0x30, num(BIG(1024)), num(65537)),
+    "ssh public": PUBLIC, "garbage after the magic": b"openssh-key-v1\0" + RNG.bytes(80), "check numbers differ": SSH.replace(CHECK + CHECK, CHECK + RNG.bytes(4)),
+    "cut short": RSA[:-1], "one byte more": RSA + b"\0", "certificate": der(0x30, der(0x30, num(2), RSA_ID), RSA_ID, der(3, RNG.bytes(64))), "noise": RNG.bytes(90),
+}
+
+
+def test_keys_are_told_by_their_structure(spark):
+    b64 = lambda d: base64.b64encode(d).decode()
+    pem = lambda d, kind: f"-----BEGIN {kind}-----\n" + "\n".join(b64(d)[i:i + 64] for i in range(0, len(b64(d)), 64)) + f"\n-----END {kind}-----"
+    token = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (b'{"alg":"HS256","typ":"JWT"}', b'{"sub":"1"}', RNG.bytes(32)))
+    for name, data in PRIVATE.items():
+        assert secret_confirm.is_key(data), name
+        for shown, kind in ((f"key {b64(data)} end", "key64"), (pem(data, "RSA PRIVATE KEY"), "key64"), ("x " + data.hex(), "keyhex")):
+            assert [k for k, _, _ in secret_confirm.find_secrets(shown)[1]] == [kind], (name, kind)
+    for name, data in HARMLESS.items():
+        assert not secret_confirm.is_key(data), name
+        assert not secret_confirm.find_secrets(f"{b64(data)} {pem(data, 'PUBLIC KEY')} {data.hex()}")[1], name
+    spans = secret_confirm.find_secrets(f"Bearer {token}, {token[:-3]}.x.y eyJhbGciOiJub25.eyJhIjoxfQ.")[1]
+    assert spans[0] == ("jwt", 7, 7 + len(token))
+    # spans are code points of the whole text, and odd headers cost no more than their length
+    assert secret_confirm.find_secrets("\U0001F600é " + b64(EC))[1] == [("key64", 3, 3 + len(b64(EC)))]
+    start = time.time()
+    assert secret_confirm.find_secrets(("-----BEGIN " + "KEY" * 40_000) + "-----BEGIN PRIVATE KEY-----" * 5_000 + "A" * 200_000)[1] == []
+    assert time.time() - start < 5
+
+
+def test_a_text_under_an_id_and_under_none(spark):
+    body = LONG[:3000]
+    rows = [(None, body, "a"), (4, body, "a"), (5, "z" + body[200:900], "b"), (None, "short", "b")]
+    cols = ("n_bytes", "n_removed", "n_spans")
+    assert got(substring_dedup.remove_repeats(edge(spark, rows)), *cols) == sorted((r[1], r[2], r[3]) for r in brute.substring([(r[0], r[1]) for r in rows]))
+
+
 ITEM = "A train leaves the old station with 40 passengers and travels for 3 hours before it stops again near the 40 tall trees"
 
 
@@ -164,13 +254,37 @@ def test_leaks_with_other_values(spark):
     items = spark.createDataFrame([(7, ITEM, 1), (7, ITEM, 1), (8, None, 1), (None, "", 1)], "item_id long, text string, pos int")
     found = {(r.doc_id, r.item_id): r.changed for r in template_decon.find_leaks(edge(spark, docs), items).collect()}
     assert found == {(1, 7): False, (2, 7): True, (None, 7): False}
-    whole = template_decon.find_leaks(edge(spark, [(9, broken, "a")]), items, width=22, stride=1)
-    assert whole.count() == 0
+    for width in (8, 22):  # within one window, and over the windows of an alignment
+        assert template_decon.find_leaks(edge(spark, [(9, broken, "a")]), items, width=width).count() == 0
     left = template_decon.decontaminate(edge(spark, docs), template_decon.find_leaks(edge(spark, docs), items))
     assert {r.doc_id for r in left.collect()} == {3, 4, None}
     assert template_decon.find_leaks(edge(spark, []), items).count() == 0
 
 
+def test_leaks_equal_brute_force(spark):
+    """The whole tables, and items cut to every length and planted at every offset, in capitals, small letters and with other values."""
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    rng = np.random.default_rng(3)
+    more = {-1: ITEM, -2: "In Berlin lives Anna with 3 dogs", -3: "Der Hund von Peter sieht die Katze im Garten", -4: "two words only here", -5: "7 km and 8 km are 15 km if you walk 7 km. Then rest"}
+    planted, n = [], 100_000
+    for item in (*more.values(), *[items[k] for k in sorted(items)[:6]]):
+        words = item.split(" ")
+        for length in range(5, 14):
+            for at in range(0, max(1, len(words) - length + 1), 3):
+                part = " ".join(words[at:at + length])
+                for way in (part, part.lower(), part.upper(), part.replace("40", "41").replace("7", "9").replace("Anna", "Peter")):
+                    before = " ".join(rng.choice(["und", "Some", "words", "12", "go", "first."], rng.integers(0, 9)))
+                    planted.append((n, f"{before} {way} " + "after that, nothing", "p"))
+                    n += 1
+    docs = [(d, t, "t") for d, t in texts(spark)] + planted
+    table = spark.createDataFrame([*items.items(), *more.items()], "item_id long, text string")
+    cols = ("doc_id", "item_id", "n_windows", "first_pos", "changed")
+    found = got(template_decon.find_leaks(edge(spark, docs), table), *cols)
+    assert found == sorted(brute.leaks([d[:2] for d in docs], {**items, **more}, template_decon.UNITS))
+    whole = [d for d, t, _ in planted if len(t.split()) > 25]
+    assert len({r[0] for r in found}) > 300 and all(d in {r[0] for r in found} for d in whole)
+
+
 def test_quality_is_learnt(spark):
     kept = {r.doc_id for r in QUERIES["op3_ordinal_quality"](spark, SF).collect()}
     rated = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic").collect()
@@ -179,6 +293,34 @@ def test_quality_is_learnt(spark):
     assert np.mean(good) >= 0.9 and np.mean(toxic) <= 0.2
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the larger tables")
+def test_quality_on_held_out_ratings(spark):
+    """Fitted on the ratings of even hashes, judged on the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rated = ordinal_quality.graded(spark.read.parquet("/root/testdata/sf0.1/labels.parquet")).where("grade IS NOT NULL")
+    half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)) == 0
+    kept = ordinal_quality.select_quality(docs, rated.where(half), 0.6).select("doc_id")
+    judged = rated.where(~half).join(kept.withColumn("kept", F.lit(1.0)), "doc_id", "left").groupBy("grade").agg(F.avg(F.coalesce("kept", F.lit(0.0))).alias("share"))
+    share = {r.grade: r.share for r in judged.collect()}
+    assert share[2] >= 0.96 and share[0] <= 0.12 and share[1] <= 0.35
+
+
+def test_the_sample_is_bounded(spark):
+    """Repeated ids, repeated ratings and very long texts: the sample stops at its number of places."""
+    long_text = " ".join(f"w{i}" for i in range(5000))
+    rows = [(i % 40, f"{long_text} {i}" if i % 3 else f"short {i}", "a") for i in range(200)]
+    ratings = spark.createDataFrame([(i % 40, i % 3) for i in range(80)], "doc_id long, grade int")
+    sizes = []
+    fit = ordinal_quality.fit_ordinal
+    try:
+        ordinal_quality.fit_ordinal = lambda r, g, n: sizes.append([len(x) for x in r]) or fit(r, g, n)
+        ordinal_quality.fit_quality(edge(spark, rows), ratings, max_features=30_000)
+        ordinal_quality.fit_quality(edge(spark, rows), ratings, max_features=1)
+    finally:
+        ordinal_quality.fit_ordinal = fit
+    assert len(sizes[0]) < 40 and 15_000 < sum(sizes[0]) <= 30_000 and len(sizes[1]) == 1
+
+
 def test_quality_without_ratings_keeps_everything(spark):
     none = spark.createDataFrame([], "doc_id long, grade int")
     assert ordinal_quality.select_quality(edge(spark), none).count() == len(EDGE)
