@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leasegrid.llm.common import broadcast_if_small, fresh
@@ -28,16 +30,19 @@ STEMS = (4, 5)  # beginnings of longer words that are features too, for language
 WORD = re.compile(r"[^\W_]+")
 
 
-def _place(word: str, known: dict[str, int]) -> int:
-    at = known.get(word)
-    if at is None:
-        if len(known) >= 200_000:
-            known.clear()
-        at = known[word] = zlib.crc32(word.encode("utf-8", "surrogatepass")) % (DIM - STYLE)
+def _place(word: str) -> int:
+    return zlib.crc32(word.encode("utf-8", "surrogatepass")) % (DIM - STYLE)
+
+
+def _places(word: str, known: dict[str, tuple[int, ...]]) -> tuple[int, ...]:
+    """Places of a lower-case word and of its stems, remembered in ``known``."""
+    if len(known) >= 200_000:
+        known.clear()
+    at = known[word] = (_place(word), *[_place("^" + word[:k]) for k in STEMS if len(word) > k])
     return at
 
 
-def features(text: str | None, known: dict[str, int]) -> np.ndarray:
+def features(text: str | None, known: dict[str, tuple[int, ...]]) -> np.ndarray:
     """Places of one whole text: presence of each word and stem, plus surface features.
 
     Word presence has weight 1 whatever the length, so one telling word shows in
@@ -51,12 +56,9 @@ def features(text: str | None, known: dict[str, int]) -> np.ndarray:
     base = DIM - STYLE
     if not n:
         return np.array([base], np.int32)
-    lower = [w.lower() for w in words]
-    kinds: dict[str, int] = {}
-    for w in lower:
-        kinds[w] = kinds.get(w, 0) + 1
+    kinds = Counter(map(str.lower, words))
     letters = sum(map(len, words))
-    upper = sum(1 for w in words if len(w) > 1 and w.isupper())
+    upper = sum(1 for w in filter(str.isupper, words) if len(w) > 1)
     signs = len(text) - letters - text.count(" ") - text.count("\n")
     top = max(kinds.values())
 
@@ -69,9 +71,12 @@ def features(text: str | None, known: dict[str, int]) -> np.ndarray:
         base + 1 + bucket(spread), base + 9 + bucket(upper / n), base + 17 + bucket(signs / n),
         base + 25 + bucket(letters / n / 16), base + 33 + min(7, n.bit_length() // 2), base + 41 + bucket(top / n * 2),
     ]
-    stems = {"^" + w[:k] for w in kinds for k in STEMS if len(w) > k}
-    at = np.fromiter((_place(w, known) for named in (kinds, stems) for w in named), np.int64, len(kinds) + len(stems))
-    return np.unique(np.concatenate([at, style])).astype(np.int32)
+    at = set(style)
+    for w in kinds:
+        at.update(known.get(w) or _places(w, known))
+    out = np.fromiter(at, np.int32, len(at))
+    out.sort()
+    return out
 
 
 def _values(at: np.ndarray) -> np.ndarray:
@@ -91,14 +96,27 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
+def _tells(at: np.ndarray, row: np.ndarray, y: np.ndarray, n_grades: int, n_places: int) -> np.ndarray:
+    """Per place the largest absolute log ratio of its frequency above and below a threshold, at most 4."""
+    out = np.zeros(n_places)
+    for k in range(1, n_grades):
+        high = y >= k
+        above = (np.bincount(at, high[row], n_places) + 1) / (high.sum() + 2)
+        below = (np.bincount(at, ~high[row], n_places) + 1) / ((~high).sum() + 2)
+        out = np.maximum(out, np.abs(np.log(above / below)))
+    return np.minimum(out, 4.0)
+
+
 def fit_ordinal(
-    rows: list[np.ndarray], grades: np.ndarray, n_grades: int, l2: float = 2e-4, rounds: int = 200, rate: float = 0.1,
-    min_rows: int = 20,
+    rows: list[np.ndarray], grades: np.ndarray, n_grades: int, l2: float = 2e-3, rounds: int = 200, rate: float = 0.05,
+    min_rows: int = 8,
 ) -> OrdinalModel:
     """Maximum likelihood of the cumulative logit model, by Adam with a falling rate over the whole sample.
 
     Places that occur in fewer than ``min_rows`` rows keep the weight zero: they
-    would only learn those rows by heart.
+    would only learn those rows by heart. The others count in proportion to how
+    well their presence tells rows above some threshold from rows below it, so
+    that few telling words are not lost among many common ones.
 
     The gaps between thresholds are kept positive by fitting their logarithms.
     Grades without a row leave their threshold where the prior gap puts it. No
@@ -110,14 +128,20 @@ def fit_ordinal(
         return OrdinalModel(w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
     at = np.concatenate(rows)
     row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
-    held = (np.bincount(at, minlength=DIM) >= min(min_rows, len(rows)))[at]
+    often = np.bincount(at, minlength=DIM) >= min(min_rows, len(rows))
+    held = often[at]
     at, row = at[held], row[held]
     value = _values(at)
-    used, at = np.unique(at, return_inverse=True)
+    used = np.flatnonzero(often)
+    number = np.zeros(DIM, np.int32)
+    number[used] = np.arange(len(used), dtype=np.int32)
+    at = number[at]
+    y, n = grades.astype(int), len(rows)
+    tells = _tells(at, row, y, n_grades, len(used))
+    value *= tells.astype(np.float32)[at]
     v = np.zeros(len(used))
     params = [v, first, gaps]
     m1, m2 = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    y, n = grades.astype(int), len(rows)
     for step in range(1, rounds + 1):
         cuts = np.concatenate([[-np.inf], first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]), [np.inf]])
         score = np.bincount(row, value * v[at], n)
@@ -140,7 +164,7 @@ def fit_ordinal(
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
             p_ -= pace * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)
-    w[used] = v
+    w[used] = v * tells
     return OrdinalModel(w, first + np.concatenate([[0.0], np.cumsum(np.exp(gaps))]))
 
 
@@ -158,9 +182,10 @@ def fit_quality(
 
     The sample does not depend on partitioning. Ratings with a null id or grade
     are ignored; an id rated more than once counts with its lowest grade; of
-    rows that repeat an id the one with the smallest text hash counts. The
-    driver gets hashed places only, and stops taking rows (again in hash order)
-    at ``max_features`` of them, so very long texts cannot exceed its memory.
+    rows that repeat an id the one with the smallest text hash counts. Rows are
+    taken in hash order up to ``max_features`` hashed places (one row at least);
+    the driver gets those places only, so neither very long texts nor repeated
+    ids can exceed its memory.
     """
     rated = ratings.where(F.col(id_col).isNotNull() & F.col(grade_col).isNotNull())
     rated = rated.groupBy(F.col(id_col).alias("id")).agg(F.min(grade_col).cast("int").alias("grade"))
@@ -169,7 +194,7 @@ def fit_quality(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(broadcast_if_small(chosen), "id")
 
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, int] = {}
+        known: dict[str, tuple[int, ...]] = {}
         for b in batches:
             yield pd.DataFrame({
                 "id": b["id"], "grade": b["grade"], "tie": [zlib.crc32((t or "").encode("utf-8", "surrogatepass")) for t in b["text"]],
@@ -177,19 +202,15 @@ def fit_quality(
             })
 
     found = texts.mapInPandas(hashed, "id long, grade int, tie long, at array<int>")
-    held = found.withColumn("o", order).toArrow().combine_chunks()  # at most max_rows ids
-    held = held.sort_by([("o", "ascending"), ("id", "ascending"), ("tie", "ascending")]).combine_chunks()
-    ids, ranks, lists = held["id"].to_numpy(), held["grade"].to_numpy(), held["at"]
-    rows, grades, last, total = [], [], None, 0
-    for i in range(len(ids)):
-        if ids[i] == last:
-            continue
-        at = lists[i].values.to_numpy()
-        last, total = ids[i], total + len(at)
-        if total > max_features and rows:
-            break
-        rows.append(at)
-        grades.append(min(max(int(ranks[i]), 0), n_grades - 1))
+    one = cut_lineage(found.groupBy("id").agg(F.min_by(F.struct("grade", "at"), "tie").alias("r")).select("id", "r.*"))
+    # a narrow window over at most max_rows rows
+    upto = F.sum(F.size("at")).over(W.orderBy(order, "id").rowsBetween(W.unboundedPreceding, 0))
+    taken = one.select("id", F.size("at").alias("n"), upto.alias("upto")).where((F.col("upto") <= max_features) | (F.col("upto") == F.col("n")))
+    held = one.join(F.broadcast(taken.select("id")), "id", "left_semi").withColumn("o", order).toArrow()
+    held = held.sort_by([("o", "ascending"), ("id", "ascending")]).combine_chunks()
+    ranks, lists = held["grade"].to_numpy(), held["at"]
+    rows = [lists[i].values.to_numpy() for i in range(len(ranks))]
+    grades = [min(max(int(g), 0), n_grades - 1) for g in ranks]
     return fit_ordinal(rows, np.array(grades), n_grades)
 
 
