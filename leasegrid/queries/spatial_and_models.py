@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from leasegrid.functions.geo import wkt_shape
-from leasegrid.operators import clean, forecast, joins, linear, match, model, reshape, score, spatial
+from leasegrid.operators import clean, forecast, joins, linear, match, model, score, spatial
 from leasegrid.operators.panel import time_lags
 from leasegrid.plans import rent_growth
 from leasegrid.queries.registry import CUSTOMERS, SUPPLIERS, cents, customers, haversine_sql, query, suppliers, table

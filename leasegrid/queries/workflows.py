@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from leasegrid.operators import forecast, model, spatial
+from leasegrid.operators import model
 from leasegrid.plans import liveability, listings, rent_growth, schools
 from leasegrid.queries.registry import CUSTOMERS, SUPPLIERS, WEEKLY, customers, priced_orders, query, suppliers, table
 from leasegrid.queries.spatial_and_models import EDIT
