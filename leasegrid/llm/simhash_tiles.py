@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.llm.common import broadcast_if_small, components, fresh
+from leasegrid.llm.common import components, fresh
 from leasegrid.operators.ordering import top_per_key
 from leasegrid.session import cut_lineage
 
