@@ -169,3 +169,26 @@ def test_many_edges_in_strips(spark, strips):
 
     got = spatial.points_in_polygons(shapes, spark.createDataFrame(points, PLACE), most_strips=strips)
     assert {r.id for r in got.collect()} == {i for i, y, x in points if inside(x, y)}
+
+
+def _sent_whole(monkeypatch, modules, result):
+    """Plans (of what is frozen on the way, and of the result) that send a table whole through the driver."""
+    plans = []
+
+    def recorded(df, cut):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    for m in modules:
+        monkeypatch.setattr(m, "cut_lineage", lambda df, cut=m.cut_lineage: recorded(df, cut))
+    plans.append(result()._jdf.queryExecution().executedPlan().toString())
+    return [p for p in plans if "BroadcastHashJoin" in p]
+
+
+def test_donor_search_sends_no_table_through_the_driver(spark, monkeypatch, tmp_path):
+    rows = [(i, i % 3, i * 0.01, i * 0.02, None if i % 2 else float(i)) for i in range(40)]
+    spark.createDataFrame(rows, "id int, suburb int, lat double, lon double, a double").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    near = lambda: spatial.nearest(df.where("a IS NULL"), df.where("a IS NOT NULL").withColumnRenamed("id", "sid"), 1, "id", "sid", by=["suburb"], method="planar")
+    assert not _sent_whole(monkeypatch, [spatial, pyramid], near)
+    assert spatial.impute_nearest(df, ["a"], "id").where("a IS NULL").count() == 0
