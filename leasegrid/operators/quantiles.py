@@ -43,11 +43,14 @@ def quantiles_of(
     lows = [max(p - margin, 0.0) for p in probabilities]
     highs = [min(p + margin, 1.0) for p in probabilities]
     sketch = F.struct(F.percentile_approx("value", [*lows, *highs], accuracy).alias("g"), F.count("*").alias("n"))
-    marked = values.join(values.groupBy(*by).agg(sketch.alias("__s")), by)
+    # Only groups longer than ``accuracy`` need brackets: at most a row per so many
+    # values, which goes to the rows. By key all values of one group would go to one task.
+    long = values.groupBy(*by).agg(sketch.alias("__s")).where(F.col("__s.n") > accuracy)
+    marked = values.join(F.broadcast(long), by, "left")
     m = len(names)
     lo = [F.lit(-_INF) if p == 0.0 else F.col("__s.g")[i] for i, p in enumerate(lows)]
     hi = [F.lit(_INF) if p == 1.0 else F.col("__s.g")[m + i] for i, p in enumerate(highs)]
-    inside = F.col("__s.n") <= accuracy
+    inside = F.col("__s").isNull()
     gap = F.lit(-_INF)
     for a, b in zip(lo, hi):
         inside = inside | v.between(a, b)

@@ -152,3 +152,20 @@ def test_no_nested_loops(spark, name):
     df = entry.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_quantiles_do_not_bring_a_group_to_one_task(spark, monkeypatch):
+    frozen = []
+
+    def recorded(df, cut=ordering.cut_lineage):
+        frozen.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(ordering, "cut_lineage", recorded)
+    df = spark.range(30_000).select((F.col("id") * 7919 % 30_011).cast("double").alias("v"), F.when(F.col("id") < 100, "short").otherwise("long").alias("g"))
+    got = {r.g: (r.q25, r.q50) for r in quantiles.exact_quantiles(df, "v", [0.25, 0.5], ["g"], accuracy=1000).collect()}
+    assert frozen and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in frozen)
+    rows = df.toPandas()
+    for g, pair in got.items():
+        assert np.allclose(pair, np.quantile(rows.v[rows.g == g], [0.25, 0.5]), rtol=0, atol=1e-9)
+    assert set(got) == {"short", "long"}
