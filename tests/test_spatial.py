@@ -192,3 +192,19 @@ def test_donor_search_sends_no_table_through_the_driver(spark, monkeypatch, tmp_
     near = lambda: spatial.nearest(df.where("a IS NULL"), df.where("a IS NOT NULL").withColumnRenamed("id", "sid"), 1, "id", "sid", by=["suburb"], method="planar")
     assert not _sent_whole(monkeypatch, [spatial, pyramid], near)
     assert spatial.impute_nearest(df, ["a"], "id").where("a IS NULL").count() == 0
+
+
+@pytest.mark.parametrize("radius, method", [(8.0, "haversine"), (400.0, "haversine"), (3000.0, "haversine"), (8.0, "geodesic"), (0.05, "planar")])
+def test_radius_meets_few_pairs_outside_the_disc(spark, radius, method):
+    rng = random.Random(3)
+    rows = [(i, rng.uniform(-38.5, -37.5), rng.uniform(144.3, 145.7)) for i in range(400)]
+    p, s = spark.createDataFrame(rows[:200], PLACE), spark.createDataFrame(rows[200:], PLACE).withColumnRenamed("id", "sid")
+    got = {(r.id, r.sid) for r in spatial.within_radius(p, s, radius, method).collect()}
+    gap = pyramid.metric(method, F.col("lat"), F.col("lon"), F.col("slat"), F.col("slon"))
+    every = p.crossJoin(s.withColumnsRenamed({"lat": "slat", "lon": "slon"})).where(gap <= radius)
+    assert got == {(r.id, r.sid) for r in every.collect()}
+    if radius == 8.0:
+        grid, span = pyramid.tiling([(p, "lat", "lon"), (s, "lat", "lon")], "haversine"), pyramid.reach(method, radius)
+        level = grid.level_reaching(span / spatial._TILES_PER_RADIUS)
+        tiles = len(grid.steps_reaching(span, level)) * (grid.side / 2**level) ** 2
+        assert tiles < 6 * np.pi * span**2  # a 3x3 block of tiles as long as the radius: up to 12
