@@ -82,3 +82,21 @@ def test_rank_schools(spark):
     ranks = spark.createDataFrame([("Melbourne High School, South Yarra", "1"), ("Other", "2"), ("Bad", "n/a")], "school_name string, vic_secondary_rank string")
     got = {r.id: r.vic_secondary_rank for r in match.rank_schools(schools, ranks).collect()}
     assert got == {1: 1, 2: 1, 3: None, 4: 101}
+
+
+def test_names_are_not_sent_through_the_driver(spark, monkeypatch, tmp_path):
+    rows = [(i, f"Customer#{i:06d} school", i % 2) for i in range(60)]
+    spark.createDataFrame(rows, "id int, text string, place int").write.parquet(f"{tmp_path}/t")
+    df, plans = spark.read.parquet(f"{tmp_path}/t"), []
+
+    def recorded(frame, cut=match.cut_lineage):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return cut(frame)
+
+    monkeypatch.setattr(match, "cut_lineage", recorded)
+    kept = match.fuzzy_dedup(df, "text", ["place"], ["id"], 0.9)
+    pairs = match.similar_pairs(df, df, 0.9)
+    plans += [x._jdf.queryExecution().executedPlan().toString() for x in (kept, pairs)]
+    assert not [p for p in plans if "BroadcastHashJoin" in p]
+    near = {(a, b) for _, a, _ in rows for _, b, _ in rows if 1 - _edit(a, b) / max(len(a), len(b)) >= 0.9}
+    assert {(r.text, r.match) for r in pairs.collect()} == near
