@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leasegrid.session import cut_lineage
+from leasegrid.session import cut_lineage, exchanged
 
 _PART = "__part"
 _OFFSET = "__offset"
@@ -93,8 +93,9 @@ def running_totals(
         *([F.sum("__t").over(whole).alias(total)] if total else []),
     )
     local = Window.partitionBy(*by, _PART).orderBy(*order)
+    # ``by`` may have as many groups as rows; the window needs this exchange anyway
     return (
-        frozen.join(offsets, [*by, _PART])
+        frozen.join(exchanged(offsets), [*by, _PART])
         .withColumn(
             name,
             F.col(_OFFSET)
