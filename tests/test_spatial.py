@@ -208,3 +208,12 @@ def test_radius_meets_few_pairs_outside_the_disc(spark, radius, method):
         level = grid.level_reaching(span / spatial._TILES_PER_RADIUS)
         tiles = len(grid.steps_reaching(span, level)) * (grid.side / 2**level) ** 2
         assert tiles < 6 * np.pi * span**2  # a 3x3 block of tiles as long as the radius: up to 12
+
+
+def test_amenity_summary_sends_no_table_through_the_driver(spark, monkeypatch, tmp_path):
+    rows = [(i, i * 0.01, i * 0.02, "cafe" if i % 2 else "bank") for i in range(40)]
+    spark.createDataFrame(rows, "id int, lat double, lon double, amenity string").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    pois = df.select(F.col("id").cast("string").alias("name"), "amenity", "lat", "lon")
+    found = lambda: spatial.amenities_near(df.select("id", "lat", "lon"), pois, "id", "cafe|bank", ["cafe", "bank"], 12.0, "haversine")
+    assert not _sent_whole(monkeypatch, [spatial, pyramid], found)
