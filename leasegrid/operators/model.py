@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 
@@ -46,6 +47,16 @@ def preprocessor(
     return stages
 
 
+def spread_rows(df: DataFrame, most: int = 50_000) -> DataFrame:
+    """The rows in partitions of about ``most`` rows at most, unchanged if they are no longer already.
+
+    Trees keep every row's bins in memory, partition by partition, and a file
+    split of a well compressed table can hold any number of rows.
+    """
+    sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).agg(F.max("n").alias("largest"), F.sum("n").alias("all")).first()
+    return df if (sizes["largest"] or 0) <= most else df.repartition(math.ceil(sizes["all"] / most))
+
+
 def target_encoding(train: DataFrame, column: str, target: str) -> tuple[DataFrame, Column]:
     """(value, encoding) table and the scalar overall mean, shrunk by empirical Bayes.
 

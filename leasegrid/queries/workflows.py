@@ -134,7 +134,7 @@ def saved_model(spark, sf):
     """A fitted pipeline written, read again and applied: same predictions."""
     p = table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_brand", F.col("p_retailprice").alias("y"))
     stages = [*model.preprocessor(p, ["p_size"], ["p_brand"]), model.boosted_trees("y", maxIter=3, maxDepth=3)]
-    fitted, path = Pipeline(stages=stages).fit(p), shared_path(spark, "model")
+    fitted, path = Pipeline(stages=stages).fit(model.spread_rows(p)), shared_path(spark, "model")
     model.save_model(fitted, path)
     a = fitted.transform(p).select("p_partkey", F.col("prediction").alias("a"))
     b = model.load_model(path).transform(p).select("p_partkey", F.col("prediction").alias("b"))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from leasegrid.operators import forecast, linear, model, profile, score
 from leasegrid.plans import liveability, schools
+from leasegrid.queries import workflows  # noqa: F401
+from leasegrid.queries.registry import QUERIES
 
 
 def _xy(spark, n=400, seed=0):
@@ -281,3 +283,17 @@ def test_school_workflow(spark):
     assert got[1].best_school_name_driving_5min == "Good High" and got[2].best_school_name_driving_5min == "Late College"
     assert got[1].n_schools_driving_5min == 1 and got[2].n_schools_driving_5min == 2
     assert got[1].best_school_name_walking_5min == "Good High" and got[1].n_schools_walking_5min == 1
+
+
+def test_training_rows_are_spread(spark, monkeypatch, tmp_path):
+    df = spark.range(0, 1000, 1, 1)
+    spread = model.spread_rows(df, 100)
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200 and spread.rdd.getNumPartitions() == 10
+    assert model.spread_rows(df, 1000) is df
+    p = df.select(F.col("id").alias("p_partkey"), (F.col("id") % 50).cast("int").alias("p_size"), F.concat(F.lit("Brand#"), F.col("id") % 5).alias("p_brand"), (F.col("id") / 10).alias("p_retailprice"))
+    p.write.parquet(f"{tmp_path}/part.parquet")
+    used, real = [], model.spread_rows
+    monkeypatch.setattr(model, "spread_rows", lambda rows: used.append(rows) or real(rows, 100))
+    out = QUERIES["saved_model"](spark, str(tmp_path)).first()
+    assert used and (out.n, out.differing) == (1000, 0)
