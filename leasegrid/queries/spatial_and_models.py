@@ -564,11 +564,18 @@ def ar_forecast(spark, sf):
 
 
 def _growth_inputs(spark, sf):
-    o = table(spark, sf, "orders").join(suppliers(spark, sf), F.col("o_custkey") % 50 == F.col("s_suppkey") % 50)
-    p = o.groupBy(
-        F.col("s_name").alias("suburb"), F.col("o_orderstatus").alias("property_type"),
+    # Every order meets every supplier of its class. Sums and counts per class come first: the means of the
+    # pairs follow from them, and the pairs, orders times suppliers in number, are not made.
+    o = table(spark, sf, "orders").groupBy(
+        (F.col("o_custkey") % 50).alias("class"), F.col("o_orderstatus").alias("property_type"),
         F.make_date(F.year("o_orderdate"), F.quarter("o_orderdate") * 3, F.lit(1)).alias("date"),
-    ).agg(F.avg("o_totalprice").alias("median_rent"), F.avg("s_acctbal").alias("median_personal_income"))
+    ).agg(F.count("*").alias("orders"), F.count("o_totalprice").alias("prices"), F.sum("o_totalprice").alias("price"))
+    s = suppliers(spark, sf).groupBy((F.col("s_suppkey") % 50).alias("class"), F.col("s_name").alias("suburb"))
+    s = s.agg(F.count("*").alias("places"), F.count("s_acctbal").alias("balances"), F.sum("s_acctbal").alias("balance"))
+    pair_mean = lambda total, a, n, b: F.try_divide(F.sum(F.col(total) * F.col(a)), F.sum(F.col(n) * F.col(b)))
+    p = o.join(s, "class").groupBy("suburb", "property_type", "date").agg(
+        pair_mean("price", "places", "prices", "places").alias("median_rent"), pair_mean("balance", "orders", "balances", "orders").alias("median_personal_income")
+    )
     p = p.withColumns({"year": F.year("date"), "quarter": F.quarter("date"), "cpi": F.year("date") - 1995 + F.quarter("date") / 4})
     p = clean.spatial_unit(p)
     edges = spatial.row_stochastic(spatial.neighbour_weights(_places(spark, sf), k=5))

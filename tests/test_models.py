@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leasegrid.operators import forecast, linear, model, profile, score
 from leasegrid.plans import liveability, schools
-from leasegrid.queries import workflows  # noqa: F401
+from leasegrid.queries import spatial_and_models, workflows  # noqa: F401
 from leasegrid.queries.registry import QUERIES
 
 
@@ -297,3 +297,25 @@ def test_training_rows_are_spread(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(model, "spread_rows", lambda rows: used.append(rows) or real(rows, 100))
     out = QUERIES["saved_model"](spark, str(tmp_path)).first()
     assert used and (out.n, out.differing) == (1000, 0)
+
+
+def test_growth_inputs_make_no_pairs(spark, tmp_path):
+    rng = random.Random(5)
+    orders = [(i, rng.choice([None, *range(120)]), rng.choice("FOP"), rng.choice([None, 10.0, 25.5, 70.25]), date(1995 + i % 2, 1 + i % 12, 3)) for i in range(300)]
+    names = [(i, f"S{i // 2}", i % 3, rng.choice([None, 5.0, -8.5])) for i in range(130)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(names, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    p, _ = spatial_and_models._growth_inputs(spark, str(tmp_path))
+    assert p._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") >= 3
+    sums = {}
+    for _, c, kind, price, day in orders:
+        for k, name, _, balance in names:
+            if c is not None and c % 50 == k % 50:
+                s = sums.setdefault((name.lower(), kind, date(day.year, (day.month + 2) // 3 * 3, 1)), ([], []))
+                s[0].extend([] if price is None else [price])
+                s[1].extend([] if balance is None else [balance])
+    got = {(r.suburb.lower(), r.property_type, r.date): (r.median_rent, r.median_personal_income) for r in p.collect()}
+    assert set(got) == set(sums)
+    for k, pair in got.items():
+        for a, b in zip(pair, sums[k]):
+            assert (a is None) == (not b) and (a is None or math.isclose(a, sum(b) / len(b), rel_tol=1e-12))
