@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -65,6 +67,11 @@ def wkt_ring(c: Column) -> Column:
     return F.when(usable, ring)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def wkt_shape(c: Column) -> Column:
     """POLYGON or MULTIPOLYGON text as parts of rings: ARRAY<ARRAY<ARRAY<STRUCT<x,y>>>>.
 
@@ -74,23 +81,33 @@ def wkt_shape(c: Column) -> Column:
     that is shorter than four points or not closed.
     """
     kind = r"(?is)^\s*(MULTI)?POLYGON\s*(?:ZM|Z|M)?\s*(\(.*\))\s*$"
-    text = clean_token(c)
-    body = F.regexp_replace(F.regexp_extract(text, kind, 2), r"\s*([(),])\s*", "$1")
-    body = F.when(F.regexp_extract(text, kind, 1) == "", F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
-    inner = F.when(body.rlike(r"^\(\(\([^()]") & body.rlike(r"[^()]\)\)\)$"), body.substr(F.lit(4), F.length(body) - 6))
-    ordinate = lambda p, i: F.get(F.split(p, r"\s+"), F.lit(i)).try_cast("double")
-    point = lambda p: F.struct(ordinate(p, 0).alias("x"), ordinate(p, 1).alias("y"))
-    shape = F.transform(
-        F.split(inner, r"\)\),\(\("),
-        lambda part: F.transform(F.split(part, r"\),\("), lambda ring: F.transform(F.split(ring, ","), lambda p: point(F.trim(p)))),
-    )
+
+    def point(words: Column) -> Column:
+        return F.struct(*[F.get(words, F.lit(i)).try_cast("double").alias(axis) for i, axis in enumerate("xy")])
+
+    def parse(inner: Column) -> Column:
+        return F.transform(
+            F.split(inner, r"\)\),\(\("),
+            lambda part: F.transform(
+                F.split(part, r"\),\("), lambda ring: F.transform(F.transform(F.split(ring, ","), lambda p: F.split(F.trim(p), r"\s+")), point)
+            ),
+        )
 
     def sound(ring: Column) -> Column:
         numbers = F.forall(ring, lambda p: p.x.isNotNull() & p.y.isNotNull() & ~F.isnan(p.x) & ~F.isnan(p.y))
         closed = (F.element_at(ring, 1).x == F.element_at(ring, -1).x) & (F.element_at(ring, 1).y == F.element_at(ring, -1).y)
         return (F.size(ring) >= 4) & numbers & F.coalesce(closed, F.lit(False))
 
-    return F.when(F.forall(F.flatten(shape), sound), shape)
+    def bracketed(text: Column) -> Column:
+        body = F.regexp_replace(F.regexp_extract(text, kind, 2), r"\s*([(),])\s*", "$1")
+        single = F.regexp_extract(text, kind, 1) == ""
+        return F.concat(F.when(single, "(").otherwise(""), body, F.when(single, ")").otherwise(""))
+
+    def inside(body: Column) -> Column:
+        return F.when(body.rlike(r"^\(\(\([^()]") & body.rlike(r"[^()]\)\)\)$"), body.substr(F.lit(4), F.length(body) - 6))
+
+    inner = _once(_once(_once(c, clean_token), bracketed), inside)
+    return _once(_once(inner, parse), lambda shape: F.when(F.forall(F.flatten(shape), sound), shape))
 
 
 def ring_text(points: Column) -> Column:

@@ -217,7 +217,9 @@ def wkt_rings(spark, sf):
         .when(kind == 3, F.lit("MULTIPOLYGON EMPTY"))
         .otherwise(F.concat(F.lit("POLYGON (("), at(0), F.lit(" 0, 1 1, 2 2, 9 9))")))
     )
-    shapes = table(spark, sf, "supplier").select("s_suppkey", wkt_shape(text).alias("shape"))
+    # parsing costs far more than the few bytes of a row tell, so file splits do not set the tasks
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shapes = table(spark, sf, "supplier").repartition(spread).select("s_suppkey", wkt_shape(text).alias("shape"))
     points = F.flatten(F.flatten("shape"))
     return shapes.select(
         "s_suppkey", F.size("shape").alias("parts"), F.size(F.flatten("shape")).alias("rings"), F.size(points).alias("corners"),

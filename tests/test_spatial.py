@@ -217,3 +217,14 @@ def test_amenity_summary_sends_no_table_through_the_driver(spark, monkeypatch, t
     pois = df.select(F.col("id").cast("string").alias("name"), "amenity", "lat", "lon")
     found = lambda: spatial.amenities_near(df.select("id", "lat", "lon"), pois, "id", "cafe|bank", ["cafe", "bank"], 12.0, "haversine")
     assert not _sent_whole(monkeypatch, [spatial, pyramid], found)
+
+
+def test_shapes_are_parsed_once_and_by_many_tasks(spark, tmp_path):
+    from leasegrid.queries.spatial_and_models import wkt_rings
+
+    plan = spark.createDataFrame([("",)], "wkt string").select(geo.wkt_shape(F.col("wkt")))._jdf.queryExecution().analyzed().toString()
+    assert plan.splitlines()[0].count("wkt#") <= 2  # the trimmed text was named, and parsed, dozens of times
+    rows = [(i, i % 25, i * 1.5) for i in range(100)]
+    spark.createDataFrame(rows, "s_suppkey long, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    out = wkt_rings(spark, str(tmp_path))
+    assert out.rdd.getNumPartitions() >= 8 and out.count() == 100
