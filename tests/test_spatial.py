@@ -228,3 +228,14 @@ def test_shapes_are_parsed_once_and_by_many_tasks(spark, tmp_path):
     spark.createDataFrame(rows, "s_suppkey long, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
     out = wkt_rings(spark, str(tmp_path))
     assert out.rdd.getNumPartitions() >= 8 and out.count() == 100
+
+
+def test_points_of_one_tile_search_together(spark, monkeypatch):
+    kept = []
+    for m in (spatial, pyramid):
+        real = m.cut_lineage
+        monkeypatch.setattr(m, "cut_lineage", lambda df, real=real: (out := real(df), kept.append(out.count()))[0])
+    place = lambda n, seed: spark.range(n).select("id", (F.rand(seed) - 37).alias("lat"), (F.rand(seed + 1) + 145).alias("lon"))
+    out = spatial.nearest(place(20_000, 1), place(400, 3).withColumnRenamed("id", "sid"), 5, "id", "sid")
+    assert out.count() == 100_000
+    assert max(kept) < 3 * 20_000  # a row per point and tile of its block: at least nine times the points
