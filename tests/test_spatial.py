@@ -239,3 +239,15 @@ def test_points_of_one_tile_search_together(spark, monkeypatch):
     out = spatial.nearest(place(20_000, 1), place(400, 3).withColumnRenamed("id", "sid"), 5, "id", "sid")
     assert out.count() == 100_000
     assert max(kept) < 3 * 20_000  # a row per point and tile of its block: at least nine times the points
+
+
+def test_amenities_of_one_tile_are_counted_together(spark, monkeypatch):
+    kept = []
+    for m in (spatial, pyramid):
+        real = m.cut_lineage
+        monkeypatch.setattr(m, "cut_lineage", lambda df, real=real: (out := real(df), kept.append(out.count()))[0])
+    place = lambda n, seed: spark.range(n).select("id", (F.rand(seed) - 37).alias("lat"), (F.rand(seed + 1) + 145).alias("lon"))
+    pois = place(400, 3).select(F.col("id").cast("string").alias("name"), F.when(F.col("id") % 2 == 0, "cafe").otherwise("bank").alias("amenity"), "lat", "lon")
+    out = spatial.amenities_near(place(10_000, 1), pois, "id", "cafe|bank", ["cafe", "bank"], 12.0, "haversine")
+    assert out.count() == 10_000
+    assert max(kept) < 5 * 10_000  # a row per home and tile of its block: at least nine times the homes
