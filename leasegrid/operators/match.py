@@ -109,10 +109,11 @@ def _probes(texts: DataFrame, threshold: float, text: str) -> DataFrame:
     # A segment moved by s costs |s| edits before it and |shift - s| after it.
     first = F.greatest(F.col("__p") + F.ceil((shift - F.col("__d")) / 2).cast("int"), F.lit(0))
     last = F.least(F.col("__p") + F.floor((shift + F.col("__d")) / 2).cast("int"), la - F.col("__q"))
-    spots = F.when(j < 0, F.array(F.lit(0))).when(first <= last, F.sequence(first, last))
-    probe = probe.withColumn("__a", F.explode(spots))
-    seg = F.when(j < 0, F.lit("")).otherwise(F.substring(F.col(text), F.col("__a") + 1, F.col("__q")))
-    return probe.withColumn("__seg", seg).drop("__m", "__d", "__s", "__p", "__q", "__a")
+    spots = F.when(first <= last, F.sequence(first, last))
+    # a substring that stands at several places is probed once
+    found = F.array_distinct(F.transform(spots, lambda a: F.substring(F.col(text), a + 1, F.col("__q"))))
+    seg = F.explode(F.when(j < 0, F.array(F.lit(""))).otherwise(found))
+    return probe.withColumn("__seg", seg).drop("__m", "__d", "__s", "__p", "__q")
 
 
 def _near(text: str, match: str, threshold: float) -> Column:
@@ -169,8 +170,7 @@ def fuzzy_dedup(df: DataFrame, name: str, block: Sequence[str], order: Sequence[
     index = _index(starts, threshold, keys, "__text").withColumnsRenamed({"__text": "__match", "__o": "__e"}).withColumn("__one", F.lit(1))
     index = cut_lineage(running_totals(index, ["__e"], "__one", segment, "__place").drop("__one"))
     longest = index.agg(F.max("__place")).first()[0] or 0
-    # a name probes a segment once, and the first of a segment has nobody before it
-    probe = cut_lineage(_probes(starts, threshold, "__text").distinct())
+    probe = cut_lineage(_probes(starts, threshold, "__text"))
     found, low, size = [], 0, _FIRST_ROUND
     while low < longest:
         batch = index.where(F.col("__place").between(low + 1, low + size))

@@ -67,6 +67,15 @@ def test_dedup_equals_brute_force(spark, monkeypatch, first_round):
     assert {r.id for r in match.fuzzy_dedup(df, "name", ["g"], ["id"], 0.8).collect()} == want
 
 
+def test_a_name_probes_a_segment_once(spark):
+    """Repeated signs give the same substring at many places; it is not listed twice, so nothing is exchanged to drop it."""
+    df = spark.createDataFrame([(1, "a" * 40), (2, "ab" * 20), (3, "x")], "o int, text string")
+    probes = match._probes(df, 0.8, "text")
+    assert probes.count() == probes.distinct().count() > 0
+    plan = probes._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_dedup_of_a_pile_lists_no_pairs(spark):
     """20,000 names with a few digits of difference in one block."""
     df = spark.range(20_000).select("id", F.format_string("Saint Mary Primary School No %05d", F.col("id") * 7919 % 20_000).alias("name"), F.lit(1).alias("g"))
