@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from leasegrid.llm.common import giving_back
 from leasegrid.session import cut_lineage, shared_path
 
 MAGIC = b"LGPL"
@@ -37,7 +38,7 @@ BLOCK_IDS = 65_536
 #: Words and pieces whose ids are remembered per task, and their greatest length.
 CACHE_WORDS, CACHE_LETTERS = 500_000, 64
 #: New words of one call of the tokenizer, and bytes of the texts that are encoded together.
-JOINED, GROUP = 512, 8 * 2**20
+JOINED, GROUP = 512, 2 * 2**20
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -299,6 +300,7 @@ def write_tokens(
     ordered = ordered.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     end = np.array([] if end_id is None else [end_id], np.uint32)
 
+    @giving_back
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -341,6 +343,7 @@ def read_tokens(manifest: DataFrame, path: str, make: Callable[[np.ndarray], dic
     n = max(1, placed.count())
     names = [part.split()[0] for part in schema.split(",")]
 
+    @giving_back
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = _store(path)
         for batch in batches:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,30 @@ def fresh(taken: Iterable[str], stem: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Memory that this Python process has freed goes back to the machine, where the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, which turns a task's batches into others, with what it held given back when the task ends.
+
+    Python workers outlive their tasks. Without this the largest batch and cache
+    of any task so far stays with each worker, beside the heap of the executor.
+    """
+
+    @wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return whole
+
+
 def broadcast_if_small(frozen: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint for a narrow, frozen table whose counted size allows it; else as it is."""
     return F.broadcast(frozen) if frozen.count() <= rows else frozen

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leasegrid.llm.common import broadcast_if_small, fresh
+from leasegrid.llm.common import broadcast_if_small, fresh, giving_back
 from leasegrid.session import cut_lineage
 
 DIM = 1 << 18
@@ -193,6 +193,7 @@ def fit_quality(
     chosen = cut_lineage(rated.orderBy(order, "id").limit(max_rows))  # at most max_rows rows
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(broadcast_if_small(chosen), "id")
 
+    @giving_back
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:
@@ -225,6 +226,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, text_col: str = "text",
     k = (len(model.thresholds) if wanted is None else wanted) - 1
 
     @F.pandas_udf("struct<expected:double,tail:double>")
+    @giving_back
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         weights, cuts = held.value
         own, known = OrdinalModel(weights, cuts), {}

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leasegrid.llm.common import components, fresh
+from leasegrid.llm.common import components, fresh, giving_back
 from leasegrid.operators.ordering import top_per_key
 from leasegrid.session import cut_lineage
 
@@ -61,6 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Rows (doc_id, fp, *more), one per row of ``docs``."""
 
     @F.pandas_udf("long")
+    @giving_back
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
@@ -125,6 +126,7 @@ def near_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     pairs = asked.join(other, "to").where((F.col("to") != F.col("cell")) | (F.col("chunk") <= F.col("to_chunk")))
     pairs = pairs.select("fps", "to_fps", ((F.col("to") == F.col("cell")) & (F.col("chunk") == F.col("to_chunk"))).alias("same"))
 
+    @giving_back
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right, same = batch.column(0), batch.column(1), batch.column(2)

@@ -3,12 +3,13 @@
 import hashlib
 import math
 import os
+import weakref
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from leasegrid.llm import order_minhash, vector_codes, whitening
+from leasegrid.llm import common, order_minhash, vector_codes, whitening
 from leasegrid.llm.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -286,3 +287,33 @@ def test_order_matters():
     near = [*words[:-4], "other"]
     assert order_minhash.likeness(sign(words), sign(near)) > 0.8
     assert 0.2 < order_minhash.likeness(sign(words), sign(swapped)) < 0.8 < order_minhash.likeness(sign(words), sign(words))
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_a_task_gives_its_memory_back_when_its_batches_are_gone(monkeypatch, fails):
+    class Batch:
+        pass
+
+    alive, given = [], []
+    monkeypatch.setattr(common, "give_back", lambda: given.append([r() is not None for r in alive]))
+
+    def source():
+        for _ in range(3):
+            b = Batch()
+            alive.append(weakref.ref(b))
+            yield b
+
+    def task(batches):
+        for i, b in enumerate(batches):
+            if fails and i == 1:
+                raise ValueError(i)
+            yield i
+
+    whole = common.giving_back(task)
+    if fails:
+        with pytest.raises(ValueError):
+            list(whole(source()))
+        assert len(given) == 1
+    else:
+        assert list(whole(source())) == [0, 1, 2]
+        assert given == [[False, False, False]]
