@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from leasegrid.operators import forecast, linear, model, profile, score
+from leasegrid.operators import clean, forecast, linear, model, profile, score
 from leasegrid.plans import liveability, schools
 from leasegrid.queries import spatial_and_models, workflows  # noqa: F401
 from leasegrid.queries.registry import QUERIES
@@ -247,6 +247,20 @@ def test_trees_and_importances(spark, tmp_path):
     assert model.regression_metrics(again, "y", "prediction").first().r2 > 0.7
 
 
+def test_rows_of_a_tree_fit_are_hashed_once(spark, tmp_path):
+    """Fits pass over their rows many times: the split must not be worked out from the files each time."""
+    rows = [(None if i == 0 else i, i % 7, 1.0 + i, 0.1, None if i % 9 == 0 else 0.2, "AB"[i % 2], 10.0 + i) for i in range(200)]
+    names = ["l_orderkey", "l_partkey", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_extendedprice"]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = spatial_and_models._tree_rows(spark, str(tmp_path))
+    assert "FileScan" not in got._jdf.queryExecution().executedPlan().toString()
+    split = clean.hash_split(spark.createDataFrame(rows, names), "l_orderkey", {"train": 0.45, "val": 0.15, "test": 0.4})
+    want = {(r.l_quantity, r.l_discount, r.l_tax, r.l_returnflag, r.split) for r in split.collect()}
+    have = got.collect()
+    assert len(have) == 200 and {(r.l_quantity, r.l_discount, r.l_tax, r.l_returnflag, r.split) for r in have} == want
+    assert all(r.y == pytest.approx(math.log1p(r.l_quantity + 9)) and r.is_val == (r.split == "val" if r.split else None) for r in have)
+
+
 def test_minmax_constant_and_empty(spark):
     df = spark.createDataFrame([(1, 2.0, None), (2, 2.0, None), (3, None, None)], "suburb int, a double, b double")
     got = score.minmax(df, {"x": "a", "y": "b", "z": "CAST(suburb AS DOUBLE)"}).orderBy("suburb").collect()
