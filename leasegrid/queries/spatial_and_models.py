@@ -509,7 +509,7 @@ def boosted_trees(spark, sf):
     stages.append(model.boosted_trees("y", validation="is_val", maxIter=10, maxDepth=4, stepSize=0.3))
     fitted = Pipeline(stages=stages).fit(known)
     scored = fitted.transform(rows).select("split", F.expm1("y").alias("price"), F.expm1("prediction").alias("predicted"))
-    return model.regression_metrics(scored, "price", "predicted", "split")
+    return model.regression_metrics(cut_lineage(scored), "price", "predicted", "split")
 
 
 @query("random_search")
