@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +22,15 @@ def extract(c: Column, pattern: str, group: int = 1) -> Column:
     return blank_to_null(F.regexp_extract(c, pattern, group))
 
 
+def computed_once(c: Column, make: Callable[[Column], Column]) -> Column:
+    """``make(c)`` with ``c`` evaluated once per row, however often ``make`` uses it.
+
+    A column built from a column that is used k times is evaluated k times, and
+    nested steps multiply: common subexpressions are not found beside lambdas.
+    """
+    return F.get(F.transform(F.array(c), make), F.lit(0))
+
+
 def lookup(c: Column, mapping: Mapping[str, str]) -> Column:
     """Constant dictionary lookup; NULL for unknown keys."""
     pairs = [F.lit(x) for kv in mapping.items() for x in kv]
@@ -124,16 +133,21 @@ def clean_street(c: Column) -> Column:
     stripped = F.regexp_replace(
         F.trim(c), rf"(?i)^(?:(?:{prefix})(?=\s|$)\s*(?:\d+(?=\s|$)\s*)?)+", ""
     )
-    words = F.split(F.trim(stripped), r"\s+")
-    back = F.array_position(F.reverse(F.transform(words, lambda w: w.rlike(r"\d"))), F.lit(True))
-    at = (F.size(words) - back + 1).cast("int")
-    name = F.initcap(F.array_join(F.slice(words, at + 1, F.size(words)), " "))
-    number = F.try_element_at(words, at)
-    return (
-        F.when(stripped == "", c)
-        .when(back == 0, F.initcap(F.array_join(words, " ")))
-        .when(name == "", number)
-        .otherwise(F.concat_ws(" ", number, name))
+
+    def joined(words: Column, back: Column) -> Column:
+        at = (F.size(words) - back + 1).cast("int")
+        number, name = F.try_element_at(words, at), F.array_join(F.slice(words, at + 1, F.size(words)), " ")
+        return computed_once(F.initcap(name), lambda n: F.when(n == "", number).otherwise(F.concat_ws(" ", number, n)))
+
+    def from_words(words: Column) -> Column:
+        has_digit = F.transform(words, lambda w: w.rlike(r"\d"))
+        return computed_once(
+            F.array_position(F.reverse(has_digit), F.lit(True)),
+            lambda back: F.when(back == 0, F.initcap(F.array_join(words, " "))).otherwise(joined(words, back)),
+        )
+
+    return computed_once(
+        stripped, lambda rest: F.when(rest == "", c).otherwise(computed_once(F.split(F.trim(rest), r"\s+"), from_words))
     )
 
 
@@ -154,27 +168,36 @@ def _slug_tail(parts: Column) -> Column:
 
 def slug_address(c: Column) -> Column:
     """'/12-rose-lane-melbourne-vic-3000-99' -> '12 Rose Lane, Melbourne, VIC 3000'."""
-    parts = _slug_parts(c)
-    street = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 4, F.lit(0)))
-    first_is_number = F.coalesce(F.get(street, F.lit(0)).rlike(r"^\d+$"), F.lit(False))
-    street = F.when(
-        first_is_number, F.slice(street, F.lit(2), F.greatest(F.size(street) - 1, F.lit(0)))
-    ).otherwise(street)
-    return F.when(
-        F.size(parts) >= 4, F.concat(clean_street(F.array_join(street, " ")), _slug_tail(parts))
-    )
+
+    def address(parts: Column) -> Column:
+        all_but_tail = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 4, F.lit(0)))
+        street = computed_once(F.array_join(computed_once(all_but_tail, without_unit), " "), clean_street)
+        return F.when(F.size(parts) >= 4, F.concat(street, _slug_tail(parts)))
+
+    def without_unit(street: Column) -> Column:
+        first_is_number = F.coalesce(F.get(street, F.lit(0)).rlike(r"^\d+$"), F.lit(False))
+        return F.when(
+            first_is_number, F.slice(street, F.lit(2), F.greatest(F.size(street) - 1, F.lit(0)))
+        ).otherwise(street)
+
+    return computed_once(_slug_parts(c), address)
 
 
 def slug_address_with_unit(c: Column) -> Column:
     """Variant that keeps a leading unit number as 'unit/street-name, ...'."""
-    parts = _slug_parts(c)
-    street = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 4, F.lit(0)))
-    unit = F.get(street, F.lit(0))
-    rest = F.array_join(F.slice(street, F.lit(2), F.greatest(F.size(street) - 1, F.lit(0))), "-")
-    head = F.when(
-        F.coalesce(unit.rlike(r"^\d+$"), F.lit(False)), F.concat(unit, F.lit("/"), rest)
-    ).otherwise(F.array_join(street, "-"))
-    return F.when(F.size(parts) >= 4, F.concat(head, _slug_tail(parts)))
+
+    def address(parts: Column) -> Column:
+        all_but_tail = F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 4, F.lit(0)))
+        return F.when(F.size(parts) >= 4, F.concat(computed_once(all_but_tail, with_unit), _slug_tail(parts)))
+
+    def with_unit(street: Column) -> Column:
+        unit = F.get(street, F.lit(0))
+        rest = F.array_join(F.slice(street, F.lit(2), F.greatest(F.size(street) - 1, F.lit(0))), "-")
+        return F.when(
+            F.coalesce(unit.rlike(r"^\d+$"), F.lit(False)), F.concat(unit, F.lit("/"), rest)
+        ).otherwise(F.array_join(street, "-"))
+
+    return computed_once(_slug_parts(c), address)
 
 
 def slug(c: Column) -> Column:

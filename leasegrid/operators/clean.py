@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from leasegrid.operators.ordering import _as_col, top_per_key
 from leasegrid.operators.quantiles import exact_quantiles
+from leasegrid.session import cut_lineage, exchanged
+
+#: Groups up to which a table with one narrow row per group is broadcast.
+FEW_GROUPS = 10_000
 
 # --- columns ------------------------------------------------------------------
 
@@ -142,6 +146,18 @@ def group_mode(df: DataFrame, column: str, by: Sequence[str] = (), name: str = "
     return counts.groupBy(*by).agg(best.alias("__b")).select(*by, F.col("__b.v").alias(name))
 
 
+def beside_groups(df: DataFrame, groups: DataFrame, by: str) -> DataFrame:
+    """Left join of ``groups``, a table with one narrow row per value of ``by``.
+
+    An exchange of all rows by few values fills few tasks, and adaptive
+    execution keeps it where most partitions are empty; so the counted rows of
+    few groups are broadcast. Many groups are exchanged by key, hot ones split.
+    """
+    frozen = cut_lineage(groups)
+    few = frozen.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+    return df.join(F.broadcast(frozen) if few else exchanged(frozen), by, "left")
+
+
 def impute_mode(
     df: DataFrame, column: str, by: str, name: str | None = None, overall: bool = True
 ) -> DataFrame:
@@ -151,7 +167,7 @@ def impute_mode(
     if overall:
         fills.append(group_mode(df, column, name="__m").scalar())
     filled = F.coalesce(*fills)
-    return df.join(modes, by, "left").withColumn(name or column, filled).drop("__mode")
+    return beside_groups(df, modes, by).withColumn(name or column, filled).drop("__mode")
 
 
 def impute_modes(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
@@ -159,7 +175,7 @@ def impute_modes(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     every column, per group and overall."""
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in columns]))
     long = df.select(by, pairs.alias("p")).select(by, "p.c", "p.v").where(F.col("v").isNotNull())
-    counts = long.groupBy(by, "c", "v").agg(F.count("*").alias("n"))
+    counts = cut_lineage(long.groupBy(by, "c", "v").agg(F.count("*").alias("n")))
     best = F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"]
 
     def wide(modes: DataFrame, *keys: str) -> DataFrame:
@@ -168,7 +184,7 @@ def impute_modes(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     own = wide(counts.groupBy(by, "c").agg(best.alias("m")), by)
     whole = counts.groupBy("c", "v").agg(F.sum("n").alias("n")).groupBy("c").agg(best.alias("m"))
     any_type = wide(whole).select(F.struct(*[f"__{c}" for c in columns]).alias("s")).scalar()
-    joined = df.join(own, by, "left").withColumn("__any", any_type)
+    joined = beside_groups(df, own, by).withColumn("__any", any_type)
     filled = {c: F.coalesce(c, f"__{c}", f"__any.__{c}") for c in columns}
     return joined.withColumns(filled).select(*df.columns)
 

@@ -61,6 +61,13 @@ def test_slug_address(spark, raw, address):
     assert one(spark, raw, text.slug_address) == address
 
 
+@pytest.mark.parametrize("make", [text.slug_address, text.slug_address_with_unit, text.clean_street])
+def test_address_steps_are_evaluated_once(spark, make):
+    """No cleaning step is written out again for every use of its result."""
+    said = spark.range(1).select(make(F.col("id").cast("string")).alias("r"))._jdf.queryExecution().analyzed().toString()
+    assert said.count("regexp_replace") <= 2 and said.count("split(") <= 2
+
+
 @pytest.mark.parametrize(
     "raw, street",
     [

@@ -145,6 +145,24 @@ def test_mode_ties_and_null_groups(spark):
     assert got == [("None", 3), ("None", 3), ("a", 1), ("a", 1), ("a", 2), ("b", 3), ("c", 3)]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_mode_fill_of_few_hot_groups_stays_spread(spark, monkeypatch, few):
+    """Rows of two groups keep their tasks when their modes are filled in; many groups give the same rows by exchange."""
+    monkeypatch.setattr(clean, "FEW_GROUPS", 2 if few else 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        i = F.col("id")
+        df = spark.range(0, 4000, 1, 8).select("id", (i % 2).alias("t"), F.when(i % 5 > 0, i % 2 + 7).alias("x"), F.when(i % 3 > 0, i % 2 * 10).alias("y"))
+        for out, names in ((clean.impute_modes(df, ["x", "y"], "t"), ["x", "y"]), (clean.impute_mode(df, "x", "t"), ["x"])):
+            got = out.withColumn("task", F.spark_partition_id()).collect()
+            assert sorted(r.id for r in got) == list(range(4000))
+            assert all(r.x == r.t + 7 for r in got)
+            assert "y" not in names or all(r.y == r.t * 10 for r in got)
+            assert not few or len({r.task for r in got}) == 8
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", ["knn_join", "radius_join", "nearest_donor", "point_in_polygon", "fuzzy_dedup", "nearest_snapshot", "spatial_lag"])
 def test_no_nested_loops(spark, name):
     import __spark_entry__ as entry
