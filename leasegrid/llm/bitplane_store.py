@@ -20,6 +20,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,9 @@ _LATIN = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f"
 #: What the splitter of the word tokenizer makes of lower-case words of ASCII and those letters; lines keep the words apart.
 _PIECES = re.compile(f"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z{_LATIN}0-9\n]+")
 
+#: Words that are one piece.
+_ONE_PIECE = f"^[A-Za-z{_LATIN}]+$"
+
 
 def _byte_letters() -> dict[int, int]:
     """The letter that stands for each byte in byte-level vocabularies: itself if it prints, else the next one from 256 on."""
@@ -75,7 +79,8 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in prints} | {b: 256 + i for i, b in enumerate(rest)}
 
 
-_BYTES = _byte_letters()
+#: Line breaks stay, as they keep pieces apart.
+_BYTES = {b: c for b, c in _byte_letters().items() if b != ord("\n")}
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -85,10 +90,62 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(total)
 
 
-def _runs(items: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids of all items end to end, and where each item starts and how many it has."""
-    sizes = np.array([len(i) // 4 for i in items], np.int64)
-    return np.frombuffer(b"".join(items), "<u4"), np.cumsum(sizes) - sizes, sizes
+def _lines(words: pa.Array, some: np.ndarray) -> str:
+    """The chosen words in lower case, a line each."""
+    lines = words.filter(pa.array(some))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_py().lower()
+
+
+@lru_cache(maxsize=4)
+def _tokenizer(path: str):
+    """The tokenizer of a file, read once by each Python worker."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+class Remembered:
+    """Ids of the strings met so far, end to end.
+
+    A line break has place 0 and no ids. Strings of more than ``CACHE_LETTERS``
+    are held until the next call only, and beyond ``CACHE_WORDS`` all are dropped.
+    """
+
+    def __init__(self) -> None:
+        self._clear()
+
+    def _clear(self) -> None:
+        self.places, self.long = {"\n": 0}, []
+        self.ids, self.ends = np.zeros(0, "<u4"), np.zeros(2, np.int64)
+
+    def _forget(self) -> None:
+        if len(self.places) - len(self.long) > CACHE_WORDS:
+            self._clear()
+        elif self.long:
+            for w in self.long:
+                del self.places[w]
+            self.ends = self.ends[:len(self.places) + 1]
+            self.ids, self.long = self.ids[:self.ends[-1]], []
+
+    def look_up(self, items: list[str], learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Place of each item; ``learn`` gives the ids of new ones end to end and how many each has."""
+        self._forget()
+        new = list(set(items).difference(self.places))
+        if new:
+            self.long = [w for w in new if len(w) > CACHE_LETTERS]
+            if self.long:
+                new = [w for w in new if len(w) <= CACHE_LETTERS] + self.long
+            ids, sizes = learn(new)
+            self.places.update(zip(new, range(len(self.places), len(self.places) + len(new))))
+            self.ids = np.concatenate([self.ids, ids])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return np.fromiter(map(self.places.__getitem__, items), np.int64, len(items))
+
+    def runs(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the strings at ``places`` end to end, and how many each has."""
+        starts = self.ends[places]
+        sizes = self.ends[places + 1] - starts
+        return self.ids[spread(starts, sizes)], sizes
 
 
 class WordEncoder:
@@ -106,45 +163,32 @@ class WordEncoder:
 
     def __init__(self, path: str, cuts_at_blanks: bool, latin_pieces: bool = True) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.cuts, self.latin = Tokenizer.from_file(path), cuts_at_blanks, latin_pieces
+        self.tokenizer, self.cuts, self.latin = _tokenizer(path), cuts_at_blanks, latin_pieces
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.odd = "|".join([f"[^\\x00-\\x7f{_LATIN}]", *special])
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces, self.words = Remembered(), Remembered()
 
     def _encode(self, text: str):
         return self.tokenizer.encode(text, add_special_tokens=False)
 
-    def _look_up(self, items: list[str], known: dict[str, bytes], learn: Callable[[list[str]], list[bytes]]) -> list[bytes]:
-        """Ids of words or pieces, from memory or newly learnt."""
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({w for w in items if w not in known})
-        fresh = dict(zip(new, learn(new)))
-        known.update((w, i) for w, i in fresh.items() if len(w) <= CACHE_LETTERS)
-        return [known[w] if w in known else fresh[w] for w in items]
-
-    def _learn_pieces(self, pieces: list[str]) -> list[bytes]:
-        tokenize, ids, ends = self.tokenizer.model.tokenize, [], [0]
-        for p in pieces:
-            for t in tokenize(p.encode().decode("latin-1").translate(_BYTES)):
-                ids.append(t.id)
-            ends.append(4 * len(ids))
-        flat = np.array(ids, "<u4").tobytes()
-        return [flat[i:j] for i, j in zip(ends, ends[1:])]
-
-    def _learn_words(self, words: list[str]) -> list[bytes]:
-        out: list[bytes] = []
+    def _learn_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        tokenize, ids, sizes = self.tokenizer.model.tokenize, [], []
+        letters = "\n".join(pieces).encode().decode("latin-1").translate(_BYTES).split("\n")
+        for a in range(0, len(letters), JOINED):
+            found = [tokenize(p) for p in letters[a:a + JOINED]]
+            ids += [t.id for tokens in found for t in tokens]
+            sizes += map(len, found)
+        return np.array(ids, "<u4"), np.array(sizes, np.int64)
+
+    def _learn_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, sizes = [], []
         for a in range(0, len(words), JOINED):
             some = words[a:a + JOINED]
             found = self._encode(" ".join(some))
-            ids = np.array(found.ids, "<u4").tobytes()
+            ids.append(np.array(found.ids, "<u4"))
             starts = np.cumsum([0] + [len(t) + 1 for t in some])
-            ends = (4 * np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts)).tolist()
-            out += [ids[i:j] for i, j in zip(ends, ends[1:])]
-        return out
+            sizes.append(np.diff(np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), starts)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct words end to end, with the start and number of each."""
@@ -155,25 +199,21 @@ class WordEncoder:
         starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         flat = np.zeros(0, "<u4")
         if plain.any():
-            lines = words.filter(pa.array(plain))
-            whole = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(lines)], pa.int32()), lines), "\n")[0].as_py()
-            cut = _PIECES.findall(whole.lower())
-            place = {k: i for i, k in enumerate(dict.fromkeys(cut))}
-            codes = np.fromiter(map(place.__getitem__, cut), np.int64, len(cut))
-            at_break = place.pop("\n", -1)
-            found = self._look_up(list(place), self.pieces, self._learn_pieces)
-            if at_break >= 0:
-                found.insert(at_break, b"")
-            breaks = np.arange(len(found)) == at_break
-            ids, at, n = _runs(found)
-            flat = ids[spread(at[codes], n[codes])]
-            line = np.cumsum(breaks[codes]) if len(codes) else np.zeros(0, np.int64)
-            sizes[plain] = np.bincount(line, n[codes], len(lines)).astype(np.int64)
-            starts[plain] = np.cumsum(sizes[plain]) - sizes[plain]
+            single = plain & pc.match_substring_regex(words, _ONE_PIECE).to_numpy(zero_copy_only=False)
+            ones, several = _lines(words, single), _lines(words, plain & ~single)
+            # words of several pieces come after the others, a line break between them
+            items = ones.split("\n") if ones else []
+            places = self.pieces.look_up([*items, *_PIECES.findall(several)], self._learn_pieces)
+            flat, n = self.pieces.runs(places)
+            k = len(items)
+            sizes[single] = n[:k]
+            line = np.cumsum(places[k:] == 0)
+            sizes[plain & ~single] = np.bincount(line, n[k:], int((plain & ~single).sum())).astype(np.int64)
+            for part, before in ((single, 0), (plain & ~single, int(n[:k].sum()))):
+                starts[part] = before + np.cumsum(sizes[part]) - sizes[part]
         if not plain.all():
-            rest = self._look_up(words.filter(pa.array(~plain)).to_pylist(), self.words, self._learn_words)
-            ids, at, n = _runs(rest)
-            starts[~plain], sizes[~plain] = len(flat) + at, n
+            ids, n = self.words.runs(self.words.look_up(words.filter(pa.array(~plain)).to_pylist(), self._learn_words))
+            starts[~plain], sizes[~plain] = len(flat) + np.cumsum(n) - n, n
             flat = np.concatenate([flat, ids])
         return flat, starts, sizes
 
