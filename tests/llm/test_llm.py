@@ -2,6 +2,7 @@
 
 import base64
 import os
+import re
 import time
 
 import brute
@@ -113,12 +114,11 @@ def test_words_and_pieces_give_the_tokenizers_ids():
     assert [i.tolist() for i in plain.many(pa.array(group))] == [i.tolist() for i in whole.many(pa.array(group))] == want
 
 
-def test_encoders_share_the_tokenizer_and_forget(monkeypatch):
-    """A process reads a tokenizer file once; long and too many pieces and words are dropped between groups, the ids stay."""
+def test_encoder_forgets_and_splits_no_single_pieces(monkeypatch):
+    """Long and too many pieces and words are dropped between groups, the ids stay; words of one piece skip the splitter."""
     monkeypatch.setattr(bitplane_store, "CACHE_WORDS", 12)
     monkeypatch.setattr(bitplane_store, "CACHE_LETTERS", 5)
     mine = bitplane_store.WordEncoder(tokenizer_path(), True)
-    assert bitplane_store.WordEncoder(tokenizer_path(), True).tokenizer is mine.tokenizer
     rng, tok = np.random.default_rng(3), Tokenizer.from_file(tokenizer_path())
     words = ["a", "Über", "lengthy-words", "Antidisestablishment", "don't", "x1y22", "漢字漢字漢字", "<|endoftext|>", "--", "é" * 70, "\u0001"]
     for size in [3, 0, *[8] * 30]:
@@ -126,8 +126,9 @@ def test_encoders_share_the_tokenizer_and_forget(monkeypatch):
         assert [i.tolist() for i in mine.many(pa.array(group))] == [tok.encode(t, add_special_tokens=False).ids for t in group]
         assert max(len(mine.pieces.places), len(mine.words.places)) < 80
     kept = len(mine.pieces.places) - len(mine.pieces.long)
-    mine.many(pa.array(["a"]))
-    assert len(mine.pieces.places) <= max(kept, 2) and not mine.pieces.long
+    monkeypatch.setattr(bitplane_store, "_PIECES", re.compile("\n"))
+    assert mine.many(pa.array(["a ÜBER"]))[0].tolist() == tok.encode("a ÜBER", add_special_tokens=False).ids
+    assert len(mine.pieces.places) <= max(kept, 1) + 2 and not mine.pieces.long
 
 
 def test_one_id_crosses_shards(spark, tmp_path):
