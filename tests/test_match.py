@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from leasegrid.functions import similarity
 from leasegrid.operators import match
 
 WORDS = ["st", "mary", "primary", "school", "college", "north", "west", "east", "high", "grammar", "road", "hill"]
@@ -109,3 +110,47 @@ def test_names_are_not_sent_through_the_driver(spark, monkeypatch, tmp_path):
     assert not [p for p in plans if "BroadcastHashJoin" in p]
     near = {(a, b) for _, a, _ in rows for _, b, _ in rows if 1 - _edit(a, b) / max(len(a), len(b)) >= 0.9}
     assert {(r.text, r.match) for r in pairs.collect()} == near
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_both_ways_of_pairing_agree(spark, monkeypatch, few):
+    """Segment index (names of few common segments) and tiles, within groups, one side against itself and against another."""
+    monkeypatch.setattr(match, "_FEW_PAIRS", few)
+    if not few:
+        monkeypatch.setattr(match, "_PROBE_COST", 0)
+        monkeypatch.setattr(match, "_LISTED_COST", 0)
+    names = _mutated(_base(50, 3), 5)
+    frame = lambda xs: spark.createDataFrame([(i % 2 if i % 9 else None, x) for i, x in enumerate(xs)], "g int, text string")
+    group = lambda xs: [(i % 2, x) for i, x in enumerate(xs) if i % 9]
+    for a, b in ((names, names), (names, names[::-1])):
+        want = {(g, x, y) for g, x in group(a) for h, y in group(b) if g == h and _edit(x, y) >= 0.75}
+        left = frame(a)
+        got = [(r.g, r.text, r.match) for r in match.similar_pairs(left, left if a is b else frame(b), 0.75, ["g"]).collect()]
+        assert set(got) == want and len(got) == len(want)
+
+
+def test_texts_of_one_build_are_not_listed_by_segment(spark, monkeypatch):
+    """Addresses share most of their segments, by which every pair would be listed again and again."""
+
+    def listed(*_):
+        raise AssertionError("pairs are listed by segment")
+
+    monkeypatch.setattr(match, "_near", listed)
+    df = spark.range(1_500).select(F.format_string("https://www.place.example.org/en/%04d/%03d.html", F.col("id") * 7919 % 10_000, F.col("id") * 31 % 997).alias("text"))
+    out = match.similar_pairs(df, df, 0.8)
+    assert out.count() == out.select("text", "match").distinct().count() > 1_500
+    wrong = out.where(F.abs(F.col("similarity") - match.edit_similarity(F.col("text"), F.col("match"))) > 1e-12)
+    assert wrong.isEmpty() and out.where("similarity < 0.8").isEmpty()
+
+
+def test_vector_edits_equal_levenshtein(spark):
+    """Lengths around the words of the bit vectors, and signs beyond ASCII."""
+    rng = random.Random(1)
+    word = lambda n: "".join(rng.choice("abcdé😀") for _ in range(n))
+    rows = []
+    for n in [1, 2, 30, 63, 64, 65, 127, 128, 129, 300] * 20:
+        a = word(n)
+        i = rng.randrange(n)
+        rows += [(a, a[:i] + word(rng.randint(0, 4)) + a[i + rng.randint(0, 3) :] or "x"), (a, word(rng.randint(1, 150)))]
+    df = spark.createDataFrame(rows, "a string, b string").withColumn("e", similarity.edits(F.col("a"), F.col("b")))
+    assert df.where(F.col("e") != F.levenshtein("a", "b")).isEmpty()
