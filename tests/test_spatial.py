@@ -251,3 +251,48 @@ def test_amenities_of_one_tile_are_counted_together(spark, monkeypatch):
     out = spatial.amenities_near(place(10_000, 1), pois, "id", "cafe|bank", ["cafe", "bank"], 12.0, "haversine")
     assert out.count() == 10_000
     assert max(kept) < 5 * 10_000  # a row per home and tile of its block: at least nine times the homes
+
+
+def _covers(shape, x, y):
+    edges = [(a, b) for part in shape for ring in part for a, b in zip(ring, ring[1:])]
+    xs, ys = ([a[k] for a, _ in edges] for k in (0, 1))
+    if not (min(xs) <= x <= max(xs) and min(ys) <= y <= max(ys)):
+        return False
+    odd = False
+    for (ax, ay), (bx, by) in edges:
+        if (bx - ax) * (y - ay) == (by - ay) * (x - ax) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+            return True
+        odd ^= (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax
+    return odd
+
+
+def _any_shapes(rng, n):
+    """Parts and holes anywhere, rings that cross themselves, level edges, flat shapes, and rings left open."""
+    shapes = []
+    for i in range(n):
+        r, cx, cy = rng.choice([2, 9, 30, 90]), rng.randint(-10, 110), rng.randint(-10, 110)
+        ring = lambda: [(cx + rng.randint(-r, r), cy + rng.choice([-r, 0, r, rng.randint(-r, r)])) for _ in range(rng.choice([2, 3, 5, 20]))]  # noqa: B023, E731
+        shape = [[r if i % 7 == 3 else [*r, r[0]] for r in (ring() for _ in range(rng.randint(1, 2)))] for _ in range(rng.randint(1, 2))]
+        shapes.append(shape)
+    return shapes
+
+
+@pytest.mark.parametrize("strips", [1, 256])
+def test_any_shape_equals_the_plain_test(spark, strips):
+    rng = random.Random(12)
+    shapes = _any_shapes(rng, 60)
+    points = [(i, float(rng.randint(0, 100)), float(rng.randint(0, 100))) for i in range(500)]
+    rows = [(i, [[[{"x": float(x), "y": float(y)} for x, y in r] for r in part] for part in s]) for i, s in enumerate(shapes)]
+    rows += [(90, None), (91, [[[{"x": 1.0, "y": None}, {"x": 50.0, "y": 3.0}, {"x": 60.0, "y": 50.0}, {"x": 1.0, "y": None}]]])]
+    df = spark.createDataFrame(rows, "s int, ring array<array<array<struct<x:double,y:double>>>>")
+    got = [(r.s, r.id) for r in spatial.points_in_polygons(df, spark.createDataFrame(points, PLACE), edges_per_strip=2, most_strips=strips).collect()]
+    want = {(i, k) for i, s in enumerate(shapes) for k, y, x in points if _covers(s, x, y)}
+    assert {g for g in got if g[0] < 90} == want and len(got) == len(set(got)) and len(want) > 3_000
+
+
+def test_pairs_of_points_and_polygons_are_not_exchanged(spark):
+    shapes = spark.createDataFrame([(1, [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (4, 0), (4, 4), (0, 0))])], "s int, ring array<struct<x:double,y:double>>")
+    points = spark.createDataFrame([(i, i % 5 + 0.5, i % 7 + 0.5) for i in range(70)], PLACE)
+    plan = spatial.points_in_polygons(shapes, points)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Exchange" not in plan[: plan.index("Join")]
+    assert plan.count("Join") == 1
