@@ -296,3 +296,42 @@ def test_pairs_of_points_and_polygons_are_not_exchanged(spark):
     plan = spatial.points_in_polygons(shapes, points)._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and "Exchange" not in plan[: plan.index("Join")]
     assert plan.count("Join") == 1
+
+
+def test_best_schools_equal_the_pairs(spark, monkeypatch):
+    """Ties, unknown and negative goodness, repeated bands and NULL keys; pairs are added up as they are made, not sorted with their names."""
+    rng, frozen = random.Random(14), []
+
+    def recorded(df, cut=spatial.cut_lineage):
+        frozen.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(spatial, "cut_lineage", recorded)
+    shapes = _any_shapes(rng, 24)
+    bands = [(i % 20 if i else None, ["walk", "drive"][i % 2], [[[(float(x), float(y)) for x, y in r] for r in part] for part in s], 2000 + i % 4, 50.0, 50.0) for i, s in enumerate(shapes)]
+    bands.append((70, "walk", [[[(900.0, 900.0), (901.0, 900.0), (901.0, 901.0), (900.0, 900.0)]]], 2000, 50.0, 50.0))
+    schools = [(f"s{i % 190}" if i % 11 else None, rng.choice([None, -1.0, 0.0, 0.0, 5.0, 9.5]), rng.choice([None, 1999, 2001, 2003]), float(rng.randint(0, 100)), float(rng.randint(0, 100))) for i in range(200)]
+    i = spark.createDataFrame(bands, "property_id int, band string, ring array<array<array<struct<x:double,y:double>>>>, year int, listing_lat double, listing_lon double")
+    s = spark.createDataFrame(schools, "school_name string, school_goodness double, establishment_year int, lat double, lon double")
+    got = {(r.property_id, r.band): r for r in spatial.best_schools(i, s, method="planar").collect()}
+    met = {(k, b): [] for k, b, *_ in bands}
+    for k, b, shape, year, y0, x0 in bands:
+        for name, good, since, y, x in schools:
+            if k is not None and _covers(shape, x, y) and (since is None or since <= year):
+                d = np.sqrt((y - y0) ** 2 + (x - x0) ** 2)
+                met[k, b].append((None if good is None else good / (1 + 0.2 * d), name, d))
+    assert set(got) == set(met)
+    for k, rows in met.items():
+        r, known = got[k], [x for x in rows if x[0] is not None]
+        assert (r.n_schools or 0) == sum(n is not None for _, n, _ in rows) and (r.n_schools is None) == (not rows)
+        if not known:
+            assert (r.best_school_name, r.best_score) == (None, None)
+            continue
+        top = max(x[0] for x in known)
+        assert r.best_score == pytest.approx(top)
+        names = [n for v, n, _ in known if v >= top - abs(top) * 1e-12 and n is not None]
+        assert r.best_school_name in (names or [None])
+        if top == 0:
+            assert r.best_school_name == max(names, default=None)
+    sums = [p for p in frozen if "partial_max(__score" in p]
+    assert sums and not any("SortAggregate" in p for p in sums)
