@@ -333,3 +333,29 @@ def test_growth_inputs_make_no_pairs(spark, tmp_path):
     for k, pair in got.items():
         for a, b in zip(pair, sums[k]):
             assert (a is None) == (not b) and (a is None or math.isclose(a, sum(b) / len(b), rel_tol=1e-12))
+
+
+def test_the_search_is_run_whole(spark, monkeypatch, tmp_path):
+    """Draws, folds, rounds and depths of the registered search: 20 draws, 5 folds, 1,000 rounds unless the validation rows end them, depth up to the default."""
+    rows = [(i, i % 7, float(i % 50), i % 11 / 100, 0.02, "ANR"[i % 3], 900.0 + i % 50 * 20) for i in range(300)]
+    columns = "l_orderkey long, l_partkey long, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_extendedprice double"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/lineitem.parquet")
+    asked = []
+
+    class Stop(Exception):
+        pass
+
+    def recorded(**kw):
+        asked.append(kw)
+        raise Stop
+
+    drawn = []
+    monkeypatch.setattr(model, "CrossValidator", recorded)
+    monkeypatch.setattr(model.random, "Random", lambda seed, made=random.Random: type("Counted", (made,), {"choice": lambda self, xs: drawn.append(xs) or made.choice(self, xs)})(seed))
+    with pytest.raises(Stop):
+        spatial_and_models.random_search(spark, str(tmp_path))
+    gbt = asked[0]["estimator"].getStages()[-1]
+    assert len(drawn) == 20 * 2 and asked[0]["numFolds"] == 5
+    assert gbt.getMaxIter() == 1000 and gbt.getValidationIndicatorCol() == "is_val" and gbt.getValidationTol() == 0
+    grid = [tuple(sorted((p.name, v) for p, v in m.items())) for m in asked[0]["estimatorParamMaps"]]
+    assert len(grid) == len(set(grid)) > 6 and ("maxDepth", 6) in {x for m in grid for x in m}
